@@ -14,7 +14,8 @@ from tidelake.session import materialize
 
 _DAILY = f"{TICKS}, {candles_sql('1d', 'daily')}"
 
-# Spark divides decimals to 8 and averages to 12 places; the same is spelled out here.
+# Spark's decimal division and mean round at fixed places: 8 and 12 for the taker ratio,
+# 6 for the volume trend. The same steps are spelled out here.
 _TOTALS = """totals AS (
   SELECT symbol_id, sum(volume_quote) AS total_volume_quote, sum(num_trades) AS total_num_trades,
     round(CAST(sum(CASE WHEN volume_quote > 0 THEN CAST(round(CAST(taker_buy_quote_volume AS DOUBLE)
@@ -34,7 +35,7 @@ _TREND = f"""{_NUMBERED}, halves AS (
   SELECT symbol_id, CAST(sum(CASE WHEN half = 'first' THEN volume_quote END) AS DOUBLE) / nullif(count(*) FILTER (half = 'first'), 0) AS f,
     CAST(sum(CASE WHEN half = 'second' THEN volume_quote END) AS DOUBLE) / nullif(count(*) FILTER (half = 'second'), 0) AS s
   FROM halved GROUP BY 1),
-trend AS (SELECT symbol_id, CASE WHEN f > 0 THEN round(CAST(s / f AS DECIMAL(38,12)), 4) ELSE 1.0 END AS volume_trend FROM halves)"""
+trend AS (SELECT symbol_id, CASE WHEN f > 0 THEN round(CAST(s / f AS DECIMAL(38,6)), 4) ELSE 1.0 END AS volume_trend FROM halves)"""
 
 _COMBINED = f"""{_DAILY}, {_TOTALS}, {_TREND}, {_FLOW}, {CODES},
 metrics AS (SELECT symbol_id, bought - sold AS money_flow,

@@ -116,7 +116,7 @@ def replace_snapshot(df: DataFrame, path: str, slot: str = "current") -> None:
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def append_history(df: DataFrame, path: str) -> bool:
