@@ -56,7 +56,7 @@ def from_ticks(
     seconds = INTERVALS[interval]
     when: Column = F.unix_micros("ts")
     if tie_break:
-        when = when.cast("decimal(18,0)") * F.lit(10**19).cast("decimal(20,0)") + F.col(
+        when = when.cast("decimal(18,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)") + F.col(
             tie_break
         ).cast("decimal(19,0)")
     value = F.col("price") * F.col("qty")

@@ -304,8 +304,12 @@ def parse_candles(df: DataFrame, value: str = "value") -> DataFrame:
 # ----------------------------------------------------------------- typed projections
 
 def times(price: Column | str, qty: Column | str) -> Column:
-    """price x quantity as an amount; factors at 9 decimals keep the product exact."""
-    narrow = "decimal(19,9)"
+    """price x quantity as an amount.
+
+    Factors keep 12 places and must stay below 10^12, so that Spark has room for 13
+    places of their product; with wider factors it would round to 6.
+    """
+    narrow = "decimal(24,12)"
     p = F.col(price) if isinstance(price, str) else price
     q = F.col(qty) if isinstance(qty, str) else qty
     return (p.try_cast(narrow) * q.try_cast(narrow)).try_cast(AMOUNT)

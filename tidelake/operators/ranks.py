@@ -4,7 +4,7 @@ A window without PARTITION BY, or with a hot partition key, runs in one task. Up
 ``SINGLE_TASK_ROWS`` rows that is the cheapest plan. Beyond it the rows are range
 partitioned on the whole ordering and stored together with their range number, so each
 task sees one range, and what precedes a range is added from a table with at most two
-rows per range.
+rows per range. Adaptive execution may merge neighbouring ranges, which keeps the order.
 """
 
 from __future__ import annotations
@@ -21,10 +21,6 @@ SINGLE_TASK_ROWS = 200_000
 _RANGE = "_range"
 
 
-def _num_ranges(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def running_total(
     df: DataFrame,
     measure: str,
@@ -39,7 +35,7 @@ def running_total(
     a key that owns most rows.
     """
     ranged = materialize(
-        df.repartitionByRange(_num_ranges(df), *[F.col(g) for g in group], *order)
+        df.repartitionByRange(*[F.col(g) for g in group], *order)
         .withColumn(_RANGE, F.spark_partition_id()),
         "ranges",
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +12,12 @@ from pyspark.sql import functions as F
 from tidelake import schemas
 from tidelake.operators import contract, dims, flow, ranking
 from tidelake.operators.candles import TARGETS
-from tidelake.operators.filters import sane
+from tidelake.operators.filters import of_interval, sane
 from tidelake.operators.merge import latest_wins
-from tidelake.session import materialize
+from tidelake.session import stored
 from tidelake.sinks import tables
 from tidelake.sources import files
-from tidelake.streaming.recompute import rebuild_touched
+from tidelake.streaming.recompute import rebuild_from
 
 
 @dataclass
@@ -63,9 +64,10 @@ class Inputs:
 class Run:
     timings: dict[str, float] = field(default_factory=dict)
 
-    def stage(self, name: str, work) -> None:
+    @contextmanager
+    def stage(self, name: str):
         start = time.monotonic()
-        work()
+        yield
         self.timings[name] = time.monotonic() - start
 
 
@@ -91,63 +93,44 @@ def run_batch(
     """Run every stage whose input is there; each leaves its table in the warehouse."""
     now = F.current_timestamp() if now is None else now
     run = Run()
+    klines, tickers, trades = inputs.klines, inputs.tickers, inputs.trades
 
-    def dim_symbols():
-        if inputs.tickers is None:
+    with run.stage("dim_symbols"):
+        if tickers is None:
             raise FileNotFoundError("the symbol dimension needs ticker records")
-        # Stored first: the table is about to be replaced by something derived from it.
-        codes = materialize(dims.distinct_codes(inputs.tickers), "codes")
-        known = dims.build_dim(warehouse.dim(spark), codes, now)
-        tables.replace_snapshot(materialize(known, "dim"), warehouse.path("dim_symbols"))
-
-    fresh: dict[str, DataFrame] = {}
-
-    def klines():
-        facts = contract.kline_facts(dims.with_symbol_id(inputs.klines, warehouse.dim(spark)))
-        # Of several versions of a candle the one with the most trades is the final one.
-        order = [F.col("num_trades").desc_nulls_last(), F.col("close_time").desc_nulls_last()]
-        unique = latest_wins(facts, schemas.KEYS["fact_klines"], order)
-        fresh["minutes"] = materialize(unique, "minutes")
-        warehouse.klines.upsert(fresh["minutes"])
-
-    def resample():
-        minutes = sane(fresh["minutes"])
-        days = [r[0] for r in minutes.select(F.to_date("open_time")).distinct().collect()]
-        stored = warehouse.klines.read(spark, keep_partitions=True).filter(
-            (F.col("interval_code") == "1m") & F.col("open_date").isin(days)
-        )
-        warehouse.klines.upsert(rebuild_touched(stored, minutes, targets))
-
-    def trades():
-        facts = contract.trade_facts(dims.with_symbol_id(inputs.trades, warehouse.dim(spark)))
-        metrics = flow.trade_metrics(facts, now)
-        tables.replace_snapshot(metrics, warehouse.path("mart_trade_metrics"))
-
-    def tickers():
-        facts = contract.ticker_facts(
-            dims.with_symbol_id(inputs.tickers, warehouse.dim(spark)), now
-        )
+        with stored(dims.distinct_codes(tickers), "codes") as codes:
+            known = dims.build_dim(warehouse.dim(spark), codes, now)
+            tables.replace_snapshot(known, warehouse.path("dim_symbols"))
+    dim = warehouse.dim(spark)
+
+    if klines is not None:
+        with ExitStack() as scope:
+            with run.stage("fact_klines"):
+                # Of several versions of a candle the one with most trades is final.
+                order = [F.col(c).desc_nulls_last() for c in ("num_trades", "close_time")]
+                facts = contract.kline_facts(dims.with_symbol_id(klines, dim))
+                unique = latest_wins(facts, schemas.KEYS["fact_klines"], order)
+                minutes = scope.enter_context(stored(unique, "minutes"))
+                warehouse.klines.upsert(minutes, staged=True)
+            with run.stage("resample"):
+                rebuild_from(warehouse.klines, sane(minutes), targets)
+
+    if trades is not None:
+        with run.stage("mart_trade_metrics"):
+            facts = contract.trade_facts(dims.with_symbol_id(trades, dim))
+            metrics = flow.trade_metrics(facts, now)
+            tables.replace_snapshot(metrics, warehouse.path("mart_trade_metrics"))
+
+    with run.stage("fact_ticker_24h_snapshots"):
+        facts = contract.ticker_facts(dims.with_symbol_id(tickers, dim), now)
         order = [F.col("trade_count").desc_nulls_last()]
-        keys = schemas.KEYS["fact_ticker_24h_snapshots"]
-        warehouse.tickers.upsert(latest_wins(facts, keys, order))
+        unique = latest_wins(facts, schemas.KEYS["fact_ticker_24h_snapshots"], order)
+        warehouse.tickers.upsert(unique)
 
-    def top():
-        daily = warehouse.klines.read(spark, keep_partitions=True).filter(
-            F.col("interval_code") == "1d"
-        )
+    with run.stage("mart_top_coins"):
+        daily = of_interval(warehouse.klines.read(spark), "1d")
         mart = ranking.top_coins(
-            daily, warehouse.metrics(spark), warehouse.dim(spark), top_n,
-            adjust=adjust, computed_at=now,
+            daily, warehouse.metrics(spark), dim, top_n, adjust=adjust, computed_at=now
         )
         tables.append_history(mart, warehouse.path("mart_top_coins"))
-
-    run.stage("dim_symbols", dim_symbols)
-    if inputs.klines is not None:
-        run.stage("fact_klines", klines)
-        run.stage("resample", resample)
-    if inputs.trades is not None:
-        run.stage("mart_trade_metrics", trades)
-    if inputs.tickers is not None:
-        run.stage("fact_ticker_24h_snapshots", tickers)
-    run.stage("mart_top_coins", top)
     return run

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,7 +73,22 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     (ranks, stage hand-over). Unlike a cached frame it survives the loss of executors,
     keeps column pruning, and its row count comes from the footers.
     """
+    return _written(df, new_path(df.sparkSession, label))
+
+
+@contextmanager
+def stored(df: DataFrame, label: str = "table") -> Iterator[DataFrame]:
+    """:func:`materialize` for the length of a block, after which the copy is removed.
+    Nothing derived from it may be used later."""
     spark = df.sparkSession
     path = new_path(spark, label)
+    try:
+        yield _written(df, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

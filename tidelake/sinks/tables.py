@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from tidelake import schemas
 from tidelake.operators.merge import merge_frames
-from tidelake.session import materialize
+from tidelake.session import stored
 
 
 def _write(df: DataFrame, path: str, partition_by: list[str]) -> None:
@@ -60,27 +61,40 @@ class KeyedTable:
             df = spark.createDataFrame([], self._stored())
         return df if keep_partitions else df.select(*self.schema.fieldNames())
 
-    def upsert(self, source: DataFrame, rules: dict[str, str] | None = None) -> None:
+    def upsert(
+        self,
+        source: DataFrame,
+        rules: dict[str, str] | None = None,
+        staged: bool = False,
+        touched: list[tuple] | None = None,
+    ) -> None:
         """Merge rows with unique keys into the partitions they fall in.
 
         Only those partitions are read and rewritten. Their names are the one thing
         collected: each is a folder the commit has to handle on the driver anyway.
         Repeating an upsert changes nothing.
+
+        The source is read twice, once for those names, so it is stored first unless it
+        is ``staged`` already or the caller knows which partitions it can touch.
         """
-        spark = source.sparkSession
         names = list(self.partitions)
-        rows = materialize(
-            source.select(*self.schema.fieldNames()).withColumns(self.partitions), "upsert"
-        )
-        touched = [tuple(r) for r in rows.select(*names).distinct().collect()]
-        if not touched:
-            return
-        label = F.concat_ws("\u0001", *[F.col(n).cast("string") for n in names])
-        wanted = ["\u0001".join(str(v) for v in t) for t in touched]
-        target = self.read(spark, keep_partitions=True).filter(label.isin(wanted))
-        keys = [*self.keys, *[n for n in names if n not in self.keys]]
-        merged = merge_frames(target, rows, keys, self.rules if rules is None else rules)
-        _write(merged, self.path, names)
+        incoming = source.select(*self.schema.fieldNames()).withColumns(self.partitions)
+        scope = nullcontext(incoming) if staged or touched else stored(incoming, "upsert")
+        with scope as rows:
+            if touched is None:
+                touched = [tuple(r) for r in rows.select(*names).distinct().collect()]
+            if not touched:
+                return
+            keys = [*self.keys, *[n for n in names if n not in self.keys]]
+            target = self.partitions_of(source.sparkSession, touched)
+            merged = merge_frames(target, rows, keys, self.rules if rules is None else rules)
+            _write(merged, self.path, names)
+
+    def partitions_of(self, spark: SparkSession, wanted: list[tuple]) -> DataFrame:
+        """The rows of exactly these partitions; the rest is pruned by folder."""
+        label = F.concat_ws("\u0001", *[F.col(n).cast("string") for n in self.partitions])
+        names = ["\u0001".join(str(v) for v in values) for values in wanted]
+        return self.read(spark, keep_partitions=True).filter(label.isin(names))
 
 
 def fact_klines(path: str, rules: dict[str, str] | None = None) -> KeyedTable:
