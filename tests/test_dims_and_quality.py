@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import D, T, values
+from tests.conftest import T, values
 from tidelake import schemas
 from tidelake.operators import dims, filters, quality
 from tidelake.sources import files

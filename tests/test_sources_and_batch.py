@@ -86,7 +86,7 @@ def test_bronze_keeps_partition_columns(spark, tmp_path):
     good = df.filter("trade_id IS NOT NULL").select("*", files.layout_time().alias("at"))
     assert values(good, "symbol", "hour", "at") == [("A1", "03", T("2024-01-05T03:00:00")), ("B", "14", T("2024-01-05T14:00:00"))]
     assert df.count() == 4
-    assert values(files.discover_symbols(df)) == [("A1",), ("B",)]
+    assert values(files.discover_symbols(spark, str(tmp_path))) == [("A1",), ("B",)]
     pruned = df.filter("symbol = 'B'")
     assert "PartitionFilters: []" not in pruned._jdf.queryExecution().executedPlan().toString()
 

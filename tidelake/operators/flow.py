@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tidelake.functions import share
 from tidelake.operators.skew import BROADCAST_ROWS, HOT_ROWS, lookup_join
@@ -13,6 +14,8 @@ from tidelake.session import materialize
 # fixed values: a whale trade exceeds mean + 2 sigma and three times the mean
 SIGMAS, MEANS = 2.0, 3.0
 
+_SUM = DecimalType(38, 12)
+
 
 def _sum_if(condition: Column) -> Column:
     """Sum of quote_qty where the condition holds; unknown maker flags add nothing."""
@@ -81,7 +84,9 @@ def trade_metrics(
     totals = materialize(trade_totals(trades), "trade-totals")
     whales = whale_volumes(trades, totals, broadcast_rows, hot_rows)
     zero = F.lit(0).cast(AMOUNT)
-    bought, sold = F.col("whale_buy_volume"), F.col("whale_sell_volume")
+    # As wide as sums are: Spark then divides straight to 6 places, without rounding twice.
+    bought = F.col("whale_buy_volume").cast(_SUM)
+    sold = F.col("whale_sell_volume").cast(_SUM)
     return (
         totals.join(whales, "symbol_id", "left")
         .withColumn("whale_buy_volume", F.coalesce("whale_buy_volume", zero))

@@ -72,7 +72,7 @@ def scan_drift(spark: SparkSession, path: str, dataset: str) -> DataFrame:
 
         def one(uri: str) -> tuple:
             try:
-                system, name = fs.FileSystem.from_uri(uri)
+                system, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
                 with system.open_input_file(name) as handle:
                     footer = pq.ParquetFile(handle)
                     schema, meta = footer.schema_arrow, footer.metadata

@@ -15,7 +15,7 @@ from tidelake.operators import candles as C
 from tidelake.operators import contract, dims, filters, flow, merge, quality
 from tidelake.plans import inputs as I
 from tidelake.plans.catalog import (
-    CODES, TICKS, TRADES, all_candles_sql, candle_columns, candles_sql, query,
+    CODES, TICKS, TRADES, all_candles_sql, candle_columns, candles_sql, half_up, query,
 )
 from tidelake.session import materialize
 
@@ -77,11 +77,13 @@ _FLOW = f"""{_STATS}, flows AS (
     CAST(sum(CASE WHEN CAST(q AS DOUBLE) > thr AND maker THEN q ELSE 0 END) AS DECIMAL(38,2)) AS ws
   FROM trades t JOIN stats s ON t.symbol_id = s.symbol_id GROUP BY 1)"""
 
-_METRICS_COLUMNS = """symbol_id, CAST(bought AS DOUBLE) AS total_buy_volume,
+WHALE_SQL = f"CASE WHEN wb + ws > 0 THEN CAST({half_up('wb * 100', '(CAST((wb + ws) * 100 AS HUGEINT))', 6)} AS DOUBLE) / 1e6 END"
+
+_METRICS_COLUMNS = f"""symbol_id, CAST(bought AS DOUBLE) AS total_buy_volume,
   CAST(sold AS DOUBLE) AS total_sell_volume, CAST(bought - sold AS DOUBLE) AS money_flow,
   total_trades, round(thr, 2) AS whale_threshold, CAST(wb AS DOUBLE) AS whale_buy_volume,
   CAST(ws AS DOUBLE) AS whale_sell_volume,
-  CASE WHEN wb + ws > 0 THEN round(CAST(wb AS DOUBLE) / CAST(wb + ws AS DOUBLE), 6) END AS whale_buy_ratio"""
+  {WHALE_SQL} AS whale_buy_ratio"""
 
 
 @query(

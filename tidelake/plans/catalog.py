@@ -66,6 +66,13 @@ CODES = """codes AS (
                           WHEN 3 THEN 'BTC' WHEN 4 THEN 'ETH' ELSE 'XYZ' END AS symbol_code
   FROM (SELECT DISTINCT user_id FROM events))"""
 
+
+def half_up(part: str, whole: str, places: int) -> str:
+    """part / whole of two integers, rounded half up: an integer of 10^-places."""
+    unit = 10**places
+    return f"((2 * CAST({part} AS HUGEINT) * {unit} + {whole}) // (2 * CAST({whole} AS HUGEINT)))"
+
+
 BUCKETS = {
     "1m": "1 minute", "5m": "5 minutes", "15m": "15 minutes", "30m": "30 minutes",
     "1h": "1 hour", "4h": "4 hours", "1d": "1 day",

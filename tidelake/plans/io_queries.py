@@ -15,7 +15,7 @@ from tidelake.plans.batch_queries import _TICKER_SQL, _stamp, _tickers
 from tidelake.plans.catalog import (
     CODES, TICKS, TRADES, all_candles_sql, candle_columns, candles_sql, query,
 )
-from tidelake.plans.ranking_queries import MART_DIGITS, mart, mart_sql, _SCORED
+from tidelake.plans.ranking_queries import MART_DIGITS, _SCORED, mart_sql
 from tidelake.session import materialize, new_path
 from tidelake.sinks import tables
 from tidelake.sources import files
@@ -160,8 +160,7 @@ def s10(spark, d):
 
 @query("s11_discover_symbols", "SELECT DISTINCT event_type AS symbol FROM events")
 def s11(spark, d):
-    schema = files.with_layout(schemas.RAW_TRADE)
-    return files.discover_symbols(files.load_silver(spark, _landed(spark, d, "parquet"), "trades", schema))
+    return files.discover_symbols(spark, _landed(spark, d, "parquet"))
 
 
 @query(

@@ -8,38 +8,47 @@ from pyspark.sql import functions as F
 from tidelake.operators import candles as C
 from tidelake.operators import filters, flow, ranking, ranks
 from tidelake.plans import inputs as I
-from tidelake.plans.batch_queries import _FLOW, _TICKER_SQL, _stamp, _tickers, STAMP
-from tidelake.plans.catalog import CODES, TICKS, candles_sql, query
+from tidelake.plans.batch_queries import (
+    STAMP, WHALE_SQL, _FLOW, _TICKER_SQL, _stamp, _tickers,
+)
+from tidelake.plans.catalog import CODES, TICKS, candles_sql, half_up, query
 from tidelake.session import materialize
 
 _DAILY = f"{TICKS}, {candles_sql('1d', 'daily')}"
 
-# Spark's decimal division and mean round at fixed places: 8 and 12 for the taker ratio,
-# 6 for the volume trend. The same steps are spelled out here.
-_TOTALS = """totals AS (
+# Decimal division and mean round half up at fixed places: 8 and 12 for the taker ratio,
+# 6 (then 4) for the volume trend. The same is done here in integers, volumes as cents.
+_TAKER = half_up("taker_buy_quote_volume * 100", "CAST(volume_quote * 100 AS HUGEINT)", 8)
+_MEAN = half_up("sum(taker8) * 10000", "count(taker8)", 0)
+
+_TOTALS = f"""shares AS (
+  SELECT *, CASE WHEN volume_quote > 0 THEN {_TAKER} END AS taker8 FROM daily),
+totals AS (
   SELECT symbol_id, sum(volume_quote) AS total_volume_quote, sum(num_trades) AS total_num_trades,
-    round(CAST(sum(CASE WHEN volume_quote > 0 THEN CAST(round(CAST(taker_buy_quote_volume AS DOUBLE)
-      / CAST(volume_quote AS DOUBLE), 8) AS DECIMAL(38,8)) END) AS DOUBLE)
-      / count(CASE WHEN volume_quote > 0 THEN 1 END), 12) AS avg_taker_buy_ratio,
+    CASE WHEN count(taker8) > 0 THEN CAST({_MEAN} AS DOUBLE) / 1e12 END AS avg_taker_buy_ratio,
     count(*) AS candle_count,
     sum(CASE WHEN close_price > open_price THEN 1 ELSE 0 END) AS bullish_candles,
     CAST(sum(CASE WHEN close_price > open_price THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS bullish_ratio
-  FROM daily GROUP BY 1)"""
+  FROM shares GROUP BY 1)"""
 
 _NUMBERED = """numbered AS (
   SELECT *, row_number() OVER (PARTITION BY symbol_id ORDER BY open_time) AS row_num,
     count(*) OVER (PARTITION BY symbol_id) AS total_rows FROM daily),
 halved AS (SELECT *, CASE WHEN row_num * 2 <= total_rows THEN 'first' ELSE 'second' END AS half FROM numbered)"""
 
-_TREND = f"""{_NUMBERED}, halves AS (
-  SELECT symbol_id, CAST(sum(CASE WHEN half = 'first' THEN volume_quote END) AS DOUBLE) / nullif(count(*) FILTER (half = 'first'), 0) AS f,
-    CAST(sum(CASE WHEN half = 'second' THEN volume_quote END) AS DOUBLE) / nullif(count(*) FILTER (half = 'second'), 0) AS s
+_RATIO6 = half_up("sv * fn", "CAST(fv * sn AS HUGEINT)", 6)
+
+_TREND = f"""{_NUMBERED}, cents AS (
+  SELECT symbol_id, count(*) FILTER (half = 'first') AS fn, count(*) FILTER (half = 'second') AS sn,
+    CAST(sum(CASE WHEN half = 'first' THEN volume_quote * 100 END) AS HUGEINT) AS fv,
+    CAST(sum(CASE WHEN half = 'second' THEN volume_quote * 100 END) AS HUGEINT) AS sv
   FROM halved GROUP BY 1),
-trend AS (SELECT symbol_id, CASE WHEN f > 0 THEN round(CAST(s / f AS DECIMAL(38,6)), 4) ELSE 1.0 END AS volume_trend FROM halves)"""
+halves AS (SELECT symbol_id, CAST(fv AS DOUBLE) / 100 / nullif(fn, 0) AS f, CAST(sv AS DOUBLE) / 100 / nullif(sn, 0) AS s FROM cents),
+trend AS (SELECT symbol_id, CASE WHEN fv > 0 THEN CAST(({_RATIO6} + 50) // 100 AS DOUBLE) / 1e4 ELSE 1.0 END AS volume_trend FROM cents)"""
 
 _COMBINED = f"""{_DAILY}, {_TOTALS}, {_TREND}, {_FLOW}, {CODES},
 metrics AS (SELECT symbol_id, bought - sold AS money_flow,
-  CASE WHEN wb + ws > 0 THEN round(CAST(wb AS DOUBLE) / CAST(wb + ws AS DOUBLE), 6) END AS whale FROM flows),
+  {WHALE_SQL} AS whale FROM flows),
 combined AS (
   SELECT t.symbol_id, c.symbol_code, total_volume_quote, total_num_trades, volume_trend, money_flow,
     whale AS whale_ratio_raw, coalesce(whale, 0.5) AS whale_buy_ratio,
@@ -116,8 +125,8 @@ def a6(spark, d):
 
 @query(
     "a7_taker_ratio",
-    f"WITH {_DAILY}, {_TOTALS} SELECT symbol_id, round(avg_taker_buy_ratio, 8) AS avg_taker_buy_ratio FROM totals",
-    avg_taker_buy_ratio=8,
+    f"WITH {_DAILY}, {_TOTALS} SELECT symbol_id, avg_taker_buy_ratio FROM totals",
+    avg_taker_buy_ratio=12,
 )
 def a7(spark, d):
     return ranking.candle_totals(daily(spark, d)).select("symbol_id", "avg_taker_buy_ratio")
@@ -312,9 +321,9 @@ def r3(spark, d):
 
 @query(
     "r5_neutral_fill",
-    f"""WITH {_COMBINED} SELECT symbol_id, whale_buy_ratio, round(avg_taker_buy_ratio, 8) AS avg_taker_buy_ratio,
+    f"""WITH {_COMBINED} SELECT symbol_id, whale_buy_ratio, avg_taker_buy_ratio AS avg_taker_buy_ratio,
 bullish_ratio, CAST(money_flow_filled AS DOUBLE) AS money_flow_filled FROM combined""",
-    whale_buy_ratio=6, avg_taker_buy_ratio=8,
+    whale_buy_ratio=6, avg_taker_buy_ratio=12,
 )
 def r5(spark, d):
     return combined(spark, d).select(

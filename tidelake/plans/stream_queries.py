@@ -12,7 +12,7 @@ from tidelake.operators import candles as C
 from tidelake.operators import contract
 from tidelake.plans import inputs as I
 from tidelake.plans.catalog import TICKS, all_candles_sql, candle_columns, candles_sql, query
-from tidelake.plans.io_queries import LANDED_SQL, _LANDED_TOTALS, landed_totals, trade_rows
+from tidelake.plans.io_queries import _LANDED_TOTALS, landed_totals, trade_rows
 from tidelake.session import new_path
 from tidelake.sinks import tables
 from tidelake.sources import files

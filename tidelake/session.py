@@ -26,7 +26,14 @@ def get_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     options: dict[str, str] | None = None,
+    initial_partitions: int | None = None,
 ) -> SparkSession:
+    """Create or get a session with the engine's options.
+
+    Adaptive execution merges shuffle partitions but never adds any, so large batch jobs
+    set ``initial_partitions`` to about shuffle bytes / 128 MB. ``shuffle_partitions``
+    then only matters for stateful streams, which cannot change it later.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -34,6 +41,10 @@ def get_session(
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if initial_partitions:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions)
+        )
     return builder.getOrCreate()
 
 

@@ -80,9 +80,14 @@ def load_trades_csv(spark: SparkSession, path: str, schema: StructType) -> DataF
     return None if df is None else df.select("*", from_file_name().alias("symbol"))
 
 
-def discover_symbols(df: DataFrame) -> DataFrame:
-    """Sorted distinct symbols of a partitioned dataset."""
-    return df.select("symbol").distinct().orderBy("symbol")
+def discover_symbols(spark: SparkSession, path: str) -> DataFrame:
+    """Sorted distinct symbols of a partitioned dataset, from its file list: no file of
+    the dataset is opened."""
+    found = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        .select(F.regexp_extract("path", "/symbol=([^/]+)/", 1).alias("symbol"))
+    )
+    return found.filter(F.col("symbol") != "").distinct().orderBy("symbol")
 
 
 def layout_time() -> Column:
