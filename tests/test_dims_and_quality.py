@@ -118,14 +118,14 @@ def test_drift_repair(spark, lake, tmp_path):
     scan = quality.scan_drift(spark, str(lake), "trades")
     schema = files.with_layout(schemas._struct("price:string qty:string trade_id:long", schemas._T))
     target = tmp_path / "fixed"
-    planned = quality.repair_drift(spark, scan, str(lake), str(target), schema, dry_run=True)
+    planned = quality.repair_drift(spark, scan, str(target), schema, dry_run=True)
     assert {r.action for r in planned.collect()} == {"DRY_RUN"} and not target.exists()
-    done = quality.repair_drift(spark, scan, str(lake), str(target), schema)
+    done = quality.repair_drift(spark, scan, str(target), schema)
     assert done.count() == 2
     fixed = spark.read.schema(schema).parquet(str(target))
     assert values(fixed, "trade_id", "price", "qty", "symbol", "hour") == [
-        (3, "1.5", "1.5", "A", "01"), (4, "2.0", "2", "A", "01"), (5, "1.5", "5", "B", "00"), (6, "2.0", "6", "B", "00"),
+        (3, "1.5", "1.5", "A", "01"), (4, "2", "2", "A", "01"), (5, "1.5", "5", "B", "00"), (6, "2", "6", "B", "00"),
     ]
     assert {r.status for r in quality.scan_drift(spark, str(target), "trades").collect()} == {"OK"}
-    one = quality.repair_drift(spark, scan, str(lake), str(tmp_path / "one"), schema, limit=1)
+    one = quality.repair_drift(spark, scan, str(tmp_path / "one"), schema, limit=1)
     assert one.count() == 1 and spark.read.schema(schema).parquet(str(tmp_path / "one")).count() == 2

@@ -45,6 +45,13 @@ def test_mart_types(spark):
     assert flow.trade_metrics(trades(spark, (1, 1, True))).schema.simpleString() == schemas.MART_TRADE_METRICS.simpleString()
 
 
+def test_whale_ratio_is_rounded_once(spark):
+    # 56992076.86 / 99658363.95 = 0.57187449..., which two roundings would make ...875
+    base = [(1, 1, False)] * 900
+    row = one(spark, *base, (1, "56992076.86", False), (1, "42666287.09", True))
+    assert row.whale_buy_ratio == D("0.571874")
+
+
 def brute_force(rows):
     groups = defaultdict(list)
     for symbol, quantity, maker in rows:

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidelake.operators.contract import TEXT_FIELDS
 from tidelake.operators.filters import strangers
@@ -50,49 +52,52 @@ def reconcile(counts: DataFrame, baseline: DataFrame, tolerance: float = 0.0001)
 
 # ------------------------------------------------------------------- schema drift
 
+LAYOUT = ("date", "symbol", "hour")
+
 _SCAN = (
-    "path string, date string, hour string, symbol string, status string, "
-    "drift_column string, drift_type string, drift_types string, num_rows long, created_by string"
+    "path string, date string, symbol string, hour string, status string, "
+    "drift_column string, drift_type string, num_rows long, created_by string"
 )
 
 
+def _open(uri: str):
+    """A file named by Spark, opened through Arrow (runs on executors)."""
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    return system.open_input_file(name)
+
+
 def scan_drift(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """One row per Parquet file below ``path``: OK, DRIFT or ERROR.
 
     A file drifts if a field pinned to text is stored as something else; the first such
-    field in contract order is reported, all of them in ``drift_types``. The file list
-    is a DataFrame, and executors read nothing but footers.
+    field in contract order is reported. The file list is a DataFrame, and executors read
+    nothing but footers.
     """
     fields = TEXT_FIELDS[dataset]
 
     def inspect(batches):
         import pandas as pd
         import pyarrow.parquet as pq
-        from pyarrow import fs
 
         def one(uri: str) -> tuple:
             try:
-                system, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-                with system.open_input_file(name) as handle:
+                with _open(uri) as handle:
                     footer = pq.ParquetFile(handle)
                     schema, meta = footer.schema_arrow, footer.metadata
             except Exception as error:  # any unreadable file is a finding, not a failure
-                return ("ERROR", "", str(error)[:80], "", 0, "")
-            drifted = [
-                (f, str(schema.field(f).type))
-                for f in fields
-                if f in schema.names and str(schema.field(f).type) not in ("string", "large_string")
-            ]
-            column, kind = drifted[0] if drifted else ("", "")
-            every = ",".join(f"{f}:{t}" for f, t in drifted)
-            status = "DRIFT" if drifted else "OK"
-            return (status, column, kind, every, meta.num_rows, meta.created_by or "")
-
+                return ("ERROR", "", str(error)[:80], 0, "")
+            for name in fields:
+                if name in schema.names:
+                    kind = str(schema.field(name).type)
+                    if kind not in ("string", "large_string"):
+                        return ("DRIFT", name, kind, meta.num_rows, meta.created_by or "")
+            return ("OK", "", "", meta.num_rows, meta.created_by or "")
+
+        found_columns = ["status", "drift_column", "drift_type", "num_rows", "created_by"]
         for batch in batches:
-            found = pd.DataFrame(
-                [one(uri) for uri in batch["path"]],
-                columns=["status", "drift_column", "drift_type", "drift_types", "num_rows", "created_by"],
-            )
+            found = pd.DataFrame([one(uri) for uri in batch["path"]], columns=found_columns)
             yield pd.concat([batch.reset_index(drop=True), found], axis=1)
 
     def part(name: str):
@@ -103,7 +108,7 @@ def scan_drift(spark: SparkSession, path: str, dataset: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(path)
-        .select("path", part("date"), part("hour"), part("symbol"))
+        .select("path", *[part(name) for name in LAYOUT])
     )
     return files.mapInPandas(inspect, _SCAN)
 
@@ -123,38 +128,46 @@ def drift_summaries(scans: dict[str, DataFrame]) -> DataFrame:
 def repair_drift(
     spark: SparkSession,
     scan: DataFrame,
-    source: str,
     target: str,
-    schema,
+    schema: StructType,
     dry_run: bool = False,
     limit: int | None = None,
 ) -> DataFrame:
-    """Write the drifted files, with all fields of ``schema`` in its types, below ``target``.
+    """Write the drifted files, in the types of ``schema``, below ``target``.
 
-    Files are grouped by the kinds of drift found, since each group shares one physical
-    layout, and every group is one read with partition columns taken from ``source``.
-    The originals are untouched; the caller swaps folders once the copy is checked.
-    Returns the drifted files with what was (or would be) done. ``limit`` is a bound on
-    the files treated in one run, in path order.
+    One job: the paths are spread over the cluster, each task reads its files batch by
+    batch and casts what differs, and Spark writes the landing layout. The originals are
+    untouched; the caller swaps folders once the copy is checked. ``limit`` bounds the
+    files treated in one run, in path order. Returns what was (or would be) done.
     """
     drifted = scan.filter(F.col("status") == "DRIFT")
     if limit is not None:
         drifted = drifted.orderBy("path").limit(limit)
-    if not dry_run:
-        kinds = [r.drift_types for r in drifted.select("drift_types").distinct().collect()]
-        for kind in kinds:
-            paths = [r.path for r in drifted.filter(F.col("drift_types") == kind).select("path").toLocalIterator()]
-            stored = dict(pair.split(":", 1) for pair in kind.split(","))
-            physical = [(f.name, stored.get(f.name, f.dataType.simpleString())) for f in schema]
-            ddl = ", ".join(f"`{n}` {_ARROW_TO_SPARK.get(t, t)}" for n, t in physical)
-            rows = spark.read.schema(ddl).option("basePath", source).parquet(*paths)
-            fixed = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema])
-            fixed.write.mode("append").partitionBy("date", "symbol", "hour").parquet(target)
-    action = F.lit("DRY_RUN" if dry_run else "REWRITTEN")
-    return drifted.select("path", "drift_types", "num_rows", action.alias("action"))
+    columns = to_arrow_schema(schema)
+
+    def rewrite(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
 
+        for batch in batches:
+            for file in batch.to_pylist():
+                handle = _open(file["path"])
+                with handle:
+                    for rows in pq.ParquetFile(handle).iter_batches():
+                        fields = []
+                        for field in columns:
+                            if field.name in LAYOUT:
+                                values = pa.array([file[field.name]] * rows.num_rows, field.type)
+                            elif field.name in rows.schema.names:
+                                values = rows.column(field.name).cast(field.type)
+                            else:
+                                values = pa.nulls(rows.num_rows, field.type)
+                            fields.append(values)
+                        yield pa.RecordBatch.from_arrays(fields, schema=columns)
 
-# fixed values: stored Arrow types that may replace text, as Spark types
-_ARROW_TO_SPARK = {
-    "double": "double", "float": "float", "int64": "bigint", "int32": "int", "bool": "boolean",
-}
+    if not dry_run:
+        paths = drifted.select("path", *LAYOUT).repartition("path")
+        fixed = paths.mapInArrow(rewrite, schema)
+        fixed.hint("rebalance", *LAYOUT).write.mode("append").partitionBy(*LAYOUT).parquet(target)
+    action = F.lit("DRY_RUN" if dry_run else "REWRITTEN")
+    return drifted.select("path", "drift_column", "drift_type", "num_rows", action.alias("action"))

@@ -132,5 +132,6 @@ def run_batch(
         mart = ranking.top_coins(
             daily, warehouse.metrics(spark), dim, top_n, adjust=adjust, computed_at=now
         )
-        tables.append_history(mart, warehouse.path("mart_top_coins"))
+        with stored(mart, "top") as rows:
+            tables.append_history(rows, warehouse.path("mart_top_coins"))
     return run

@@ -418,7 +418,7 @@ def d8(spark, d):
     path, target = _drifted(spark, d), new_path(spark, "repaired")
     schema = files.with_layout(schemas.RAW_TRADE)
     scan = materialize(quality.scan_drift(spark, path, "trades"), "scan")
-    quality.repair_drift(spark, scan, path, target, schema)
+    quality.repair_drift(spark, scan, target, schema)
     rows = spark.read.schema(schema).parquet(target)
     return rows.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("price").cast("decimal(18,2)")).alias("total")

@@ -90,6 +90,23 @@ class KeyedTable:
             merged = merge_frames(target, rows, keys, self.rules if rules is None else rules)
             _write(merged, self.path, names)
 
+    def insert_new(self, source: DataFrame) -> None:
+        """Append the rows whose key is not stored yet; stored rows never change.
+
+        Reads no more than the keys of the partitions the source falls in, and rewrites
+        nothing. The source's own keys must be unique.
+        """
+        names = list(self.partitions)
+        incoming = source.select(*self.schema.fieldNames()).withColumns(self.partitions)
+        with stored(incoming, "insert") as rows:
+            touched = [tuple(r) for r in rows.select(*names).distinct().collect()]
+            if not touched:
+                return
+            keys = [*self.keys, *[n for n in names if n not in self.keys]]
+            known = self.partitions_of(source.sparkSession, touched).select(*keys)
+            fresh = rows.join(known, keys, "left_anti")
+            fresh.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(self.path)
+
     def partitions_of(self, spark: SparkSession, wanted: list[tuple]) -> DataFrame:
         """The rows of exactly these partitions; the rest is pruned by folder."""
         label = F.concat_ws("\u0001", *[F.col(n).cast("string") for n in self.partitions])
