@@ -71,6 +71,28 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert table.read(spark).schema.simpleString() == schemas.FACT_KLINES.simpleString()
 
 
+def test_long_intervals_share_a_folder_per_month(spark, tmp_path):
+    table = tables.fact_klines(str(tmp_path / "fact"))
+    days = ("2024-01-05", "2024-01-31", "2024-02-01")
+    table.upsert(candles(spark, *[candle(1, f"{d}T00:00:00", interval="1d") for d in days]))
+    assert sorted(p.name for p in (tmp_path / "fact" / "interval_code=1d").iterdir()) == [
+        "open_date=2024-01-01", "open_date=2024-02-01",
+    ]
+    table.upsert(candles(spark, candle(1, "2024-01-31T00:00:00", o=7, interval="1d")))
+    assert {r[1].day: r[2] for r in stored(spark, table)} == {5: D(10), 31: D(7), 1: D(10)}
+    wanted = tables.kline_partitions(["1m", "1d"], [T("2024-01-05").date(), T("2024-01-06").date()])
+    assert [(c, str(d)) for c, d in wanted] == [("1d", "2024-01-01"), ("1m", "2024-01-05"), ("1m", "2024-01-06")]
+
+
+def test_insert_new_appends_only_unknown_keys(spark, tmp_path):
+    table = tables.fact_klines(str(tmp_path / "fact"))
+    table.insert_new(candles(spark, candle(1, "2024-01-01T00:00:00", o=1)))
+    batch = candles(spark, candle(1, "2024-01-01T00:00:00", o=9), candle(1, "2024-01-01T00:01:00", o=2))
+    for _ in range(2):
+        table.insert_new(batch)
+    assert [r[2] for r in stored(spark, table)] == [D(1), D(2)]
+
+
 def test_upsert_survives_a_static_overwrite_default(spark, tmp_path):
     key = "spark.sql.sources.partitionOverwriteMode"
     spark.conf.set(key, "static")

@@ -18,8 +18,12 @@ _SUM = DecimalType(38, 12)
 
 
 def _sum_if(condition: Column) -> Column:
-    """Sum of quote_qty where the condition holds; unknown maker flags add nothing."""
-    return F.sum(F.when(condition, F.col("quote_qty")).otherwise(F.lit(0)))
+    """Sum of quote_qty where the condition holds; unknown maker flags add nothing.
+
+    Other rows are NULL rather than 0, which spares the decimal addition.
+    """
+    total = F.sum(F.when(condition, F.col("quote_qty")))
+    return F.coalesce(total, F.lit(0)).cast(AMOUNT)
 
 
 def whale_threshold(average: Column, deviation: Column) -> Column:
@@ -36,8 +40,8 @@ def trade_totals(trades: DataFrame) -> DataFrame:
     """
     sold = F.col("is_buyer_maker")
     return trades.groupBy("symbol_id").agg(
-        _sum_if(~sold).cast(AMOUNT).alias("total_buy_volume"),
-        _sum_if(sold).cast(AMOUNT).alias("total_sell_volume"),
+        _sum_if(~sold).alias("total_buy_volume"),
+        _sum_if(sold).alias("total_sell_volume"),
         F.count(F.lit(1)).alias("total_trades"),
         whale_threshold(F.avg("quote_qty"), F.stddev_samp("quote_qty")).alias("whale_threshold"),
     )
@@ -64,8 +68,8 @@ def whale_volumes(
         .filter(F.col("quote_qty").cast("double") > F.col("whale_threshold"))
         .groupBy("symbol_id")
         .agg(
-            _sum_if(~sold).cast(AMOUNT).alias("whale_buy_volume"),
-            _sum_if(sold).cast(AMOUNT).alias("whale_sell_volume"),
+            _sum_if(~sold).alias("whale_buy_volume"),
+            _sum_if(sold).alias("whale_sell_volume"),
         )
     )
 

@@ -117,9 +117,11 @@ def run_batch(
 
     if trades is not None:
         with run.stage("mart_trade_metrics"):
+            # Stored narrow, so that two passes do not parse the raw text twice.
             facts = contract.trade_facts(dims.with_symbol_id(trades, dim))
-            metrics = flow.trade_metrics(facts, now)
-            tables.replace_snapshot(metrics, warehouse.path("mart_trade_metrics"))
+            with stored(facts, "trades") as rows:
+                metrics = flow.trade_metrics(rows, now)
+                tables.replace_snapshot(metrics, warehouse.path("mart_trade_metrics"))
 
     with run.stage("fact_ticker_24h_snapshots"):
         facts = contract.ticker_facts(dims.with_symbol_id(tickers, dim), now)

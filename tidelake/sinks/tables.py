@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from contextlib import nullcontext
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -114,14 +115,28 @@ class KeyedTable:
         return self.read(spark, keep_partitions=True).filter(label.isin(names))
 
 
+# Intervals with so few candles a day that a folder holds a month of them.
+MONTHLY = ("4h", "1d")
+
+
 def fact_klines(path: str, rules: dict[str, str] | None = None) -> KeyedTable:
+    """Candles by interval and day; long intervals by interval and first of the month."""
+    monthly = F.col("interval_code").isin(*MONTHLY)
+    slot = F.when(monthly, F.trunc("open_time", "month")).otherwise(F.to_date("open_time"))
     return KeyedTable(
         path, schemas.FACT_KLINES, schemas.KEYS["fact_klines"],
-        {"interval_code": F.col("interval_code"), "open_date": F.to_date("open_time")},
+        {"interval_code": F.col("interval_code"), "open_date": slot},
         rules or {},
     )
 
 
+def kline_partitions(intervals, days: list[date]) -> list[tuple]:
+    """The partitions of :func:`fact_klines` that hold these intervals of these days."""
+    return sorted({
+        (code, day.replace(day=1) if code in MONTHLY else day) for code in intervals for day in days
+    })
+
+
 def fact_ticker(path: str) -> KeyedTable:
     return KeyedTable(
         path, schemas.FACT_TICKER, schemas.KEYS["fact_ticker_24h_snapshots"],
