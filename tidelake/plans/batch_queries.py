@@ -221,7 +221,7 @@ def d5(spark, d):
 
 @query(
     "d6_null_counts",
-    """WITH m AS (SELECT CASE WHEN user_id % 7 = 0 THEN NULL ELSE ts END AS open_time,
+    """WITH m AS (SELECT CASE WHEN event_type = 'signup' THEN NULL ELSE ts END AS open_time,
   CASE WHEN event_type = 'error' THEN NULL ELSE value END AS open_price, user_id AS symbol_id FROM events)
 SELECT 'symbol_id' AS column_name, count(*) FILTER (symbol_id IS NULL) AS nulls FROM m
 UNION ALL SELECT 'open_time', count(*) FILTER (open_time IS NULL) FROM m
@@ -230,7 +230,7 @@ UNION ALL SELECT 'open_price', count(*) FILTER (open_price IS NULL) FROM m""",
 def d6(spark, d):
     rows = I.table(spark, d, "events").select(
         F.col("user_id").alias("symbol_id"),
-        F.when(F.col("user_id") % 7 != 0, F.col("ts")).alias("open_time"),
+        F.when(F.col("event_type") != "signup", F.col("ts")).alias("open_time"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("open_price"),
     )
     return quality.null_counts(rows, ["symbol_id", "open_time", "open_price"])
@@ -240,8 +240,8 @@ def d6(spark, d):
 
 _MERGE_SIDES = """old AS (SELECT o_orderkey AS k, o_orderstatus AS status, CAST(o_totalprice AS DECIMAL(18,2)) AS price,
     o_orderdate AS at FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
-  new AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'N' END AS status,
-    CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 3 = 1 THEN CAST(o_totalprice AS DECIMAL(18,2)) + 1
+  new AS (SELECT o_orderkey AS k, CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE 'N' END AS status,
+    CASE WHEN o_orderstatus = 'F' THEN NULL WHEN o_orderstatus = 'O' THEN CAST(o_totalprice AS DECIMAL(18,2)) + 1
          ELSE CAST(o_totalprice AS DECIMAL(18,2)) - 1 END AS price,
     o_orderdate AS at FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')"""
 
@@ -252,15 +252,17 @@ def _merge_sides(spark, d):
         F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").cast(I.MONEY).alias("price"),
         F.col("o_orderdate").alias("at"),
+        F.col("o_orderpriority").alias("priority"),
     )
-    price, k = F.col("price"), F.col("k")
+    price, status = F.col("price"), F.col("status")
+    changed = F.when(status == "O", price + 1).when(status != "F", price - 1)
     new = orders.filter("at >= timestamp_ntz'1998-01-01'").select(
         "k",
-        F.when(k % 5 != 0, F.lit("N")).alias("status"),
-        F.when(k % 3 == 1, price + 1).when(k % 3 == 2, price - 1).cast(I.MONEY).alias("price"),
+        F.when(F.col("priority") != "1-URGENT", F.lit("N")).alias("status"),
+        changed.cast(I.MONEY).alias("price"),
         "at",
     )
-    return orders.filter("at < timestamp_ntz'1999-01-01'"), new
+    return orders.filter("at < timestamp_ntz'1999-01-01'").drop("priority"), new
 
 
 @query(
@@ -329,9 +331,9 @@ SELECT c.symbol_id, count(*) AS n, CAST(sum(q) AS DOUBLE) AS quote_qty, count(*)
 FROM trades t JOIN codes c ON t.symbol_id = c.symbol_id GROUP BY 1""",
 )
 def p3(spark, d):
-    # every seventh order lacks its quote quantity, which is then price x quantity
+    # maker buys lack their quote quantity, which is then price x quantity
     raw = I.trade_records(spark, d).withColumn(
-        "quote_qty", F.when(F.col("trade_id") % 7 != 0, F.col("quote_qty"))
+        "quote_qty", F.when(~F.col("is_buyer_maker"), F.col("quote_qty"))
     )
     dim = materialize(I.dim(spark, d), "dim")
     facts = contract.trade_facts(dims.with_symbol_id(raw, dim))
@@ -345,15 +347,15 @@ def p3(spark, d):
 @query(
     "p4_alias_resolution",
     """SELECT o_orderkey,
-  CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE o_totalprice + 1 END AS "quoteVolume",
+  CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE o_totalprice + 1 END AS "quoteVolume",
   o_orderstatus AS "lastPrice" FROM orders""",
 )
 def p4(spark, d):
-    even = F.col("o_orderkey") % 2 == 0
+    both = F.col("o_orderstatus") == "O"
     rows = I.table(spark, d, "orders").select(
         "o_orderkey",
         (F.col("o_totalprice") + 1).alias("quote_volume"),
-        F.when(even, F.col("o_totalprice")).alias("quoteVolume"),
+        F.when(both, F.col("o_totalprice")).alias("quoteVolume"),
         F.col("o_orderstatus").alias("last_price"),
     )
     return contract.normalise(rows, "ticker")
@@ -361,27 +363,25 @@ def p4(spark, d):
 
 @query(
     "p5_ingest_contract",
-    """SELECT event_id AS trade_id, CASE WHEN event_id % 4 = 0 THEN 'UNKNOWN' ELSE event_type END AS symbol,
-  CASE WHEN event_id % 3 = 2 THEN 1706745600000 ELSE epoch_us(ts) // 1000 END AS event_ms,
-  CAST(CAST(CASE WHEN event_id % 3 = 2 THEN TIMESTAMP '2024-02-01' ELSE ts END AS DATE) AS VARCHAR) AS date,
-  strftime(CASE WHEN event_id % 3 = 2 THEN TIMESTAMP '2024-02-01' ELSE ts END, '%H') AS hour,
-  CASE WHEN event_id % 3 <> 2 THEN epoch_us(ts) // 1000 END AS time
+    """SELECT event_id AS trade_id, CASE WHEN event_type = 'signup' THEN 'UNKNOWN' ELSE event_type END AS symbol,
+  CASE WHEN event_type = 'error' THEN 1706745600000 ELSE epoch_us(ts) // 1000 END AS event_ms,
+  CAST(CAST(CASE WHEN event_type = 'error' THEN TIMESTAMP '2024-02-01' ELSE ts END AS DATE) AS VARCHAR) AS date,
+  strftime(CASE WHEN event_type = 'error' THEN TIMESTAMP '2024-02-01' ELSE ts END, '%H') AS hour
 FROM events""",
 )
 def p5(spark, d):
-    # a third each: socket record, fetched record (no event_time), record without time
+    # socket records have an event time, fetched ones (view) only a trade time, errors none
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    kind = F.col("event_id") % 3
+    kind = F.col("event_type")
     rows = I.table(spark, d, "events").select(
         F.col("event_id").alias("trade_id"),
-        F.when(F.col("event_id") % 4 != 0, F.col("event_type")).alias("symbol"),
-        F.when(kind == 0, ms).when(kind == 2, F.lit(0)).alias("event_time"),
-        F.when(kind <= 1, ms).alias("time"),
+        F.when(kind != "signup", kind).alias("symbol"),
+        F.when(kind == "error", F.lit(0)).when(kind != "view", ms).alias("event_time"),
+        F.when(kind != "error", ms).alias("time"),
     )
     fallback = F.lit(1_706_745_600_000).cast("long")
     return contract.ingest_contract(rows, "trades", fallback).select(
-        "trade_id", "symbol", "event_ms", "date", "hour",
-        F.when(F.col("trade_id") % 3 != 2, F.col("time")).alias("time"),
+        "trade_id", "symbol", "event_ms", "date", "hour"
     )
 
 
@@ -415,11 +415,11 @@ def p7(spark, d):
 
 @query(
     "p8_json_values",
-    "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE event_id % 10 <> 0",
+    "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE event_type <> 'error'",
 )
 def p8(spark, d):
-    # every tenth value is cut off, so it does not parse and is filtered
-    props = F.when(F.col("event_id") % 10 != 0, F.col("props")).otherwise(F.lit('{"k": '))
+    # values of errors are cut off, so they do not parse and are filtered
+    props = F.when(F.col("event_type") != "error", F.col("props")).otherwise(F.lit('{"k": '))
     body = F.concat(F.lit('{"event_id": '), F.col("event_id"), F.lit(', "p": '), props, F.lit("}"))
     rows = I.table(spark, d, "events").select(body.alias("value"))
     parsed = contract.parse_json(rows, "event_id bigint, p struct<k:bigint>")
@@ -442,12 +442,12 @@ def p9(spark, d):
 @query(
     "f1_required_fields",
     """SELECT event_id, round(value, 2) AS quote_qty FROM events
-WHERE event_type <> 'error' AND user_id % 9 <> 0""",
+WHERE event_type <> 'error' AND event_type <> 'signup'""",
 )
 def f1(spark, d):
     text = (
         F.when(F.col("event_type") == "error", F.lit("nan"))
-        .when(F.col("user_id") % 9 == 0, F.lit("abc"))
+        .when(F.col("event_type") == "signup", F.lit("abc"))
         .otherwise(F.col("value").cast("string"))
     )
     rows = I.table(spark, d, "events").select("event_id", text.try_cast(schemas.AMOUNT).alias("quote_qty"))
@@ -489,29 +489,34 @@ def _tickers(spark, d):
 
 @query(
     "f5_universe",
-    f"""WITH {_TICKER_SQL}, marked AS (SELECT CASE WHEN hash_id % 12 = 6 THEN replace(symbol, 'USDT', 'UPUSDT') ELSE symbol END AS symbol, qv
-  FROM (SELECT symbol, qv, CAST(regexp_extract(symbol, 'U([0-9]+)', 1) AS BIGINT) AS hash_id FROM tick24))
+    f"""WITH {_TICKER_SQL}, marked AS (
+  SELECT CASE WHEN qv > 3500 THEN replace(symbol, 'USDT', 'UPUSDT') ELSE symbol END AS symbol, qv FROM tick24)
 SELECT symbol, CAST(qv AS DOUBLE) AS "quoteVolume" FROM marked
 WHERE symbol LIKE '%USDT' AND symbol NOT LIKE '%UPUSDT' AND qv > 0""",
 )
 def f5(spark, d):
-    number = F.regexp_extract("symbol", "U([0-9]+)", 1).cast("long")
-    leveraged = F.when(number % 12 == 6, F.regexp_replace("symbol", "USDT", "UPUSDT"))
+    # the busiest symbols are renamed to leveraged tokens
+    leveraged = F.when(F.col("quoteVolume") > 3500, F.regexp_replace("symbol", "USDT", "UPUSDT"))
     marked = _tickers(spark, d).withColumn("symbol", F.coalesce(leveraged, "symbol"))
     return filters.universe(marked)
 
 
 # ------------------------------------------------------------------------ joins (J)
 
+def _listed(spark, d):
+    """Symbols with a known quote asset; the others are unknown to the dimension."""
+    return I.dim(spark, d).filter("symbol_code NOT LIKE '%XYZ'")
+
+
 @query(
     "j1_fact_with_dim",
     f"""WITH {TICKS}, {CODES}
 SELECT c.symbol_id, count(*) AS n, CAST(sum(price) AS DOUBLE) AS total
-FROM ticks t JOIN codes c ON t.symbol_id = c.symbol_id WHERE c.symbol_id % 10 <> 3 GROUP BY 1""",
+FROM ticks t JOIN codes c ON t.symbol_id = c.symbol_id WHERE c.symbol_code NOT LIKE '%XYZ' GROUP BY 1""",
 )
 def j1(spark, d):
     rows = I.ticks(spark, d).select(I.code_of(F.col("symbol_id")).alias("symbol"), "price")
-    dim = materialize(I.dim(spark, d).filter("symbol_id % 10 <> 3"), "dim")
+    dim = materialize(_listed(spark, d), "dim")
     return dims.with_symbol_id(rows, dim).groupBy("symbol_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("price").alias("total")
     )
@@ -550,28 +555,42 @@ def j5(spark, d):
     "j6_unknown_symbols",
     f"""WITH {TICKS}, {CODES}
 SELECT event_type, symbol_code AS symbol, count(*) AS n FROM ticks JOIN codes USING (symbol_id)
-WHERE symbol_id % 10 = 3 GROUP BY 1, 2""",
+WHERE symbol_code LIKE '%XYZ' GROUP BY 1, 2""",
 )
 def j6(spark, d):
     rows = I.table(spark, d, "events").select(I.code_of(F.col("user_id")).alias("symbol"), "event_type")
-    dim = materialize(I.dim(spark, d).filter("symbol_id % 10 <> 3"), "dim")
+    dim = materialize(_listed(spark, d), "dim")
     rejected = dims.unknown_symbols(rows, dim)
     return rejected.groupBy("event_type", "symbol").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --------------------------------------------------------------------- dimension (D)
 
-_OLD_DIM = """old AS (SELECT row_number() OVER (ORDER BY symbol_code) AS symbol_id, symbol_code
-  FROM codes WHERE symbol_id % 2 = 0)"""
-_IDS = f"""{CODES}, {_OLD_DIM}, ids AS (
+# Known before: users of the first half day. Found this time: users of the last days.
+_OLD_DIM = """early AS (SELECT DISTINCT user_id FROM events WHERE ts < TIMESTAMP '2024-01-01 12:00:00'),
+found AS (SELECT DISTINCT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-29'),
+old AS (SELECT row_number() OVER (ORDER BY symbol_code) AS symbol_id, symbol_code
+  FROM codes WHERE symbol_id IN (SELECT user_id FROM early))"""
+_IDS_OF = """{codes}, {old}, ids AS (
   SELECT symbol_id, symbol_code, false AS fresh FROM old
   UNION ALL
   SELECT (SELECT max(symbol_id) FROM old) + row_number() OVER (ORDER BY symbol_code), symbol_code, true
-  FROM codes WHERE symbol_id % 2 <> 0)"""
+  FROM codes WHERE symbol_id NOT IN (SELECT user_id FROM early){extra})"""
+
+
+_IDS = _IDS_OF.format(codes=CODES, old=_OLD_DIM, extra="")
+_FOUND_IDS = _IDS_OF.format(
+    codes=CODES, old=_OLD_DIM, extra=" AND symbol_id IN (SELECT user_id FROM found)"
+)
+
+
+def _users(spark, d, condition):
+    seen = I.table(spark, d, "events").filter(condition).select("user_id").distinct()
+    return seen.select(I.code_of(F.col("user_id")).alias("symbol_code"))
 
 
 def _old_dim(spark, d):
-    half = I.dim(spark, d).filter("symbol_id % 2 = 0").select("symbol_code")
+    half = _users(spark, d, "ts < timestamp_ntz'2024-01-01 12:00:00'")
     empty = spark.createDataFrame([], schemas.DIM_SYMBOLS)
     return dims.build_dim(empty, half, F.lit("2024-01-01").cast("timestamp"))
 
@@ -589,29 +608,27 @@ def d3_ranged(spark, d):
 
 @query(
     "d1_symbol_dimension",
-    f"""WITH {_IDS} SELECT ids.symbol_id, ids.symbol_code,
+    f"""WITH {_FOUND_IDS} SELECT ids.symbol_id, ids.symbol_code,
   CASE WHEN codes.symbol_id % 6 = 5 THEN ids.symbol_code ELSE 'U' || codes.symbol_id END AS base_asset,
   CASE codes.symbol_id % 6 WHEN 0 THEN 'USDT' WHEN 1 THEN 'BUSD' WHEN 2 THEN 'FDUSD'
                      WHEN 3 THEN 'BTC' WHEN 4 THEN 'ETH' ELSE '' END AS quote_asset,
   CASE WHEN fresh THEN TIMESTAMP '{STAMP}' ELSE TIMESTAMP '2024-01-01' END AS created_at,
-  CASE WHEN codes.symbol_id % 4 = 0 THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '{STAMP}' END AS updated_at
+  CASE WHEN codes.symbol_id IN (SELECT user_id FROM found) THEN TIMESTAMP '{STAMP}'
+       ELSE TIMESTAMP '2024-01-01' END AS updated_at
 FROM ids JOIN codes USING (symbol_code)""",
 )
 def d1(spark, d):
-    # multiples of 4 are known but not found this time
-    found = I.dim(spark, d).filter("symbol_id % 4 <> 0").select("symbol_code")
+    found = _users(spark, d, "ts >= timestamp_ntz'2024-01-29'")
     return dims.build_dim(_old_dim(spark, d), found, _stamp())
 
 
 @query(
     "d2_code_lookup",
-    f"WITH {CODES} SELECT symbol_code AS code, symbol_id FROM codes WHERE symbol_code LIKE 'U1%'",
+    f"WITH {CODES} SELECT symbol_code AS code, symbol_id FROM codes",
 )
 def d2(spark, d):
     dim = materialize(I.dim(spark, d), "dim")
-    wanted = dim.filter(F.col("symbol_code").startswith("U1")).select(
-        F.col("symbol_code").alias("symbol"), F.col("symbol_code").alias("code")
-    )
+    wanted = dim.select(F.col("symbol_code").alias("symbol"), F.col("symbol_code").alias("code"))
     return dims.with_symbol_id(wanted, dim)
 
 
@@ -718,17 +735,17 @@ def x5(spark, d):
 @query(
     "x6_casts",
     """SELECT o_orderkey, round(o_totalprice, 2) AS as_decimal, o_custkey AS as_long,
-  o_orderkey % 2 = 1 AS as_flag, CAST(o_custkey AS VARCHAR) AS as_text,
-  CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS maybe FROM orders""",
+  o_orderstatus = 'O' AS as_flag, CAST(o_custkey AS VARCHAR) AS as_text,
+  CASE WHEN o_orderstatus = 'O' THEN o_custkey END AS maybe FROM orders""",
 )
 def x6(spark, d):
-    even = F.col("o_orderkey") % 2 == 0
-    maybe = F.when(even, F.col("o_custkey").cast("string")).otherwise(F.lit("n/a"))
+    is_open = F.col("o_orderstatus") == "O"
+    maybe = F.when(is_open, F.col("o_custkey").cast("string")).otherwise(F.lit("n/a"))
     return I.table(spark, d, "orders").select(
         "o_orderkey",
         F.col("o_totalprice").cast("string").try_cast(schemas.AMOUNT).alias("as_decimal"),
         F.col("o_custkey").cast("string").try_cast("long").alias("as_long"),
-        F.when(even, "false").otherwise("true").try_cast("boolean").alias("as_flag"),
+        F.when(is_open, "true").otherwise("false").try_cast("boolean").alias("as_flag"),
         F.col("o_custkey").cast("string").alias("as_text"),
         maybe.try_cast("long").alias("maybe"),
     )

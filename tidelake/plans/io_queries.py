@@ -86,7 +86,7 @@ def _kline_csv_columns():
 
 @query(
     "s3_csv_scan_trades",
-    f"""WITH {TRADES} SELECT symbol_id % 10 AS digit, count(*) AS n, CAST(sum(q) AS DOUBLE) AS total,
+    f"""WITH {TRADES} SELECT symbol_id, count(*) AS n, CAST(sum(q) AS DOUBLE) AS total,
 count(*) FILTER (maker) AS makers FROM trades GROUP BY 1""",
 )
 def s3(spark, d):
@@ -97,8 +97,8 @@ def s3(spark, d):
     raw = files.load_csv(
         spark, _csv(rows.select(*schemas.CSV_TRADES.fieldNames()), "trades-csv"), schemas.CSV_TRADES
     )
-    facts = contract.trade_facts(raw.withColumn("symbol_id", F.col("trade_id") % 10))
-    return facts.groupBy(F.col("symbol_id").alias("digit")).agg(
+    facts = contract.trade_facts(raw.withColumn("symbol_id", F.col("trade_id")))
+    return facts.groupBy("symbol_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("quote_qty").alias("total"),
         F.count_if("is_buyer_maker").alias("makers"),
     )
@@ -192,12 +192,13 @@ def s13(spark, d):
 
 # ------------------------------------------------------------------------- K2 - K5
 
-@query("k2_replace_snapshot", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 2 = 1")
+@query("k2_replace_snapshot", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'O'")
 def k2(spark, d):
     path = new_path(spark, "snapshot")
-    rows = I.table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    orders = I.table(spark, d, "orders")
+    rows = orders.select("o_orderkey", "o_custkey")
     tables.replace_snapshot(rows, path)
-    tables.replace_snapshot(rows.filter("o_orderkey % 2 = 1"), path)
+    tables.replace_snapshot(orders.filter("o_orderstatus = 'O'").select("o_orderkey", "o_custkey"), path)
     return tables.read_snapshot(spark, path, rows.schema)
 
 
