@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.catalog import VOCABULARY, query, table
 from tidelake.llm.packing import pack_documents
+from tidelake.llm.simhash import near_duplicates
 from tidelake.llm.tokens import count_tokens
 
 
@@ -21,3 +22,8 @@ def op2_best_fit_packing(spark, sf_dir):
     return packed.select(
         "doc_id", F.col("piece").cast("int"), "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query("op5_simhash_near_dedup")
+def op5_simhash_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), size=3, seed=42)
