@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelake.llm.catalog import VOCABULARY, query, table
+from tidelake.llm.mixing import mix
 from tidelake.llm.packing import pack_documents
 from tidelake.llm.simhash import near_duplicates
 from tidelake.llm.tokens import count_tokens
@@ -27,3 +28,31 @@ def op2_best_fit_packing(spark, sf_dir):
 @query("op5_simhash_near_dedup")
 def op5_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, seed=42)
+
+
+@query("op10_source_mixing", sql="""
+WITH d AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS turn,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+n AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM s),
+k AS (SELECT *, row_number() OVER (ORDER BY source_size * 2::DOUBLE / w, source NULLS LAST) AS k FROM n),
+l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE
+             - coalesce(sum(source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE * 2)
+             / CAST(sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS v FROM k),
+v AS (SELECT arg_min(v, k) AS v FROM l WHERE v <= source_size * 2::DOUBLE / w),
+t AS (SELECT n.source, source_size, w, least(source_size * 2::DOUBLE, w * coalesce(v, 0)) AS target FROM n, v),
+u AS (SELECT d.*, source_size, target, 6 // w AS step,
+             sum(size) OVER (PARTITION BY d.source ORDER BY turn, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+i AS (SELECT doc_id, turn, source, size, (upto + source_size * p) * step AS finish
+      FROM u, (VALUES (0), (1)) AS passes(p) WHERE size > 0),
+r AS (SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST ROWS UNBOUNDED PRECEDING) AS sent FROM i),
+c AS (SELECT doc_id, source, size, count(*) AS times FROM r
+      WHERE sent <= (SELECT floor(sum(size) * 1.5::DOUBLE) FROM d) GROUP BY doc_id, source, size)
+SELECT u.doc_id, u.size, u.source_size, u.target, CAST(u.size * coalesce(times, 0) AS BIGINT) AS taken
+FROM u LEFT JOIN c ON u.doc_id IS NOT DISTINCT FROM c.doc_id AND u.size = c.size
+                  AND u.source IS NOT DISTINCT FROM c.source""")
+def op10_source_mixing(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, passes=2)
