@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidelake.llm.catalog import VOCABULARY, query, table
 from tidelake.llm.mixing import mix
 from tidelake.llm.packing import pack_documents
+from tidelake.llm.quality import score, train, training_part
 from tidelake.llm.simhash import near_duplicates
 from tidelake.llm.tokens import count_tokens
 
@@ -56,3 +57,13 @@ FROM u LEFT JOIN c ON u.doc_id IS NOT DISTINCT FROM c.doc_id AND u.size = c.size
                   AND u.source IS NOT DISTINCT FROM c.source""")
 def op10_source_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, passes=2)
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    forest = train(docs, table(spark, sf_dir, "labels"), sample_rows=20_000)
+    return score(docs, forest).select(
+        "doc_id", (~training_part("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
