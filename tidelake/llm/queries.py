@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.catalog import VOCABULARY, query, table
 from tidelake.llm.mixing import mix
+from tidelake.llm.outliers import quality_rules
 from tidelake.llm.packing import pack_documents
 from tidelake.llm.quality import score, train, training_part
 from tidelake.llm.simhash import near_duplicates
@@ -67,3 +68,8 @@ def op3_quality_classifier(spark, sf_dir):
         "doc_id", (~training_part("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark, sf_dir):
+    return quality_rules(table(spark, sf_dir, "documents"))
