@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelake.llm.catalog import VOCABULARY, query, table
+from tidelake.llm.licenses import scan_licenses
 from tidelake.llm.mixing import mix
 from tidelake.llm.outliers import quality_rules
 from tidelake.llm.packing import pack_documents
 from tidelake.llm.quality import score, train, training_part
 from tidelake.llm.simhash import near_duplicates
 from tidelake.llm.tokens import count_tokens
+from tidelake.llm.url_rules import judge_urls, rules_sql
 
 
 @query("op1_token_counts")
@@ -73,3 +75,25 @@ def op3_quality_classifier(spark, sf_dir):
 @query("op4_quality_rules")
 def op4_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op7_url_filters", sql=f"""
+WITH r(name, verdict, pattern, rank, reported) AS (VALUES {rules_sql()}),
+u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+      FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM u),
+m AS (SELECT page_id, host, path, r.*, row_number() OVER (PARTITION BY page_id ORDER BY rank DESC, name) AS k
+      FROM p LEFT JOIN r ON regexp_matches(host || chr(9) || path, '(?s)' || pattern))
+SELECT page_id, host, path, CASE WHEN reported THEN name END AS rule,
+       coalesce(verdict, 'allow') AS verdict, name AS matched
+FROM m WHERE k = 1""")
+def op7_url_filters(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op9_license_scan")
+def op9_license_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licenses(docs).drop("found")
