@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelake.llm.catalog import VOCABULARY, query, table
+from tidelake.llm.cws import fingerprints as cws_fingerprints
 from tidelake.llm.licenses import scan_licenses
 from tidelake.llm.mixing import mix
 from tidelake.llm.outliers import quality_rules
@@ -97,3 +98,8 @@ def op7_url_filters(spark, sf_dir):
 def op9_license_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return scan_licenses(docs).drop("found")
+
+
+@query("op8_weighted_fingerprints")
+def op8_weighted_fingerprints(spark, sf_dir):
+    return cws_fingerprints(table(spark, sf_dir, "documents"))
