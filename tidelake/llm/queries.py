@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidelake.llm.bloom_lm import fold, score_texts
 from tidelake.llm.catalog import VOCABULARY, query, table
 from tidelake.llm.cws import fingerprints as cws_fingerprints
 from tidelake.llm.licenses import scan_licenses
@@ -103,3 +104,11 @@ def op9_license_scan(spark, sf_dir):
 @query("op8_weighted_fingerprints")
 def op8_weighted_fingerprints(spark, sf_dir):
     return cws_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op6_bloom_language_model")
+def op6_bloom_language_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id") == 1
+    scored = score_texts(docs, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), *[c for c in scored.columns if c != "doc_id"])
