@@ -7,12 +7,20 @@ from pyspark.sql import functions as F
 FIRST_YEAR, LAST_YEAR = 2000, 2100
 
 
+def _epoch(value: Column | str, unit: int, convert) -> Column:
+    """A time from ``unit`` parts of a second, NULL outside years 1 to 9999. Beyond them a
+    conversion overflows or gives dates that neither Python nor folders can hold."""
+    number = (F.col(value) if isinstance(value, str) else value).try_cast("long")
+    inside = number.between(-62_135_596_800 * unit, 253_402_300_800 * unit - 1)
+    return convert(F.when(inside, number))
+
+
 def from_millis(value: Column | str) -> Column:
-    return F.timestamp_millis(value)
+    return _epoch(value, 1_000, F.timestamp_millis)
 
 
 def from_micros(value: Column | str) -> Column:
-    return F.timestamp_micros(value)
+    return _epoch(value, 1_000_000, F.timestamp_micros)
 
 
 def bucket_start(ts: Column | str, seconds: int) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from tidelake.functions import amount, as_decimal, from_micros, from_millis, utc_date, utc_hour
 from tidelake.operators.filters import require
-from tidelake.schemas import AMOUNT, FACT_KLINES, FACT_TICKER, PERCENT, STREAM_CANDLE
+from tidelake.schemas import AMOUNT, FACT_KLINES, FACT_TICKER, PERCENT, STREAM_CANDLE, STREAM_VERSIONS
 
 UNKNOWN_SYMBOL = "UNKNOWN"
 
@@ -298,7 +298,7 @@ def parse_json(
 
 
 def parse_candles(df: DataFrame, value: str = "value") -> DataFrame:
-    return require(parse_json(df, STREAM_CANDLE, value), "symbol_id", "open_time")
+    return require(parse_json(df, STREAM_VERSIONS, value), "symbol_id", "open_time")
 
 
 # ----------------------------------------------------------------- typed projections

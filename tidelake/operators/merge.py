@@ -11,20 +11,25 @@ _NEWER = "_newer"
 STREAM_RULES = {"open_price": "keep", "high_price": "greatest", "low_price": "least"}
 
 
+def candle_order(df: DataFrame) -> list[Column]:
+    """The better version of a candle first, by whichever columns exist: closed before open,
+    then newest event, most trades, latest end, newest load."""
+    names = ("is_closed", "event_time", "num_trades", "close_time", "ingested_at")
+    order = [F.col(c).desc_nulls_last() for c in names if c in df.columns]
+    if not order:
+        raise ValueError("no column tells versions apart: state an order")
+    return order
+
+
 def latest_wins(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """One row per key: the first in ``order``, ties broken by a hash of the row.
+    """One row per key: the first in ``order`` (:func:`candle_order` if none is given), ties
+    broken by a hash of the row.
 
-    Without ``order`` the candle convention applies to whichever columns exist: closed
-    before open, then newest event, then newest load. ``row_number() = 1`` makes Spark
-    drop all but one row per key and task before the shuffle, so a key with very many
-    copies does not overload a task.
+    ``row_number() = 1`` makes Spark drop all but one row per key and task before the
+    shuffle, so a key with very many copies does not overload a task.
     """
     if order is None:
-        order = [
-            F.col(c).desc_nulls_last()
-            for c in ("is_closed", "event_time", "ingested_at")
-            if c in df.columns
-        ]
+        order = candle_order(df)
     window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*df.columns))
     return (
         df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
@@ -50,17 +55,22 @@ def merge_frames(
     keys: list[str],
     rules: dict[str, str] | None = None,
     default: str = "replace",
+    order: list[Column] | None = None,
 ) -> DataFrame:
     """Upsert ``source`` into ``target`` as one aggregate; keys unique on both sides.
 
     ``rules`` maps a column to ``replace`` (new value, even NULL), ``keep`` (old value),
-    ``greatest`` or ``least`` (NULL loses). Union plus aggregate needs one hash shuffle
-    and no sort, where the equivalent full outer join sorts both sides.
+    ``greatest`` or ``least`` (NULL loses). With ``order`` whole rows compete instead, and
+    the new one wins ties. Union plus aggregate needs one hash shuffle where the equivalent
+    full outer join needs two. With values of fixed width, as in the fact tables, the
+    aggregate is a hash aggregate; a text column makes Spark sort.
     """
     rules = rules or {}
     values = [c for c in target.columns if c not in keys]
     both = target.withColumn(_NEWER, F.lit(0)).unionByName(
         source.select(*target.columns).withColumn(_NEWER, F.lit(1))
     )
+    if order is not None:
+        return latest_wins(both, keys, [*order, F.col(_NEWER).desc()]).select(*target.columns)
     merged = both.groupBy(*keys).agg(*[_resolve(c, rules.get(c, default)) for c in values])
     return merged.select(*target.columns)

@@ -6,7 +6,7 @@ import time
 from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake import schemas
@@ -63,6 +63,8 @@ class Inputs:
 @dataclass
 class Run:
     timings: dict[str, float] = field(default_factory=dict)
+    # rows of known symbols without a usable time, by dataset
+    rejects: dict[str, int] = field(default_factory=dict)
 
     @contextmanager
     def stage(self, name: str):
@@ -108,12 +110,17 @@ def run_batch(
             with run.stage("fact_klines"):
                 # Of several versions of a candle the one with most trades is final.
                 order = [F.col(c).desc_nulls_last() for c in ("num_trades", "close_time")]
-                facts = contract.kline_facts(dims.with_symbol_id(klines, dim))
+                # Counted while the rows pass, so that rejects cost no pass of their own.
+                read, kept = Observation(), Observation()
+                number = F.count(F.lit(1)).alias("n")
+                known_rows = dims.with_symbol_id(klines, dim).observe(read, number)
+                facts = sane(contract.kline_facts(known_rows)).observe(kept, number)
                 unique = latest_wins(facts, schemas.KEYS["fact_klines"], order)
                 minutes = scope.enter_context(stored(unique, "minutes"))
+                run.rejects["klines"] = read.get["n"] - kept.get["n"]
                 warehouse.klines.upsert(minutes, staged=True)
             with run.stage("resample"):
-                rebuild_from(warehouse.klines, sane(minutes), targets)
+                rebuild_from(warehouse.klines, minutes, targets)
 
     if trades is not None:
         with run.stage("mart_trade_metrics"):
@@ -124,7 +131,7 @@ def run_batch(
                 tables.replace_snapshot(metrics, warehouse.path("mart_trade_metrics"))
 
     with run.stage("fact_ticker_24h_snapshots"):
-        facts = contract.ticker_facts(dims.with_symbol_id(tickers, dim), now)
+        facts = sane(contract.ticker_facts(dims.with_symbol_id(tickers, dim), now), "snapshot_time")
         order = [F.col("trade_count").desc_nulls_last()]
         unique = latest_wins(facts, schemas.KEYS["fact_ticker_24h_snapshots"], order)
         warehouse.tickers.upsert(unique)

@@ -138,4 +138,35 @@ def candle_messages(spark: SparkSession, sf_dir: str, parts: int = 1) -> str:
     return path
 
 
+def versioned_messages(spark: SparkSession, sf_dir: str, late_open: bool = True) -> str:
+    """Every minute in several versions, as files of a fresh folder in order of their age:
+    first an early open version of all minutes and the closed one of every other symbol, then
+    a later open version (if ``late_open``), also after the closed one, then the closed one
+    of all twice. Open versions have fewer trades and other prices."""
+    c = candles_1m(spark, sf_dir)
+    end = F.unix_millis("close_time")
+
+    def version(df: DataFrame, is_closed: bool, before: int) -> DataFrame:
+        if not is_closed:
+            df = df.withColumns({
+                "close_price": (F.col("open_price") + before).cast(AMOUNT),
+                "volume_quote": (F.col("volume_quote") / 2).cast(AMOUNT),
+                "num_trades": F.col("num_trades") - F.lit(1),
+            })
+        return df.withColumns({"is_closed": F.lit(is_closed), "event_time": end - before})
+
+    early, final = version(c, False, 40_000), version(c, True, 0)
+    files = [early.unionByName(final.filter("symbol_id % 2 = 0"))]
+    if late_open:
+        files.append(version(c, False, 20_000))
+    files.append(final.unionByName(final))
+    path = new_path(spark, "versioned-messages")
+    decimals = [f.name for f in c.schema if f.dataType == AMOUNT]
+    for df in files:
+        body = F.to_json(F.struct(*[
+            F.col(n).cast("string").alias(n) if n in decimals else F.col(n) for n in df.columns]))
+        df.select(body.alias("value"), F.col("close_time").alias("timestamp")).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 MESSAGE_SCHEMA = "value string, timestamp timestamp"

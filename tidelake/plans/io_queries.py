@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -469,3 +471,24 @@ def d10_klines(spark, d):
         F.count(F.lit(1)).alias("n"), F.countDistinct("symbol_id").alias("symbols"),
         F.sum("volume_quote").alias("volume"), F.sum("num_trades").alias("num_trades"),
     )
+
+
+@query(
+    "f2_bad_epochs_in_batch",
+    f"""WITH {TICKS}, {candles_sql('1m')}
+SELECT count(*) AS n, count(DISTINCT symbol_id) AS symbols, sum(num_trades) AS num_trades, 4 * count(*) AS rejected
+FROM candles""",
+)
+def f2_bad_epochs(spark, d):
+    # every record again with its time in microseconds, before year 1, overflowing, missing
+    rows = I.kline_records(spark, d)
+    times = [F.col("open_time") * 1000, F.lit(-62_135_596_800_001), F.lit(2**63 - 1), F.lit(None).cast("long")]
+    bad = [rows.withColumn("open_time", t) for t in times]
+    klines = reduce(DataFrame.unionByName, [rows, *bad])
+    warehouse = Warehouse(new_path(spark, "warehouse"))
+    run = run_batch(spark, Inputs(klines=klines, tickers=I.ticker_records(spark, d)), warehouse, now=_stamp())
+    minutes = warehouse.klines.read(spark).filter("interval_code = '1m'")
+    return minutes.agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("symbol_id").alias("symbols"),
+        F.sum("num_trades").alias("num_trades"), F.lit(run.rejects["klines"]).cast("long").alias("rejected"),
+    )

@@ -68,6 +68,30 @@ def t2_1h(spark, d):
     return _resampled(spark, d, ["1h"])
 
 
+@query("t2_repeated_candles", f"WITH {TICKS}, {candles_sql('1h')} {candle_columns('1h')}")
+def t2_repeated(spark, d):
+    # all versions of a minute in one trigger: what comes after the watermark is late
+    session = stream_session(spark)
+    table = tables.fact_klines(new_path(spark, "stream-fact"))
+    source = contract.parse_candles(
+        read_folder(session, I.versioned_messages(spark, d), I.MESSAGE_SCHEMA))
+    SC.await_all(SC.start_resample(source, table, new_path(spark, "checkpoint"), ["1h"], trigger=None))
+    return table.read(spark)
+
+
+@query("t7_repeated_candles", all_candles_sql(C.INTERVALS))
+def t7_repeated(spark, d):
+    # one file per trigger: open versions come before and after the closed one
+    session = stream_session(spark)
+    table = tables.fact_klines(new_path(spark, "recomputed"))
+    source = contract.parse_candles(read_folder(
+        session, I.versioned_messages(spark, d), I.MESSAGE_SCHEMA, files_per_trigger=1))
+    recompute.start_recompute(
+        source.withColumn("interval_code", F.lit("1m")), table, new_path(spark, "checkpoint"), trigger=None
+    ).awaitTermination()
+    return table.read(spark)
+
+
 @query("t3_stream_two_intervals", all_candles_sql(["4h", "1d"]))
 def t3(spark, d):
     return _resampled(spark, d, ["4h", "1d"])

@@ -67,6 +67,12 @@ STREAM_CANDLE = _struct(
     "num_trades:long taker_buy_quote_volume:amount",
     _T,
 )
+# The same with what tells versions of one candle apart, where a producer sends it.
+STREAM_VERSIONS = StructType([
+    *STREAM_CANDLE.fields,
+    StructField("is_closed", BooleanType()),
+    StructField("event_time", LongType()),
+])
 
 # --- raw (bronze) and normalised (silver) records per topic; numerics are text at rest
 RAW_KLINE = _struct(

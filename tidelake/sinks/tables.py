@@ -68,12 +68,14 @@ class KeyedTable:
         rules: dict[str, str] | None = None,
         staged: bool = False,
         touched: list[tuple] | None = None,
+        order: list[Column] | None = None,
     ) -> None:
         """Merge rows with unique keys into the partitions they fall in.
 
         Only those partitions are read and rewritten. Their names are the one thing
         collected: each is a folder the commit has to handle on the driver anyway.
-        Repeating an upsert changes nothing.
+        Repeating an upsert changes nothing. With ``order`` the first of the stored and
+        the new row in that order stays, so an older version that arrives later is ignored.
 
         The source is read twice, once for those names, so it is stored first unless it
         is ``staged`` already or the caller knows which partitions it can touch.
@@ -88,7 +90,8 @@ class KeyedTable:
                 return
             keys = [*self.keys, *[n for n in names if n not in self.keys]]
             target = self.partitions_of(source.sparkSession, touched)
-            merged = merge_frames(target, rows, keys, self.rules if rules is None else rules)
+            rules = self.rules if rules is None else rules
+            merged = merge_frames(target, rows, keys, rules, order=order)
             _write(merged, self.path, names)
 
     def insert_new(self, source: DataFrame) -> None:

@@ -92,7 +92,7 @@ def discover_symbols(spark: SparkSession, path: str) -> DataFrame:
 
 def layout_time() -> Column:
     """Snapshot time from the date and hour folders of a row."""
-    return F.to_timestamp(F.concat_ws(" ", "date", "hour"), "yyyy-MM-dd HH")
+    return F.try_to_timestamp(F.concat_ws(" ", "date", "hour"), F.lit("yyyy-MM-dd HH"))
 
 
 def audit_inputs(spark: SparkSession, globs: dict[str, str]) -> DataFrame:

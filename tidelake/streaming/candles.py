@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelake.operators.candles import INTERVALS, TARGETS, ohlcv
-from tidelake.operators.merge import STREAM_RULES
+from tidelake.operators.merge import STREAM_RULES, latest_wins
 from tidelake.schemas import FACT_KLINES
 from tidelake.sinks.tables import KeyedTable
 
@@ -16,10 +16,22 @@ LATENESS = "2 minutes"
 TRIGGER = "30 seconds"
 
 
+def closed(candles_1m: DataFrame) -> DataFrame:
+    """Final candles. Those without the mark, or without the column, count as final."""
+    if "is_closed" not in candles_1m.columns:
+        return candles_1m
+    return candles_1m.filter(F.coalesce("is_closed", F.lit(True)))
+
+
 def windowed(candles_1m: DataFrame, interval: str, lateness: str = LATENESS) -> DataFrame:
-    """Candles of ``interval``, kept open until the watermark passes their window."""
+    """Candles of ``interval``, kept open until the watermark passes their window.
+
+    A minute counts once: open candles are left out, and a closed one that is sent again is
+    recognised for as long as the watermark would admit it.
+    """
     bars = (
-        candles_1m.withWatermark("open_time", lateness)
+        closed(candles_1m).withWatermark("open_time", lateness)
+        .dropDuplicatesWithinWatermark(["symbol_id", "open_time"])
         .groupBy("symbol_id", F.window("open_time", f"{INTERVALS[interval]} seconds").alias("w"))
         .agg(*ohlcv())
         .withColumn("open_time", F.col("w.start"))
@@ -30,9 +42,10 @@ def windowed(candles_1m: DataFrame, interval: str, lateness: str = LATENESS) ->
 
 def upsert_batches(table: KeyedTable, rules: dict[str, str] | None = None):
     """foreachBatch callback. Every update carries the full state of its window, so a
-    batch that is delivered again leaves the table as it was."""
+    batch that is delivered again leaves the table as it was. Where a batch holds several
+    versions of a candle, the best one is merged."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, STREAM_RULES if rules is None else rules)
+        table.upsert(latest_wins(batch, table.keys), STREAM_RULES if rules is None else rules)
 
     return write
 
