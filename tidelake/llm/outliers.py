@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelake.operators.skew import broadcast_checked, lookup_join
 from tidelake.session import materialize
 
 BLANK = r"\x20\x09-\x0D"
@@ -28,6 +29,7 @@ LEAST_ROWS = 100        # smaller groups are judged by the estimate over all row
 CUTOFF = 20.52          # squared distance; 5 degrees of freedom leave one in a thousand above
 MEDIAN_5 = 4.351        # median of that distribution
 _FINE = 32              # quantised squared distances per factor e
+BROADCAST_GROUPS = 100_000      # estimates of so many groups are broadcast, some 200 bytes each
 
 
 def text_statistics(text: str) -> list[tuple[str, Column]]:
@@ -120,7 +122,7 @@ def _inverse_root(params: DataFrame, d: int) -> DataFrame:
                 ) / F.col(f"l_{i}{i}")
             params = params.withColumn(f"m_{i}{j}", value)
     return params.select(
-        "g", *[f"c_{i}" for i in range(d)], *[f"m_{i}{j}" for i in range(d) for j in range(i + 1)])
+        "g", "_n", *[f"c_{i}" for i in range(d)], *[f"m_{i}{j}" for i in range(d) for j in range(i + 1)])
 
 
 def _distance(d: int) -> Column:
@@ -130,6 +132,12 @@ def _distance(d: int) -> Column:
                     for j in range(i + 1)), F.lit(0.0)), 2) for i in range(d)), F.lit(0.0))
 
 
+def _with(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``rows`` with the row of ``table`` (stored; g, ..., _n) for their group. Rows are not
+    shuffled unless there are very many groups, and then not those of large groups."""
+    return lookup_join(rows, table, ["g"], "_n", BROADCAST_GROUPS)
+
+
 def estimates(rows: DataFrame) -> DataFrame:
     """Per group g of ``rows`` (g, x_0 ... x_4 in thousandths): centre c_i, m_ij as above and
     ``scale``, by which squared distances are divided to have the expected median.
@@ -142,35 +150,36 @@ def estimates(rows: DataFrame) -> DataFrame:
     """
     d = len(FLOORS)
     xs = [f"x_{i}" for i in range(d)]
+    members = F.count(F.lit(1)).alias("_n")
     middle = materialize(
-        rows.groupBy("g").agg(*[F.percentile(x, 0.5).alias(f"c_{i}") for i, x in enumerate(xs)]), "mcd")
-    apart = rows.join(middle, "g").groupBy("g").agg(
-        *[F.first(f"c_{i}").alias(f"c_{i}") for i in range(d)],
+        rows.groupBy("g").agg(members, *[F.percentile(x, 0.5).alias(f"c_{i}") for i, x in enumerate(xs)]), "mcd")
+    apart = _with(rows, middle).groupBy("g").agg(
+        members, *[F.first(f"c_{i}").alias(f"c_{i}") for i in range(d)],
         *[F.percentile(F.round(F.abs(F.col(x) - F.col(f"c_{i}"))), 0.5).alias(f"d_{i}")
           for i, x in enumerate(xs)])
     spread = [F.greatest(F.col(f"d_{i}") * 1.4826 / SCALE, F.lit(FLOORS[i])) for i in range(d)]
     params = materialize(apart.select(
-        "g", *[(F.col(f"c_{i}") / SCALE).alias(f"c_{i}") for i in range(d)],
+        "g", "_n", *[(F.col(f"c_{i}") / SCALE).alias(f"c_{i}") for i in range(d)],
         *[(1 / spread[i] if i == j else F.lit(0.0)).alias(f"m_{i}{j}") for i in range(d) for j in range(i + 1)],
     ), "mcd")
     fine = F.floor(F.log1p(_distance(d)) * _FINE).cast("int")
     for _ in range(STEPS):
-        near = rows.join(params, "g").select("g", *xs, fine.alias("q"))
-        cut = materialize(near.groupBy("g").agg(F.percentile("q", CORE).alias("_cut")), "mcd")
+        near = _with(rows, params).select("g", *xs, fine.alias("q"))
+        cut = materialize(near.groupBy("g").agg(members, F.percentile("q", CORE).alias("_cut")), "mcd")
         exact = "decimal(20,0)"
-        sums = near.join(cut, "g").filter("q <= _cut").groupBy("g").agg(
-            F.count(F.lit(1)).cast("double").alias("n"),
+        sums = _with(near, cut).filter("q <= _cut").groupBy("g").agg(
+            members, F.count(F.lit(1)).cast("double").alias("n"),
             *[F.sum(x).cast("double").alias(f"t_{i}") for i, x in enumerate(xs)],
             *[F.sum((F.col(xs[i]) * F.col(xs[j])).cast(exact)).cast("double").alias(f"p_{i}{j}")
               for i in range(d) for j in range(i + 1)])
         moments = sums.select(
-            "g", *[(F.col(f"t_{i}") / F.col("n") / SCALE).alias(f"c_{i}") for i in range(d)],
+            "g", "_n", *[(F.col(f"t_{i}") / F.col("n") / SCALE).alias(f"c_{i}") for i in range(d)],
             *[((F.col(f"p_{i}{j}") - F.col(f"t_{i}") * F.col(f"t_{j}") / F.col("n")) / F.col("n") / SCALE**2
                + (FLOORS[i]**2 if i == j else 0.0)).alias(f"s_{i}{j}") for i in range(d) for j in range(i + 1)])
         params = materialize(_inverse_root(moments, d), "mcd")
-    final = rows.join(params, "g").groupBy("g").agg(F.percentile(fine, 0.5).alias("_mid"))
+    final = _with(rows, params).groupBy("g").agg(F.percentile(fine, 0.5).alias("_mid"))
     scale = F.greatest(F.expm1((F.col("_mid") + 1) / _FINE) / MEDIAN_5, F.lit(1.0))
-    return materialize(params.join(final.select("g", scale.alias("scale")), "g"), "mcd")
+    return materialize(params.drop("_n").join(final.select("g", scale.alias("scale")), "g"), "mcd")
 
 
 def judged(stats: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -195,7 +204,7 @@ def judged(stats: DataFrame, lang: str = "lang", source: str = "source") -> Data
     own = found.select(F.col("g").alias("_g"), packed)
     rest = found.filter("g = '*'").select(packed).first()
     marked = stats.withColumn("_g", _group(lang, source)).withColumn("_failed", failed)
-    joined = marked.join(own, "_g", "left")
+    joined = marked.join(broadcast_checked(own, BROADCAST_GROUPS), "_g", "left")
     if rest is None:        # no row passes the base rules
         distance = F.lit(0.0)
     else:
