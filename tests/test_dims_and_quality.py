@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.conftest import T, values
 from tidelake import schemas
 from tidelake.operators import dims, filters, quality
+from tidelake.session import materialize
 from tidelake.sources import files
 
 
@@ -106,26 +107,50 @@ def lake(tmp_path):
     return root
 
 
+TRADES = files.with_layout(schemas._struct("price:string qty:string trade_id:long", schemas._T))
+
+
 def test_drift_scan(spark, lake):
-    scan = quality.scan_drift(spark, str(lake), "trades")
-    got = values(scan, "symbol", "hour", "status", "drift_column", "drift_type", "num_rows")
-    assert [r[:3] for r in got] == [("A", "00", "OK"), ("A", "01", "DRIFT"), ("B", "00", "DRIFT"), ("B", "02", "ERROR")]
-    assert got[1][3:] == ("price", "double", 2) and got[0][3:] == ("", "", 2)
-    assert values(quality.drift_summary(scan, "trades")) == [("trades", "DRIFT", 2), ("trades", "ERROR", 1), ("trades", "OK", 1)]
+    for through_spark in (False, True):
+        scan = quality.scan_drift(spark, str(lake), TRADES, through_spark)
+        got = {(r.symbol, r.hour): r for r in scan.collect()}
+        assert {k: r.status for k, r in got.items()} == {
+            ("A", "00"): "OK", ("A", "01"): "DRIFT", ("B", "00"): "DRIFT", ("B", "02"): "ERROR"}
+        assert [tuple(m) for m in got["B", "00"].mismatches] == [("price", "double", "string"), ("qty", "int64", "string")]
+        assert got["A", "00"].num_rows == 2 and got["B", "02"].error
+        assert values(quality.drift_summaries({"trades": scan})) == [
+            ("trades", "DRIFT", 2), ("trades", "ERROR", 1), ("trades", "OK", 1)]
 
 
 def test_drift_repair(spark, lake, tmp_path):
-    scan = quality.scan_drift(spark, str(lake), "trades")
-    schema = files.with_layout(schemas._struct("price:string qty:string trade_id:long", schemas._T))
+    silver(lake, "C", "00", "part-1.parquet", price=pa.array([1.0]), trade_id=pa.array(["none"]))
+    scan = materialize(quality.scan_drift(spark, str(lake), TRADES))
     target = tmp_path / "fixed"
-    planned = quality.repair_drift(spark, scan, str(target), schema, dry_run=True)
-    assert {r.action for r in planned.collect()} == {"DRY_RUN"} and not target.exists()
-    done = quality.repair_drift(spark, scan, str(target), schema)
-    assert done.count() == 2
-    fixed = spark.read.schema(schema).parquet(str(target))
-    assert values(fixed, "trade_id", "price", "qty", "symbol", "hour") == [
-        (3, "1.5", "1.5", "A", "01"), (4, "2", "2", "A", "01"), (5, "1.5", "5", "B", "00"), (6, "2", "6", "B", "00"),
-    ]
-    assert {r.status for r in quality.scan_drift(spark, str(target), "trades").collect()} == {"OK"}
-    one = quality.repair_drift(spark, scan, str(tmp_path / "one"), schema, limit=1)
-    assert one.count() == 1 and spark.read.schema(schema).parquet(str(tmp_path / "one")).count() == 2
+    planned = quality.repair_drift(spark, scan, str(target), TRADES, dry_run=True)
+    assert {r.status for r in planned.collect()} == {"PLANNED"} and not target.exists()
+    for through_spark in (False, True):     # the second run leaves the same rows
+        done = materialize(quality.repair_drift(spark, scan, str(target), TRADES, through_spark=through_spark))
+        assert sorted((r.path.split("symbol=")[1][:1], r.status) for r in done.collect()) == [
+            ("A", "REPAIRED"), ("B", "REPAIRED"), ("C", "FAILED")]
+        fixed = spark.read.schema(TRADES).parquet(str(target))
+        assert values(fixed, "trade_id", "price", "qty", "symbol", "hour") == [
+            (3, "1.5", "1.5", "A", "01"), (4, "2", "2", "A", "01"), (5, "1.5", "5", "B", "00"), (6, "2", "6", "B", "00"),
+        ]
+    one = quality.repair_drift(spark, scan, str(tmp_path / "one"), TRADES, limit=1)
+    assert one.count() == 1 and spark.read.schema(TRADES).parquet(str(tmp_path / "one")).count() == 2
+    assert quality.swap_repaired(spark, done, str(target), str(lake)) == 2
+    assert quality.swap_repaired(spark, done, str(target), str(lake)) == 0
+    good = spark.read.schema(TRADES).parquet(*[str(p) for p in lake.glob("date=*/symbol=[AB]/hour=0[01]")])
+    assert good.count() == 6
+
+
+def test_repair_fails_where_no_file_can_be_read(spark, lake, tmp_path):
+    scan = quality.scan_drift(spark, str(lake / "date=2024-01-01" / "symbol=B" / "hour=02"), TRADES)
+    with pytest.raises(RuntimeError):
+        quality.repair_drift(spark, scan, str(tmp_path / "x"), TRADES)
+
+
+def test_many_paths_are_dealt_to_many_tasks(spark):
+    paths = spark.range(2000).selectExpr("concat('p', id) AS path")
+    dealt = paths.repartition(quality.repair_tasks(2000), "path").select(F.spark_partition_id().alias("t"))
+    assert dealt.distinct().count() > 100

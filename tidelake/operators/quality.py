@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidelake.operators.contract import TEXT_FIELDS
 from tidelake.operators.filters import strangers
+from tidelake.session import materialize
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -54,75 +54,106 @@ def reconcile(counts: DataFrame, baseline: DataFrame, tolerance: float = 0.0001)
 
 LAYOUT = ("date", "symbol", "hour")
 
-_SCAN = (
-    "path string, date string, symbol string, hour string, status string, "
-    "drift_column string, drift_type string, num_rows long, created_by string"
+# Stores that Arrow opens by itself. Files of any other store come through Spark's readers,
+# which knows their settings, at the price of reading whole files.
+ARROW_STORES = ("file", "hdfs", "s3", "s3a", "gs", "abfss")
+
+_FOUND = (
+    "path string, date string, symbol string, hour string, num_rows long, created_by string, "
+    "mismatches array<struct<field:string,stored:string,expected:string>>, error string"
 )
 
 
-def _open(uri: str):
-    """A file named by Spark, opened through Arrow (runs on executors)."""
+def _handle(uri: str, content: bytes | None):
+    """A file as Arrow reads it: from the bytes Spark has read, or opened by name."""
+    import pyarrow as pa
     from pyarrow import fs
 
+    if content is not None:
+        return pa.BufferReader(content)
     system, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
     return system.open_input_file(name)
 
 
-def scan_drift(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """One row per Parquet file below ``path``: OK, DRIFT or ERROR.
-
-    A file drifts if a field pinned to text is stored as something else; the first such
-    field in contract order is reported. The file list is a DataFrame, and executors read
-    nothing but footers.
-    """
-    fields = TEXT_FIELDS[dataset]
-
-    def inspect(batches):
-        import pandas as pd
-        import pyarrow.parquet as pq
-
-        def one(uri: str) -> tuple:
-            try:
-                with _open(uri) as handle:
-                    footer = pq.ParquetFile(handle)
-                    schema, meta = footer.schema_arrow, footer.metadata
-            except Exception as error:  # any unreadable file is a finding, not a failure
-                return ("ERROR", "", str(error)[:80], 0, "")
-            for name in fields:
-                if name in schema.names:
-                    kind = str(schema.field(name).type)
-                    if kind not in ("string", "large_string"):
-                        return ("DRIFT", name, kind, meta.num_rows, meta.created_by or "")
-            return ("OK", "", "", meta.num_rows, meta.created_by or "")
-
-        found_columns = ["status", "drift_column", "drift_type", "num_rows", "created_by"]
-        for batch in batches:
-            found = pd.DataFrame([one(uri) for uri in batch["path"]], columns=found_columns)
-            yield pd.concat([batch.reset_index(drop=True), found], axis=1)
-
-    def part(name: str):
-        return F.regexp_extract("path", rf"/{name}=([^/]+)", 1).alias(name)
-
-    files = (
+def _parquet_files(spark: SparkSession, path: str, through_spark: bool | None) -> DataFrame:
+    """(path, content) of all Parquet files below ``path``; content is NULL where Arrow is to
+    open the file. The list is a DataFrame and never visits the driver."""
+    if through_spark is None:
+        scheme = path.partition("://")[0] if "://" in path else "file"
+        if path.startswith("file:/"):
+            scheme = "file"
+        through_spark = scheme not in ARROW_STORES
+    listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(path)
-        .select("path", *[part(name) for name in LAYOUT])
     )
-    return files.mapInPandas(inspect, _SCAN)
+    content = F.col("content") if through_spark else F.lit(None).cast("binary")
+    return listed.select("path", content.alias("content"))
+
 
+def _folder(name: str):
+    return F.regexp_extract("path", rf"/{name}=([^/]+)", 1).alias(name)
 
-def drift_summary(scan: DataFrame, dataset: str) -> DataFrame:
+
+def scan_drift(
+    spark: SparkSession, path: str, schema: StructType, through_spark: bool | None = None
+) -> DataFrame:
+    """One row per Parquet file below ``path`` with everything in which its columns differ
+    from ``schema``, and a ``status``: ERROR (unreadable, see ``error``), DRIFT or OK.
+
+    Columns that only one side has are no mismatch: readers fill or ignore them. Workers
+    read footers only, unless files must come through Spark (``through_spark``).
+    """
+    expected = {f.name: f.type for f in to_arrow_schema(schema) if f.name not in LAYOUT}
+
+    def compare(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            rows = []
+            for file in batch.to_pylist():
+                row = {n: file[n] for n in ("path", *LAYOUT)} | {"mismatches": []}
+                try:
+                    with _handle(file["path"], file["content"]) as handle:
+                        footer = pq.ParquetFile(handle)
+                        row |= {"num_rows": footer.metadata.num_rows, "created_by": footer.metadata.created_by}
+                        for column in footer.schema_arrow:
+                            want = expected.get(column.name)
+                            if want is not None and column.type != want:
+                                row["mismatches"].append(
+                                    {"field": column.name, "stored": str(column.type), "expected": str(want)})
+                except (OSError, pa.ArrowException) as problem:
+                    row["error"] = f"{type(problem).__name__}: {problem}"
+                rows.append(row)
+            yield pa.RecordBatch.from_pylist(rows, schema=found)
+
+    found = to_arrow_schema(StructType.fromDDL(_FOUND))
+    files = _parquet_files(spark, path, through_spark)
+    status = (
+        F.when(F.col("error").isNotNull(), "ERROR").when(F.size("mismatches") > 0, "DRIFT").otherwise("OK")
+    )
     return (
-        scan.groupBy("status").agg(F.count(F.lit(1)).alias("files"))
-        .select(F.lit(dataset).alias("dataset"), "status", "files")
+        files.select("path", "content", *[_folder(n) for n in LAYOUT])
+        .mapInArrow(compare, _FOUND).withColumn("status", status)
     )
 
 
 def drift_summaries(scans: dict[str, DataFrame]) -> DataFrame:
     """Files per (dataset, status)."""
-    return reduce(DataFrame.unionByName, (drift_summary(s, d) for d, s in scans.items()))
+    named = [s.select(F.lit(name).alias("dataset"), "status") for name, s in scans.items()]
+    return reduce(DataFrame.unionByName, named).groupBy("dataset", "status").agg(
+        F.count(F.lit(1)).alias("files"))
+
+
+# Paths are dealt to this many tasks at most; one task handles its files one after the other.
+MAX_REPAIR_TASKS = 10_000
+
+
+def repair_tasks(files: int) -> int:
+    return max(1, min(files, MAX_REPAIR_TASKS))
 
 
 def repair_drift(
@@ -132,42 +163,117 @@ def repair_drift(
     schema: StructType,
     dry_run: bool = False,
     limit: int | None = None,
+    through_spark: bool = False,
 ) -> DataFrame:
-    """Write the drifted files, in the types of ``schema``, below ``target``.
-
-    One job: the paths are spread over the cluster, each task reads its files batch by
-    batch and casts what differs, and Spark writes the landing layout. The originals are
-    untouched; the caller swaps folders once the copy is checked. ``limit`` bounds the
-    files treated in one run, in path order. Returns what was (or would be) done.
+    """Write the drifted files of a stored ``scan``, in the types of ``schema``, below
+    ``target``; the originals stay as they are until :func:`swap_repaired`.
+
+    The paths are spread over a stated number of tasks, which read their files batch by batch
+    and cast what differs. A file that cannot be read or cast is left out and reported; the
+    others are written in the landing layout, replacing the touched folders of ``target``, so
+    a second run leaves the same rows. If every file of the scan is unreadable, the store
+    itself is out of reach, and the repair fails. ``limit`` bounds the files of one run, in
+    path order. Returns (path, num_rows, status, detail) with status REPAIRED, FAILED or
+    PLANNED (dry run).
     """
-    drifted = scan.filter(F.col("status") == "DRIFT")
+    states = {r["status"]: r["count"] for r in scan.groupBy("status").count().collect()}
+    if states and set(states) == {"ERROR"}:
+        raise RuntimeError("no file of the scan can be read: check the access of the workers")
+    drifted = scan.filter(F.col("status") == "DRIFT").select("path", *LAYOUT, "num_rows")
     if limit is not None:
         drifted = drifted.orderBy("path").limit(limit)
+    if dry_run:
+        return drifted.select(
+            "path", "num_rows", F.lit("PLANNED").alias("status"), F.lit(None).cast("string").alias("detail"))
     columns = to_arrow_schema(schema)
+    out = columns.append(_text_field("_path")).append(_text_field("_problem"))
 
     def rewrite(batches):
         import pyarrow as pa
         import pyarrow.parquet as pq
 
+        def cast(file, rows):
+            for field in columns:
+                if field.name in LAYOUT:
+                    yield pa.repeat(pa.scalar(file[field.name], field.type), rows.num_rows)
+                elif field.name in rows.schema.names:
+                    yield rows.column(field.name).cast(field.type)
+                else:
+                    yield pa.nulls(rows.num_rows, field.type)
+
         for batch in batches:
             for file in batch.to_pylist():
-                handle = _open(file["path"])
-                with handle:
-                    for rows in pq.ParquetFile(handle).iter_batches():
-                        fields = []
-                        for field in columns:
-                            if field.name in LAYOUT:
-                                values = pa.array([file[field.name]] * rows.num_rows, field.type)
-                            elif field.name in rows.schema.names:
-                                values = rows.column(field.name).cast(field.type)
-                            else:
-                                values = pa.nulls(rows.num_rows, field.type)
-                            fields.append(values)
-                        yield pa.RecordBatch.from_arrays(fields, schema=columns)
-
-    if not dry_run:
-        paths = drifted.select("path", *LAYOUT).repartition("path")
-        fixed = paths.mapInArrow(rewrite, schema)
-        fixed.hint("rebalance", *LAYOUT).write.mode("append").partitionBy(*LAYOUT).parquet(target)
-    action = F.lit("DRY_RUN" if dry_run else "REWRITTEN")
-    return drifted.select("path", "drift_column", "drift_type", "num_rows", action.alias("action"))
+                problem = None
+                try:
+                    with _handle(file["path"], file.get("content")) as handle:
+                        for rows in pq.ParquetFile(handle).iter_batches():
+                            n = rows.num_rows
+                            values = list(cast(file, rows))
+                            yield pa.RecordBatch.from_arrays(
+                                [*values, pa.repeat(pa.scalar(file["path"]), n), pa.nulls(n, pa.string())], schema=out)
+                except (OSError, pa.ArrowException) as found:
+                    problem = f"{type(found).__name__}: {found}"
+                if problem:
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.nulls(1, f.type) for f in columns], pa.array([file["path"]]), pa.array([problem])],
+                        schema=out)
+
+    tasks = repair_tasks(drifted.count())
+    paths = drifted.select("path", *LAYOUT)
+    if through_spark:
+        root = _common_folder(scan)
+        paths = _parquet_files(spark, root, True).join(paths, "path") if root else paths
+    attempt = materialize(
+        paths.repartition(tasks, "path").mapInArrow(
+            rewrite, StructType([*schema.fields]).add("_path", "string").add("_problem", "string")),
+        "repair",
+    )
+    failed = materialize(
+        attempt.filter("_problem IS NOT NULL").groupBy("_path").agg(F.first("_problem").alias("detail")), "failed")
+    good = attempt.join(failed.select("_path"), "_path", "left_anti")
+    (
+        good.select(schema.fieldNames()).hint("rebalance", *LAYOUT).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(target)
+    )
+    return drifted.join(failed.withColumnRenamed("_path", "path"), "path", "left").select(
+        "path", "num_rows",
+        F.when(F.col("detail").isNull(), "REPAIRED").otherwise("FAILED").alias("status"), "detail")
+
+
+def _text_field(name: str):
+    import pyarrow as pa
+
+    return pa.field(name, pa.string())
+
+
+def _common_folder(scan: DataFrame) -> str | None:
+    """The folder above the layout's own folders."""
+    row = scan.select(F.regexp_extract("path", r"^(.*?)/date=", 1)).first()
+    return row[0] if row else None
+
+
+def swap_repaired(spark: SparkSession, repaired: DataFrame, target: str, root: str) -> int:
+    """Put the repaired copies into the lake: each repaired original is renamed to a hidden
+    name, which readers skip, and the new files of its folder are moved beside it. Returns
+    the number of originals set aside. A swap that was broken off can be run again.
+
+    File names visit the driver, as many as were repaired; a rename is a call of the store's
+    and needs no task.
+    """
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    system = path_of(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    aside, folders = 0, set()
+    for r in repaired.filter("status = 'REPAIRED'").select("path").toLocalIterator():
+        old = path_of(r["path"])
+        folders.add(r["path"].rpartition("/")[0])
+        if system.exists(old):
+            system.rename(old, path_of(old.getParent(), f"_replaced-{old.getName()}"))
+            aside += 1
+    for folder in sorted(folders):
+        tail = "/".join(folder.split("/")[-len(LAYOUT):])
+        fresh = path_of(f"{target}/{tail}")
+        if system.exists(fresh):
+            for status in system.listStatus(fresh):
+                if status.getPath().getName().endswith(".parquet"):
+                    system.rename(status.getPath(), path_of(folder, status.getPath().getName()))
+    return aside

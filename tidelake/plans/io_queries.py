@@ -373,61 +373,96 @@ def p10_pushed_tickers(spark, d):
 
 # ------------------------------------------------------------------- A14, D7, D8, D9
 
-def _drifted(spark, d) -> str:
-    """Silver trades in which two symbols have numeric prices; one file per symbol."""
+_DRIFTED = {"error": "double", "view": "float"}
+
+
+def _drifted(spark, d, broken: bool = False) -> str:
+    """Silver trades of many days and hours in which two symbols have numeric prices, one file
+    a folder. With ``broken`` the times of a third symbol are text that is no number."""
     path = new_path(spark, "drifted")
     rows = contract.ingest_contract(trade_rows(spark, d), "trades", F.lit(0)).drop("event_ms")
-    rows = rows.withColumns({"date": F.lit("2024-01-01"), "hour": F.lit("00")})
-    symbol, kinds = F.col("symbol"), (("error", "double"), ("view", "float"))
-    text = rows.filter(~symbol.isin([s for s, _ in kinds]))
-    parts = [text] + [rows.filter(symbol == s).withColumn("price", F.col("price").cast(k)) for s, k in kinds]
-    for part in parts:
-        part.hint("rebalance", *files.LAYOUT).write.mode("append").partitionBy(*files.LAYOUT).parquet(path)
+    symbol = F.col("symbol")
+    parts = [rows.filter(symbol == s).withColumn("price", F.col("price").cast(k)) for s, k in _DRIFTED.items()]
+    rest = rows.filter(~symbol.isin(list(_DRIFTED)))
+    if broken:
+        parts.append(rest.filter(symbol == "click").withColumn("time", F.concat(F.lit("at "), F.col("time"))))
+        rest = rest.filter(symbol != "click")
+    for part in [rest, *parts]:
+        part.repartition(*files.LAYOUT).write.mode("append").partitionBy(*files.LAYOUT).parquet(path)
     return path
 
 
-_DRIFT_SQL = """SELECT event_type AS symbol, CASE WHEN event_type IN ('error', 'view') THEN 'DRIFT' ELSE 'OK' END AS status,
-  CASE WHEN event_type IN ('error', 'view') THEN 'price' ELSE '' END AS drift_column,
-  CASE event_type WHEN 'error' THEN 'double' WHEN 'view' THEN 'float' ELSE '' END AS drift_type,
-  count(*) AS num_rows FROM events GROUP BY 1"""
+_SILVER_TRADE = files.with_layout(schemas.RAW_TRADE)
+_SLOTS = """slots AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS day, hour(ts) < 12 AS am FROM events)"""
 
 
-@query("d7_schema_drift", _DRIFT_SQL)
+@query(
+    "d7_schema_drift",
+    """SELECT event_type AS symbol, CASE WHEN event_type IN ('error', 'view') THEN 'DRIFT' ELSE 'OK' END AS status,
+  CASE WHEN event_type IN ('error', 'view') THEN 'price' END AS field,
+  CASE event_type WHEN 'error' THEN 'double' WHEN 'view' THEN 'float' END AS stored,
+  count(*) AS num_rows, count(DISTINCT (CAST(ts AS DATE), hour(ts) < 12)) AS files FROM events GROUP BY 1""",
+)
 def d7(spark, d):
-    scan = quality.scan_drift(spark, _drifted(spark, d), "trades")
-    return scan.groupBy("symbol", "status", "drift_column", "drift_type").agg(
-        F.sum("num_rows").alias("num_rows")
+    scan = quality.scan_drift(spark, _drifted(spark, d), _SILVER_TRADE)
+    found = scan.select("*", F.explode_outer("mismatches").alias("m"))
+    return found.groupBy("symbol", "status", F.col("m.field").alias("field"), F.col("m.stored").alias("stored")).agg(
+        F.sum("num_rows").alias("num_rows"), F.countDistinct("path").alias("files")
     )
 
 
 @query(
     "a14_drift_counts",
-    """SELECT 'trades' AS dataset, CASE WHEN event_type IN ('error', 'view') THEN 'DRIFT' ELSE 'OK' END AS status,
-  count(DISTINCT event_type) > 0 AS present FROM events GROUP BY 1, 2""",
+    f"""WITH {_SLOTS} SELECT 'trades' AS dataset,
+  CASE WHEN event_type IN ('error', 'view') THEN 'DRIFT' ELSE 'OK' END AS status, count(*) AS files
+FROM slots GROUP BY 1, 2""",
 )
 def a14(spark, d):
-    scan = quality.scan_drift(spark, _drifted(spark, d), "trades")
-    summary = quality.drift_summaries({"trades": scan})
-    return summary.select("dataset", "status", (F.col("files") > 0).alias("present"))
+    scan = quality.scan_drift(spark, _drifted(spark, d), _SILVER_TRADE)
+    return quality.drift_summaries({"trades": scan})
 
 
 @query(
     "d8_drift_repair",
-    """SELECT event_type AS symbol, count(*) AS n, round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE), 1) AS total
-FROM events WHERE event_type IN ('error', 'view') GROUP BY 1""",
+    """SELECT event_type AS symbol, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n,
+  round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE), 1) AS total
+FROM events WHERE event_type IN ('error', 'view') GROUP BY 1, 2""",
     total=1,
 )
 def d8(spark, d):
     path, target = _drifted(spark, d), new_path(spark, "repaired")
-    schema = files.with_layout(schemas.RAW_TRADE)
-    scan = materialize(quality.scan_drift(spark, path, "trades"), "scan")
-    quality.repair_drift(spark, scan, target, schema)
-    rows = spark.read.schema(schema).parquet(target)
-    return rows.groupBy("symbol").agg(
+    scan = materialize(quality.scan_drift(spark, path, _SILVER_TRADE), "scan")
+    for _ in range(2):      # a second run leaves the same rows
+        quality.repair_drift(spark, scan, target, _SILVER_TRADE)
+    rows = spark.read.schema(_SILVER_TRADE).parquet(target)
+    return rows.groupBy("symbol", "date").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("price").cast("decimal(18,2)")).alias("total")
     )
 
 
+@query(
+    "d8_repair_status",
+    f"""WITH {_SLOTS}, n AS (SELECT event_type, count(*) AS num_rows FROM events GROUP BY 1)
+SELECT event_type AS symbol, CASE event_type WHEN 'click' THEN 'FAILED' ELSE 'REPAIRED' END AS status,
+  count(*) AS files, any_value(num_rows) AS num_rows,
+  CASE event_type WHEN 'click' THEN 0 ELSE any_value(num_rows) END AS readable
+FROM slots JOIN n USING (event_type) WHERE event_type IN ('click', 'error', 'view') GROUP BY 1""",
+)
+def d8_status(spark, d):
+    # files that cannot be cast are reported; the others are repaired and put into the lake
+    path, target = _drifted(spark, d, broken=True), new_path(spark, "repaired")
+    scan = materialize(quality.scan_drift(spark, path, _SILVER_TRADE), "scan")
+    done = materialize(quality.repair_drift(spark, scan, target, _SILVER_TRADE), "done")
+    quality.swap_repaired(spark, done, target, path)
+    after = quality.scan_drift(spark, path, _SILVER_TRADE).filter("NOT path LIKE '%/\\_replaced%'")
+    readable = after.filter("status = 'OK'").groupBy("symbol").agg(F.sum("num_rows").alias("_ok"))
+    by_symbol = done.withColumn("symbol", F.regexp_extract("path", "/symbol=([^/]+)", 1))
+    return by_symbol.groupBy("symbol", "status").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("num_rows").alias("num_rows")
+    ).join(readable, "symbol", "left").select(
+        "symbol", "status", "files", "num_rows", F.coalesce("_ok", F.lit(0)).alias("readable"))
+
+
 @query(
     "d9_symbol_universe",
     f"""WITH {_TICKER_SQL} SELECT symbol FROM tick24
