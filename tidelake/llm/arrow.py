@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 
+SLICE_BYTES = 4 << 20
+
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and n + 1 offsets of a string column; NULL counts as empty."""
@@ -27,3 +31,16 @@ def replaced(batch: pa.RecordBatch, drop: list[str], new: dict[str, pa.Array]) -
     names = [n for n in batch.schema.names if n not in drop and n not in new]
     columns = [batch.column(n) for n in names] + list(new.values())
     return pa.RecordBatch.from_arrays(columns, names=[*names, *new])
+
+
+def slices(batches: Iterable[pa.RecordBatch], text: str | int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of some ``SLICE_BYTES`` of the text column, at least one row each,
+    so that what is derived from a part stays small however long the texts are."""
+    for batch in batches:
+        _, offsets = text_buffers(batch.column(text))
+        at, rows = 0, batch.num_rows
+        while at < rows:
+            to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
+            to = min(max(to, at + 1), rows)
+            yield batch.slice(at, to - at)
+            at = to

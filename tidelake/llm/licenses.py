@@ -16,7 +16,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidelake.llm.arrow import replaced, text_buffers
+from tidelake.llm.arrow import replaced, slices, text_buffers
 
 # Phrases whose places are counted, and their labels (fixed values).
 BASE = {
@@ -221,7 +221,7 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
         ("priority", pa.int32()), ("confidence", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text):
             data, offsets = text_buffers(batch.column(text))
             raw = data.tobytes()
             out: dict[str, list] = {n: [] for n in new}

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.llm.arrow import text_buffers
+from tidelake.llm.arrow import slices, text_buffers
 from tidelake.llm.transducers import transducers
 from tidelake.session import materialize
 
@@ -99,7 +99,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducers(vocab)
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids, owners = machine.encode(*text_buffers(batch.column(1)))
             row, piece, start, length, crc = [], [], [], [], []
             tail = [] if end_id is None else [end_id]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.arrow import text_buffers
+from tidelake.llm.arrow import slices, text_buffers
 
 # Classes of bytes whose shares are features.
 _BYTE_CLASSES = {
@@ -163,7 +163,7 @@ def train(
     ).select("_key", "_label", F.col(text).alias("_text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             x = statistics_matrix(batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.string()), batch.column(1),
@@ -184,7 +184,7 @@ def score(docs: DataFrame, forest: Forest, text: str = "text", name: str = "scor
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, at):
             out = forest.score(statistics_matrix(batch.column(at)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*names, name])
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.arrow import text_buffers
+from tidelake.llm.arrow import slices, text_buffers
 from tidelake.llm.components import components
 from tidelake.session import materialize
 
@@ -43,7 +43,7 @@ def fingerprints(
     """(key, fp bigint) of whole texts; A-Z lower-cased, words between ASCII white space."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             data, offsets = text_buffers(batch.column(1))
             raw = data.tobytes()
             fps = [simhash(raw[a:b].lower().split(), size, seed)

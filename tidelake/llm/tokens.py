@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidelake.llm.arrow import replaced, text_buffers
+from tidelake.llm.arrow import replaced, slices, text_buffers
 from tidelake.llm.transducers import transducers
 
 
@@ -28,7 +28,7 @@ def count_tokens(docs: DataFrame, vocab: str, text: str = "text", limit: int = 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducers(vocab)
-        for batch in batches:
+        for batch in slices(batches, text):
             data, offsets = text_buffers(batch.column(text))
             n = machine.counts(data, offsets)
             yield replaced(batch, [text], {
