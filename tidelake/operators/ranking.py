@@ -36,20 +36,21 @@ RISING_TREND, TREND_BONUS, WHALE_PENALTY = 1.2, 0.05, 0.10
 _GROUP_ROWS = 1_000_000
 
 
+def _sums() -> list[Column]:
+    rising = F.when(F.col("close_price") > F.col("open_price"), 1).otherwise(0)
+    return [
+        F.sum("volume_quote").alias("total_volume_quote"),
+        F.sum("num_trades").alias("total_num_trades"),
+        F.avg(share("taker_buy_quote_volume", "volume_quote")).alias("avg_taker_buy_ratio"),
+        F.count(F.lit(1)).alias("candle_count"),
+        F.sum(rising).alias("bullish_candles"),
+    ]
+
+
 def candle_totals(candles: DataFrame) -> DataFrame:
     """Volume, trades, candle count, mean taker share and bullish share per symbol."""
-    rising = F.when(F.col("close_price") > F.col("open_price"), 1).otherwise(0)
-    return (
-        candles.groupBy("symbol_id")
-        .agg(
-            F.sum("volume_quote").alias("total_volume_quote"),
-            F.sum("num_trades").alias("total_num_trades"),
-            F.avg(share("taker_buy_quote_volume", "volume_quote")).alias("avg_taker_buy_ratio"),
-            F.count(F.lit(1)).alias("candle_count"),
-            F.sum(rising).alias("bullish_candles"),
-        )
-        .withColumn("bullish_ratio", share("bullish_candles", "candle_count"))
-    )
+    sums = candles.groupBy("symbol_id").agg(*_sums())
+    return sums.withColumn("bullish_ratio", share("bullish_candles", "candle_count"))
 
 
 def number_candles(candles: DataFrame, interval: str = "1d") -> DataFrame:
@@ -75,18 +76,28 @@ def with_half(numbered: DataFrame) -> DataFrame:
     return numbered.withColumn("half", F.when(first, F.lit("first")).otherwise(F.lit("second")))
 
 
+def _half_means() -> list[Column]:
+    return [F.avg(F.when(F.col("half") == h, F.col("volume_quote"))).alias(f"_{h}") for h in ("first", "second")]
+
+
+def _trend() -> Column:
+    ratio = F.try_divide(F.col("_second"), F.col("_first")).try_cast(SCORE)
+    return F.when(F.col("_first") > 0, ratio).otherwise(F.lit(1).cast(SCORE)).alias("volume_trend")
+
+
 def volume_trend(candles: DataFrame, interval: str = "1d") -> DataFrame:
     """Mean volume of the second half over that of the first; 1.0 without a first half."""
-    halves = (
-        with_half(number_candles(candles, interval))
-        .groupBy("symbol_id")
-        .pivot("half", ["first", "second"])
-        .agg(F.avg("volume_quote"))
-    )
-    trend = F.when(
-        F.col("first") > 0, F.try_divide(F.col("second"), F.col("first")).try_cast(SCORE)
-    ).otherwise(F.lit(1).cast(SCORE))
-    return halves.select("symbol_id", trend.alias("volume_trend"))
+    halves = with_half(number_candles(candles, interval)).groupBy("symbol_id").agg(*_half_means())
+    return halves.select("symbol_id", _trend())
+
+
+def candle_metrics(candles: DataFrame, interval: str = "1d") -> DataFrame:
+    """:func:`candle_totals` and :func:`volume_trend` from one pass: candles are numbered,
+    which puts a symbol's candles together, and aggregated where they are."""
+    numbered = with_half(number_candles(candles, interval))
+    sums = numbered.groupBy("symbol_id").agg(*_sums(), *_half_means())
+    whole = sums.select("*", share("bullish_candles", "candle_count").alias("bullish_ratio"), _trend())
+    return whole.drop("_first", "_second")
 
 
 def combine(
@@ -102,8 +113,7 @@ def combine(
         return F.coalesce(F.col(name), F.lit(NEUTRAL))
 
     return (
-        candle_totals(candles)
-        .join(volume_trend(candles, interval), "symbol_id", "left")
+        candle_metrics(candles, interval)
         .join(metrics.select("symbol_id", "money_flow", "whale_buy_ratio"), "symbol_id", "left")
         .join(dim.select("symbol_id", "symbol_code"), "symbol_id", "inner")
         .withColumn("whale_ratio_raw", F.col("whale_buy_ratio"))
