@@ -163,7 +163,10 @@ def test_connector_options():
         jdbc.scan_options(column="id")
     assert jdbc_sink.write_options(truncate=True)["truncate"] == "true"
     assert "truncate" not in jdbc_sink.write_options({"batchsize": "7"})
-    assert topics.topic_options("b:9092", "t")["maxOffsetsPerTrigger"] == "10000"
+    assert "maxOffsetsPerTrigger" not in topics.topic_options("b:9092", "t")
+    assert topics.topic_options("b:9092", "t")["startingOffsets"] == "earliest"
+    candles = topics.candle_options("b:9092", "t")
+    assert (candles["maxOffsetsPerTrigger"], candles["startingOffsets"]) == ("10000", "latest")
 
 
 def session_like(named, current, master):

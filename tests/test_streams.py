@@ -122,14 +122,25 @@ def test_landing_layout_names_and_types(spark, tmp_path):
     assert types["lastPrice"] == "string" and types["count"] == "bigint" and "last_price" not in types
     got = values(silver.select("symbol", F.col("date").cast("string"), F.col("hour").cast("int"), "lastPrice"))
     assert got == [("A", "2024-01-01", 0, "1.5"), ("UNKNOWN", "2024-01-05", 7, "2")]
-    bronze = sorted(p.relative_to(lake / "bronze").parts[1:-1] for p in (lake / "bronze").rglob("*.json") if "_spark" not in str(p))
+    bronze = sorted(p.relative_to(lake / "bronze").parts[1:-1] for p in (lake / "bronze").rglob("*.txt") if "_spark" not in str(p))
     assert bronze == [("date=2024-01-01", "symbol=A", "hour=00"), ("date=2024-01-05", "symbol=UNKNOWN", "hour=07")]
 
 
 @pytest.mark.parametrize("mode,layers", [("BRONZE_ONLY", {"bronze"}), ("SILVER_ONLY", {"silver"})])
 def test_landing_modes(spark, tmp_path, mode, layers):
     lake = land(spark, tmp_path, mode, '{"symbol": "A"}')
-    assert {p.name for p in lake.iterdir()} == layers
+    assert {p.name for p in lake.iterdir()} == layers | {"reject"}
+
+
+def test_bronze_keeps_messages_and_rejects_the_rest(spark, tmp_path):
+    sent = ['{"s": "A", "E": 1704067200000, "c": "1.50", "extra": [1, {"k": null}]}', '{"symbol": "A", "count": "x"}']
+    lake = land(spark, tmp_path, "DUAL", *sent, "[1, 2]", '"text"', '{"cut', None)
+    lines = sorted(r.value for r in spark.read.text(str(lake / "bronze" / "ticker")).select("value").collect())
+    assert lines == sorted(sent)
+    silver = values(spark.read.parquet(str(lake / "silver" / "ticker")), "symbol", F.col("date").cast("string"), "lastPrice")
+    assert silver == [("A", "2024-01-01", "1.50"), ("A", "2024-01-05", None)]
+    rejects = values(spark.read.text(str(lake / "reject" / "ticker")), F.col("date").cast("string"), "value")
+    assert rejects == [("2024-01-05", v) for v in sorted(["", "[1, 2]", '"text"', '{"cut'], key=repr)]
 
 
 def test_files_roll_by_record_count(spark, tmp_path):

@@ -8,7 +8,9 @@ from pyspark.sql.types import StructType
 
 from tidelake.functions import amount, as_decimal, from_micros, from_millis, utc_date, utc_hour
 from tidelake.operators.filters import require
-from tidelake.schemas import AMOUNT, FACT_KLINES, FACT_TICKER, PERCENT, STREAM_CANDLE, STREAM_VERSIONS
+from tidelake.schemas import (
+    AMOUNT, FACT_KLINES, FACT_TICKER, PERCENT, RAW, STREAM_CANDLE, STREAM_VERSIONS,
+)
 
 UNKNOWN_SYMBOL = "UNKNOWN"
 
@@ -82,6 +84,10 @@ PUSHED_TICKER_TEXT = {
     "a": "ask_price", "o": "open_price", "h": "high_price", "l": "low_price",
     "v": "volume", "q": "quote_volume",
 }
+PUSHED_KLINE_OTHER = {"t": "open_time", "T": "close_time", "i": "interval", "n": "num_trades", "x": "is_closed"}
+PUSHED_TICKER_OTHER = {"O": "open_time", "C": "close_time", "n": "num_trades"}
+PUSHED_TRADE = {"t": "trade_id", "p": "price", "q": "qty", "T": "time", "m": "is_buyer_maker"}
+PUSHED_OUTER = {"s": "symbol", "E": "event_time"}
 # --- fixed values: positions in a fetched candle array -> field -----------------------
 FETCHED_KLINE = (
     "open_time", "open", "high", "low", "close", "volume", "close_time", "quote_volume",
@@ -187,6 +193,35 @@ def _zero(field: Column) -> Column:
     return F.coalesce(_long(field), F.lit(0).cast("long"))
 
 
+_SHORT = {
+    "klines": PUSHED_OUTER,
+    "ticker": {**PUSHED_OUTER, **PUSHED_TICKER_TEXT, **PUSHED_TICKER_OTHER},
+    "trades": {**PUSHED_OUTER, **PUSHED_TRADE},
+}
+_SHORT_CANDLE = {**PUSHED_KLINE_TEXT, **PUSHED_KLINE_OTHER}
+
+
+def message_fields(df: DataFrame, dataset: str, payload: str) -> DataFrame:
+    """``df`` plus ``_readable`` and the fields of one dataset, from messages with long or with
+    short keys. A message is parsed once, as a map; what is no JSON object is not readable,
+    and a field of another type than the dataset's is NULL."""
+    m, inner = F.col("_m"), F.col("_k")
+    df = df.withColumn("_m", _object(F.col(payload))).withColumn("_readable", F.col("_m").isNotNull())
+    if dataset == "klines":
+        df = df.withColumn("_k", _object(m["k"]))
+
+    def field(name: str) -> Column:
+        places = [m[name], *[m[key] for key, long in _SHORT[dataset].items() if long == name]]
+        if dataset == "klines":
+            places += [inner[key] for key, long in _SHORT_CANDLE.items() if long == name]
+        return F.coalesce(*places) if len(places) > 1 else places[0]
+
+    return df.select(
+        *[c for c in df.columns if c not in ("_m", "_k")],
+        *[field(f.name).try_cast(f.dataType).alias(f.name) for f in RAW[dataset]],
+    )
+
+
 def parse_pushed_klines(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Socket candle messages: outer symbol and event time, candle in the ``k`` object."""
     outer = df.select("*", _object(F.col(payload)).alias("_m"))

@@ -139,6 +139,54 @@ def k6(spark, d):
     return landed_totals(spark.read.schema(files.with_layout(schemas.RAW_TRADE)).json(f"{root}/bronze/trades"))
 
 
+def _mixed_messages(session, spark, d) -> DataFrame:
+    """events as trade messages: a third with short keys, all with a field no schema knows, and
+    those of high value cut off in the middle."""
+    rows = trade_rows(spark, d)
+    extra = F.struct(F.col("trade_id").alias("id")).alias("extra")
+    long = F.to_json(F.struct(*rows.columns, extra))
+    short = F.to_json(F.struct(
+        F.col("symbol").alias("s"), F.col("event_time").alias("E"), F.col("trade_id").alias("t"),
+        F.col("price").alias("p"), F.col("qty").alias("q"), extra))
+    good = F.when(F.col("trade_id") % 3 == 0, short).otherwise(long)
+    value = F.when(F.col("price").cast("double") >= 100, F.left(good, F.length(good) - 5)).otherwise(good)
+    path = new_path(spark, "messages")
+    rows.select(value.alias("value"), F.timestamp_millis("time").alias("timestamp")).write.parquet(path)
+    return read_folder(session, path, I.MESSAGE_SCHEMA)
+
+
+def _land_mixed(spark, d) -> str:
+    session = stream_session(spark)
+    root = new_path(spark, "lake")
+    SC.await_all(landing.start_landing(
+        {"trades": _mixed_messages(session, spark, d)}, root, new_path(spark, "checkpoint"), "BRONZE_ONLY", trigger=None))
+    return root
+
+
+@query(
+    "k6_bronze_keeps_message",
+    """SELECT event_type AS symbol, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, sum(event_id) AS ids,
+  count(*) FILTER (event_id % 3 = 0) AS short
+FROM events WHERE value < 100 GROUP BY 1, 2""",
+)
+def k6_messages(spark, d):
+    lines = spark.read.schema("value string, date string, symbol string, hour string").text(
+        f"{_land_mixed(spark, d)}/bronze/trades")
+    return lines.groupBy("symbol", "date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.get_json_object("value", "$.extra.id").cast("long")).alias("ids"),
+        F.count(F.get_json_object("value", "$.s")).alias("short"))
+
+
+@query(
+    "t6_rejects",
+    "SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM events WHERE value >= 100 GROUP BY 1",
+)
+def t6_rejects(spark, d):
+    lines = spark.read.schema("value string, date string").text(f"{_land_mixed(spark, d)}/reject/trades")
+    return lines.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("k7_silver_sink", _VALID_TOTALS)
 def k7(spark, d):
     root = _land(spark, d, "SILVER_ONLY")
