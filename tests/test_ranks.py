@@ -60,8 +60,9 @@ def test_percent_ranks_with_ties_and_nulls(spark, how):
 @pytest.mark.parametrize("rows", [[(1, 5)], []])
 def test_percent_rank_of_one_or_none(spark, rows):
     df = spark.createDataFrame(rows, "id int, a int")
-    got = ranks.percent_ranks(df, "id", {"a": "p"})
-    assert [r.p for r in got.collect()] == [0.0] * len(rows)
+    for single in (ranks.SINGLE_TASK_ROWS, 0):
+        got = ranks.percent_ranks(df, "id", {"a": "p"}, single_task_rows=single)
+        assert [r.p for r in got.collect()] == [0.0] * len(rows)
 
 
 def test_ranged_plan_has_no_single_task_over_rows(spark):

@@ -46,11 +46,12 @@ def _as_candles(df: DataFrame, interval: str) -> DataFrame:
 
 
 def from_ticks(
-    ticks: DataFrame, interval: str = "1m", tie_break: str | None = None
+    ticks: DataFrame, interval: str = "1m", *, tie_break: str | None
 ) -> DataFrame:
     """Candles from (symbol_id, ts, price, qty, is_taker_buy).
 
-    ``tie_break`` names a non-negative id ordering ticks of equal time. Time and id are
+    ``tie_break`` names a non-negative id ordering ticks of equal time; without one (None) the
+    first and last price among equal times are arbitrary. Time and id are
     packed into one decimal, again to stay with the hash aggregate.
     """
     seconds = INTERVALS[interval]

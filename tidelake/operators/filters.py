@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import in_universe, sane_time
 from tidelake.operators.skew import broadcast_checked
+from tidelake.session import materialize
 
 
 def require(df: DataFrame, *columns: str) -> DataFrame:
@@ -35,11 +36,13 @@ def universe(tickers: DataFrame, quote: str = "USDT") -> DataFrame:
 
 
 def members(df: DataFrame, entities: DataFrame, on: str) -> DataFrame:
-    """Rows whose key is listed in ``entities``; the list never visits the driver."""
-    return df.join(broadcast_checked(entities.select(on)), on, "left_semi")
+    """Rows whose key is listed in ``entities``; the list never visits the driver. It is
+    stored, so that counting it does not make it twice."""
+    listed = materialize(entities.select(on).distinct(), "listed")
+    return df.join(broadcast_checked(listed), on, "left_semi")
 
 
 def strangers(df: DataFrame, known: DataFrame, on: str, known_on: str | None = None) -> DataFrame:
     """Rows whose key is not in ``known``."""
-    listed = broadcast_checked(known.select(F.col(known_on or on).alias(on)))
-    return df.join(listed, on, "left_anti")
+    listed = materialize(known.select(F.col(known_on or on).alias(on)).distinct(), "known")
+    return df.join(broadcast_checked(listed), on, "left_anti")

@@ -128,7 +128,7 @@ def percent_ranks(
     histogram = long.groupBy(*slot).agg(F.count(F.lit(1)).alias("n"))
     ranked = running_total(
         histogram, "n", ["metric"], [F.col("known"), F.col("value")], "upto"
-    ).select(*slot, "n", ((F.col("upto") - F.col("n")) / F.lit(rows - 1)).alias("pr"))
+    ).select(*slot, "n", ((F.col("upto") - F.col("n")) / F.lit(max(rows - 1, 1))).alias("pr"))
     joined = lookup_join(
         long, materialize(ranked, "ranks"), slot, "n", broadcast_rows, hot_rows
     )

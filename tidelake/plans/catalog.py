@@ -50,7 +50,7 @@ def query(name: str, sql: str | None = None, **digits: int):
 # ------------------------------------------------------------------- shared SQL parts
 
 TICKS = """ticks AS (
-  SELECT user_id AS symbol_id, ts, CAST(value AS DECIMAL(18,2)) AS price, event_type,
+  SELECT user_id AS symbol_id, ts, event_id, CAST(epoch_us(ts) AS HUGEINT) * 100000000000 + event_id AS tick_order, CAST(value AS DECIMAL(18,2)) AS price, event_type,
          event_type IN ('click', 'purchase') AS taker
   FROM events)"""
 
@@ -84,8 +84,8 @@ def candles_sql(interval: str, name: str = "candles") -> str:
     return f"""{name} AS (
   SELECT symbol_id, time_bucket(INTERVAL '{BUCKETS[interval]}', ts) AS open_time,
          time_bucket(INTERVAL '1 minute', max(ts)) + INTERVAL '59999 milliseconds' AS close_time,
-         arg_min(price, ts) AS open_price, max(price) AS high_price,
-         min(price) AS low_price, arg_max(price, ts) AS close_price,
+         arg_min(price, tick_order) AS open_price, max(price) AS high_price,
+         min(price) AS low_price, arg_max(price, tick_order) AS close_price,
          count(*) AS volume_base, sum(price) AS volume_quote, count(*) AS num_trades,
          sum(CASE WHEN taker THEN price ELSE 0 END) AS taker_buy_quote_volume
   FROM ticks GROUP BY 1, 2)"""

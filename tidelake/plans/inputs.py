@@ -38,7 +38,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candles_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return from_ticks(ticks(spark, sf_dir))
+    return from_ticks(ticks(spark, sf_dir), tie_break="event_id")
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
