@@ -195,7 +195,8 @@ def judged(stats: DataFrame, lang: str = "lang", source: str = "source") -> Data
     failed = (n < 50) | (repeat * 100 > n * 50)
     x = [v.alias(f"x_{i}") for i, v in enumerate(_transformed())]
     points = stats.filter(~failed).select(_group(lang, source).alias("g"), *x)
-    large = points.groupBy("g").count().filter(F.col("count") >= LEAST_ROWS).select("g")
+    sizes = points.groupBy("g").count().filter(F.col("count") >= LEAST_ROWS).select("g")
+    large = broadcast_checked(materialize(sizes, "mcd-groups"), BROADCAST_GROUPS)
     all_rows = points.withColumn("g", F.lit("*"))
     found = estimates(materialize(
         points.join(large, "g", "left_semi").unionByName(all_rows), "mcd-points"))
