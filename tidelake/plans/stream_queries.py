@@ -13,7 +13,7 @@ from tidelake.operators import contract
 from tidelake.plans import inputs as I
 from tidelake.plans.catalog import TICKS, all_candles_sql, candle_columns, candles_sql, query
 from tidelake.plans.io_queries import _LANDED_TOTALS, landed_totals, trade_rows
-from tidelake.session import new_path
+from tidelake.session import materialize, new_path
 from tidelake.sinks import tables
 from tidelake.sources import files
 from tidelake.sources.topics import read_folder
@@ -255,3 +255,47 @@ def t8(spark, d):
     query.awaitTermination()
     kept = ring.within_retention(table.read(spark, keep_partitions=True), _NOW)
     return kept.select("symbol_id", "trade_id", "trade_time", "price")
+
+
+@query(
+    "k9_rolled_files",
+    """SELECT symbol, sum(n) AS n, CAST(sum(ceil(n / 3.0)) AS BIGINT) AS files FROM (
+  SELECT event_type AS symbol, CAST(ts AS DATE), hour(ts) < 12, count(*) AS n FROM events WHERE value < 100 GROUP BY 1, 2, 3)
+GROUP BY 1""",
+)
+def k9(spark, d):
+    # one input file, so one task: a file closes after three records of one key
+    session = stream_session(spark)
+    root = new_path(spark, "lake")
+    SC.await_all(landing.start_landing(
+        {"trades": _messages(session, spark, d)}, root, new_path(spark, "checkpoint"), "SILVER_ONLY",
+        trigger=None, records_per_file=3))
+    rows = spark.read.schema(files.with_layout(schemas.RAW_TRADE)).parquet(f"{root}/silver/trades")
+    return rows.select("symbol", F.input_file_name().alias("file")).groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("file").alias("files"))
+
+
+@query(
+    "t5_late_rows",
+    f"""WITH {TICKS}, {candles_sql('1m')}, {candles_sql('1h', 'hours')}
+SELECT (SELECT count(*) FROM candles WHERE open_time <= (SELECT max(open_time) FROM candles) - INTERVAL '2 minutes') AS late,
+  count(*) AS windows, CAST(sum(volume_quote) AS DOUBLE) AS volume FROM hours""",
+)
+def t5(spark, d):
+    # Every candle comes in three triggers. A trigger drops what is behind the watermark that
+    # its predecessor started with: the second one knows all rows as copies, the third one
+    # drops and counts them. The windows stay as they were.
+    session = stream_session(spark)
+    path = new_path(spark, "late-messages")
+    I.candles_1m(spark, d).coalesce(1).write.parquet(path)
+    again = spark.read.parquet(path)
+    copies = materialize(again, "copies")
+    for _ in range(2):
+        copies.coalesce(1).write.mode("append").parquet(path)
+    table = tables.fact_klines(new_path(spark, "stream-fact"))
+    source = read_folder(session, path, again.schema, files_per_trigger=1)
+    queries = SC.start_resample(source, table, new_path(spark, "checkpoint"), ["1h"], trigger=None)
+    SC.await_all(queries)
+    late = SC.dropped_late_rows(queries[0])
+    return table.read(spark).agg(
+        F.lit(late).cast("long").alias("late"), F.count(F.lit(1)).alias("windows"), F.sum("volume_quote").alias("volume"))
