@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ TRIM = " \t\n\x0b\f\r"
 _BITS = 12
 # ln a lies in (-64, 64); 2^-30 is the finest difference that is told apart.
 _ORIGIN, _FINE, _MARK_BITS = 64.0, float(1 << 30), 16
-ROWS_PER_BUCKET, MAX_BUCKETS, CELLS = 512, 65_536, 65_536
+ROWS_PER_BUCKET, MAX_BUCKETS, CELLS = 512, 65_536, 4_096
 
 
 @lru_cache(maxsize=1)
@@ -68,9 +69,9 @@ def _sample(k: int) -> Column:
     ``_quantiles`` holds the Gamma quantiles and then their logarithms."""
     u = F.xxhash64("word", F.lit(k))
     low = (1 << _BITS) - 1
-    r = F.element_at("_quantiles", (u.bitwiseAND(low) + 1).cast("int"))
-    log_c = F.element_at(
-        "_quantiles", (F.shiftrightunsigned(u, _BITS).bitwiseAND(low) + (1 << _BITS) + 1).cast("int"))
+    r = F.get("_quantiles", u.bitwiseAND(low).cast("int"))
+    log_c = F.get(
+        "_quantiles", F.shiftrightunsigned(u, _BITS).bitwiseAND(low).bitwiseOR(1 << _BITS).cast("int"))
     b = F.shiftrightunsigned(u, 32).cast("double") / float(1 << 32)
     t = F.floor(F.col("weight") / r + b)
     log_a = log_c - r * (t - b + 1)
@@ -80,29 +81,31 @@ def _sample(k: int) -> Column:
 
 
 def signatures(rows: DataFrame, keys: list[str], array: str, samples: int = SAMPLES) -> DataFrame:
-    """``keys`` plus ``sig``, the marks of all samples as hexadecimal text, four digits each;
+    """``keys`` plus ``sig``, the marks of all samples as text, four hexadecimal digits each;
     empty for rows without words. ``keys`` must tell rows apart. The minima are combined
     where the rows are, before anything is shuffled."""
     values = gamma_quantiles() + [math.log(x) for x in gamma_quantiles()]
     table = rows.sparkSession.createDataFrame([(values,)], "q array<double>").scalar()
     flat = rows.select(*keys, F.inline_outer(array)).withColumn("_quantiles", table)
     least = flat.groupBy(*keys).agg(*[F.min(_sample(k)).alias(f"_s{k}") for k in range(samples)])
-    mark = [
+    marks = [
         F.lpad(F.hex(F.col(f"_s{k}").bitwiseAND((1 << _MARK_BITS) - 1)), 4, "0") for k in range(samples)
     ]
-    return least.select(*keys, F.coalesce(F.lower(F.concat(*mark)), F.lit("")).alias("sig"))
+    return least.select(*keys, F.coalesce(F.lower(F.concat(*marks)), F.lit("")).alias("sig"))
 
 
 def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
     """Share of equal samples of two signatures; two empty ones are alike (1), an empty one
     and another are not (0)."""
-    same = sum(
-        (F.substring(a, 4 * k + 1, 4) == F.substring(b, 4 * k + 1, 4)).cast("int") for k in range(samples)
-    )
+
+    def mark(c: str, k: Column) -> Column:
+        return F.substring(F.col(c), k * 4 + 1, F.lit(4))
+
+    same = F.filter(F.sequence(F.lit(0), F.lit(samples - 1)), lambda k: mark(a, k) == mark(b, k))
     return (
         F.when(F.col(a) == F.col(b), F.lit(1.0))
         .when((F.col(a) == "") | (F.col(b) == ""), F.lit(0.0))
-        .otherwise(same / float(samples))
+        .otherwise(F.size(same) / float(samples))
     )
 
 
@@ -110,7 +113,7 @@ def _buckets(docs: DataFrame, key: str) -> tuple[Column, list[tuple[int, int]]]:
     """A bucket number that rises with ``key``, for rows with a key, and for every bucket but
     none twice (its largest key, the bucket that needs that row after its own last one).
 
-    From the keys alone: their numbers in at most 65,536 equal cells, then neighbouring cells
+    From the keys alone: their numbers in at most 4,096 equal cells, then neighbouring cells
     together, or crowded ones divided, into buckets of some 512 rows (more, where 65,536
     buckets would not do). Both tables on the driver are bounded by these numbers.
     """
@@ -130,10 +133,10 @@ def _buckets(docs: DataFrame, key: str) -> tuple[Column, list[tuple[int, int]]]:
         base[c] = seen // target
         parts[c] = (seen + max(size, 1) - 1) // target - base[c] + 1
         seen += size
-    at = (cell + 1).cast("int")
+    at = cell.cast("int")
     inside = (k - F.lit(low)) - cell * F.lit(width)
-    bucket = F.element_at(F.lit(base), at) + F.floor(
-        inside * F.element_at(F.lit(parts), at) / F.lit(width)).cast("long")
+    bucket = F.get(F.lit(np.array(base)), at) + F.floor(
+        inside * F.get(F.lit(np.array(parts)), at) / F.lit(width)).cast("long")
     tops = sorted(
         docs.filter(k.isNotNull()).groupBy(bucket.alias("b")).agg(F.max(k)).collect()
     )
