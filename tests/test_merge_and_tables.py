@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,6 +132,24 @@ def test_snapshot_and_history(spark, tmp_path):
     tables.replace_snapshot(spark.range(5), path)
     tables.replace_snapshot(spark.range(2), path)
     assert values(tables.read_snapshot(spark, path, spark.range(1).schema)) == [(0,), (1,)]
+    tables.replace_snapshot(spark.range(3), path)
+    assert len([p for p in Path(path).iterdir() if p.name.startswith("version-")]) == 2
+
+
+def test_a_write_that_dies_before_the_switch_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    tables.replace_snapshot(spark.range(2), path)
+
+    def die(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_switch", die)
+        with pytest.raises(RuntimeError):
+            tables.replace_snapshot(spark.range(9), path)
+    assert values(tables.read_snapshot(spark, path, spark.range(1).schema)) == [(0,), (1,)]
+    tables.replace_snapshot(spark.range(3), path)
+    assert tables.read_snapshot(spark, path, spark.range(1).schema).count() == 3
     history = str(tmp_path / "hist")
     assert tables.append_history(spark.range(2), history) and tables.append_history(spark.range(3), history)
     assert not tables.append_history(spark.range(0), history)

@@ -37,8 +37,8 @@ class Warehouse:
     def tickers(self) -> tables.KeyedTable:
         return tables.fact_ticker(self.path("fact_ticker_24h_snapshots"))
 
-    def _snapshot(self, spark: SparkSession, table: str, schema) -> DataFrame:
-        found = files._or_none(lambda: tables.read_snapshot(spark, self.path(table), schema))
+    def _snapshot(self, spark: SparkSession, table: str, schema, read=tables.read_snapshot) -> DataFrame:
+        found = files._or_none(lambda: read(spark, self.path(table), schema))
         return spark.createDataFrame([], schema) if found is None else found
 
     def dim(self, spark: SparkSession) -> DataFrame:
@@ -48,7 +48,7 @@ class Warehouse:
         return self._snapshot(spark, "mart_trade_metrics", schemas.MART_TRADE_METRICS)
 
     def top(self, spark: SparkSession) -> DataFrame:
-        return self._snapshot(spark, "mart_top_coins", schemas.MART_TOP_COINS)
+        return self._snapshot(spark, "mart_top_coins", schemas.MART_TOP_COINS, tables.read_history)
 
 
 @dataclass

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from contextlib import nullcontext
 from dataclasses import dataclass, field
 from datetime import date
@@ -156,15 +157,71 @@ def recent_trades(path: str) -> KeyedTable:
     )
 
 
-def replace_snapshot(df: DataFrame, path: str, slot: str = "current") -> None:
-    """Replace a whole small table; readers see the old rows until the commit.
+# The file that names the folder a snapshot is read from.
+_POINTER = "_current"
 
-    The table is a single partition, so dynamic overwrite swaps one folder.
+
+def _files(spark: SparkSession, path: str):
+    fs, settings = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    store = fs.Path(path).getFileSystem(settings).getUri()
+    return fs.FileContext.getFileContext(store, settings), fs.Path
+
+
+def _current(spark: SparkSession, path: str) -> str | None:
+    """The version folder in force, or None if there is none yet."""
+    files, at = _files(spark, path)
+    pointer = at(f"{path}/{_POINTER}")
+    if not files.util().exists(pointer):
+        return None
+    stream = files.open(pointer)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
+def replace_snapshot(df: DataFrame, path: str) -> None:
+    """Replace a whole table: rows go into a new version folder, then a pointer is renamed into
+    place. Readers see the old rows until that rename and the new ones after it; a run that
+    dies in between leaves the old table as it was. The version before the last one is kept
+    for readers that have already begun, older ones are removed.
     """
-    _write(df.withColumn("snapshot", F.lit(slot)), path, ["snapshot"])
+    spark = df.sparkSession
+    before = _current(spark, path)
+    version = f"version-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    _switch(spark, path, version)
+    files, at = _files(spark, path)
+    listed = files.listStatus(at(path))
+    while listed.hasNext():
+        folder = listed.next().getPath()
+        if folder.getName().startswith("version-") and folder.getName() not in (version, before):
+            files.delete(folder, True)
+
+
+def _switch(spark: SparkSession, path: str, version: str) -> None:
+    files, at = _files(spark, path)
+    jvm = spark._jvm
+    fresh = at(f"{path}/{_POINTER}-{version}")
+    system = fresh.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = system.create(fresh, True)
+    try:
+        stream.write(bytearray(version.encode()))
+    finally:
+        stream.close()
+    rename = getattr(jvm, "org.apache.hadoop.fs.Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files.rename(fresh, at(f"{path}/{_POINTER}"), options)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table as of now; a path without any snapshot is reported as not found."""
+    return spark.read.schema(schema).parquet(f"{path}/{_current(spark, path) or 'version-none'}")
+
+
+def read_history(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All runs of :func:`append_history`."""
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
@@ -185,7 +242,7 @@ def save_universe(symbols: DataFrame, path: str, updated_at: Column | None = Non
 def load_universe(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored list, or None if there is none yet or it is empty."""
     try:
-        df = spark.read.schema("symbol string, updated_at timestamp").parquet(path)
+        df = read_snapshot(spark, path, "symbol string, updated_at timestamp")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
