@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.operators.ranks import running_total
+from tidelake.operators.skew import broadcast_checked
 from tidelake.session import materialize
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -161,7 +162,7 @@ def mixed(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     )
     taken = materialize(taken.withColumnRenamed(key, "_key"), "mix-taken")
     return (
-        docs.join(taken, F.col(key).eqNullSafe(F.col("_key")))
+        docs.join(broadcast_checked(taken), F.col(key).eqNullSafe(F.col("_key")))
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
         .select(docs.columns)
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.arrow import slices, text_buffers
 from tidelake.llm.components import components
+from tidelake.operators.skew import broadcast_checked
 from tidelake.session import materialize
 
 FIELDS = 32     # segments of two bits, whose bit counts fit into the same two bits
@@ -126,14 +127,15 @@ def near_duplicates(
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest key.
 
-    Rows that repeat this key are reduced to one of them.
+    Rows that repeat this key are reduced to one of them. Texts are not shuffled while the
+    list of kept keys is small enough to be broadcast (it is stored and counted first).
     """
     found = materialize(near_duplicates(docs, key=key, **options), "components")
     kept = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(key).count()
     keep = materialize(
         kept.select(F.col(key).alias("_key"), F.col("count").alias("_times")), "kept"
     )
-    out = docs.join(keep, F.col(key).eqNullSafe(F.col("_key")))
+    out = docs.join(broadcast_checked(keep), F.col(key).eqNullSafe(F.col("_key")))
     single = out.filter("_times = 1").select(docs.columns)
     if keep.filter("_times > 1").isEmpty():
         return single
