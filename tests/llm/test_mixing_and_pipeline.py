@@ -98,6 +98,21 @@ def test_one_source_may_hold_most_rows(spark):
         k: want[k, s, len(t.split())] for k, t, s in rows}
 
 
+def test_rows_that_share_a_key_have_their_own_copies(make_docs):
+    rows = [(k, f"t{i} " * (i + 1)) for i, k in enumerate([7, 7, 7, None, None, None, None, 8])]
+    docs = make_docs([*rows, (9, "same same"), (9, "same same"), (9, "same same")])
+    want = sorted((r.size, r.taken) for r in mix(docs, share=0.7).collect() if r.taken)
+    got = Counter(r.text for r in mixed(docs, share=0.7).collect())
+    sizes = Counter()
+    for text, n in got.items():
+        sizes[len(text.split())] += n * len(text.split())
+    taken = Counter()
+    for size, n in want:
+        taken[size] += n
+    assert sizes == taken
+    assert sum(sizes.values()) <= 0.7 * sum(r.size for r in mix(docs, share=0.7).collect())
+
+
 # -------------------------------------------------------------------------- pipeline
 
 def test_stages_hand_over_what_they_keep(spark, tmp_path):

@@ -107,3 +107,15 @@ def test_repeated_smallest_row_stays_once(make_docs):
 def test_short_texts(make_docs, words):
     text = " ".join("abcd"[:words])
     assert near_duplicates(make_docs([text])).first().fingerprint == f"{brute_fingerprint(text):016x}"
+
+
+def test_rows_that_share_a_key_are_kept_by_their_texts(make_docs):
+    def kept(rows):
+        return Counter((r.doc_id, r.text) for r in without_near_duplicates(make_docs(rows)).collect())
+
+    a, b, c = "a b c d", "w x y z", "k l m n o p"
+    assert kept([(1, a), (1, b)]) == Counter([(1, a), (1, b)])
+    got = kept([(0, a), (1, a), (1, b)])
+    assert got == Counter([(0, a), (1, b)])
+    assert kept([(None, a), (None, b), (None, b), (2, c), (None, c), (None, None)]) == Counter(
+        [(None, a), (None, b), (2, c), (None, None)])

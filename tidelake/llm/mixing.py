@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.operators.ranks import running_total
-from tidelake.operators.skew import broadcast_checked
+from tidelake.operators.skew import join_marked, row_mark
 from tidelake.session import materialize
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -66,15 +66,16 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, pas
 
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, passes: int = 2,
-    key: str = "doc_id", source: str = "source", text: str = "text",
+    key: str = "doc_id", source: str = "source", text: str = "text", mark: Column | None = None,
 ) -> DataFrame:
-    """(key, size, source_size, target, taken) for every row of ``docs``.
+    """(key, size, source_size, target, taken) for every row of ``docs``, and ``_mark`` if
+    ``mark``, a bigint of the row, is given.
 
     ``size`` is the number of words, ``taken`` the words the mix takes of the document,
     0 to ``passes`` times its size. The total taken stays within ``share`` of all sizes and
     misses it by less than one document, so each source comes within about one document of
     its target. The shuffle order is the MD5 of the key, so reruns agree; equal keys go by
-    size, and wholly equal rows are interchangeable.
+    size and ``mark``, and wholly equal rows are interchangeable.
 
     NULL text has size 0, NULL sources are one source, a table without words takes nothing.
     Only (key, source, size) leave the scan. Positions within a source are sums within
@@ -86,6 +87,7 @@ def mix(
         docs.select(
             F.col(key).alias("key"), F.col(source).alias("source"), word_count(text).alias("size"),
             F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")).alias("turn"),
+            (F.lit(None).cast("long") if mark is None else mark).alias("mark"),
         ), "mix-sizes",
     )
     totals = materialize(
@@ -107,7 +109,7 @@ def mix(
         F.col("source").alias("_s"), F.col("block").alias("_b"),
         F.coalesce(F.sum("_in_block").over(earlier), F.lit(0)).alias("_before"),
     )
-    inside = Window.partitionBy("source", "block").orderBy("turn", "key", "size")
+    inside = Window.partitionBy("source", "block").orderBy("turn", "key", "size", "mark")
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     named = targets.withColumnRenamed("source", "_n")
     timed = materialize(
@@ -115,7 +117,7 @@ def mix(
         .join(block_starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")))
         .join(named, F.col("source").eqNullSafe(F.col("_n")))
         .select(
-            "key", "source", "size", "source_size", "target",
+            "key", "mark", "source", "size", "source_size", "target",
             (F.lit(unit) / F.col("weight")).cast("long").alias("_step"),
             (F.col("_before") + F.col("_sum")).alias("_upto"),
         ), "mix-times",
@@ -150,19 +152,27 @@ def mix(
     return timed.select(
         F.col("key").alias(key), "size", "source_size", "target",
         (F.col("size") * times).cast("long").alias("taken"),
+        *([] if mark is None else [F.col("mark").alias("_mark")]),
     )
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken, those never taken left
-    out. Documents without words are never taken. Rows with equal keys share their copies:
-    each is repeated as often as the luckiest of them."""
-    taken = mix(docs, key=key, **options).filter("taken > 0").groupBy(key).agg(
-        F.max((F.col("taken") / F.col("size")).cast("int")).alias("_times")
-    )
-    taken = materialize(taken.withColumnRenamed(key, "_key"), "mix-taken")
-    return (
-        docs.join(broadcast_checked(taken), F.col(key).eqNullSafe(F.col("_key")))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .select(docs.columns)
-    )
+    out. Documents without words are never taken.
+
+    A row is known by its key and its mark (:func:`row_mark`), so rows that share a key, or
+    have none, have copies of their own; wholly equal rows have theirs in one. The rows taken
+    are joined by hash at every size, which shuffles the texts once.
+    """
+    taken = mix(docs, key=key, mark=row_mark(docs), **options).groupBy(
+        F.col(key).alias("_key"), "_mark"
+    ).agg(
+        F.sum(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0)).cast("int").alias("_copies"),
+        F.count(F.lit(1)).alias("_times"),
+    ).filter("_copies > 0")
+    taken = materialize(taken, "mix-taken")
+    out = join_marked(docs, taken, key)
+    rows = out.filter("_times = 1")
+    if not taken.filter("_times > 1").isEmpty():
+        rows = rows.unionByName(out.filter("_times > 1").dropDuplicates([key, "_mark"]))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)

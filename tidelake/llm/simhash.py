@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.arrow import slices, text_buffers
 from tidelake.llm.components import components
-from tidelake.operators.skew import broadcast_checked
+from tidelake.operators.skew import join_marked, row_mark
 from tidelake.session import materialize
 
 FIELDS = 32     # segments of two bits, whose bit counts fit into the same two bits
@@ -39,9 +39,11 @@ def simhash(words: list[bytes], size: int, seed: int) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, size: int = 3, seed: int = 42, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, size: int = 3, seed: int = 42, key: str = "doc_id", text: str = "text",
+    mark: Column | None = None,
 ) -> DataFrame:
-    """(key, fp bigint) of whole texts; A-Z lower-cased, words between ASCII white space."""
+    """(key, fp bigint) of whole texts; A-Z lower-cased, words between ASCII white space.
+    With ``mark``, a bigint of the row, (key, mark, fp)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
@@ -50,10 +52,13 @@ def fingerprints(
             fps = [simhash(raw[a:b].lower().split(), size, seed)
                    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps, pa.int64())], names=[key, "fp"])
+                [batch.column(0), *batch.columns[2:], pa.array(fps, pa.int64())],
+                names=[key, *batch.schema.names[2:], "fp"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(f"`{key}`", f"`{text}`").mapInArrow(run, f"`{key}` {kind}, fp bigint")
+    rows = docs.select(f"`{key}`", f"`{text}`", *([] if mark is None else [mark.alias("mark")]))
+    marks = "" if mark is None else "mark bigint, "
+    return rows.mapInArrow(run, f"`{key}` {kind}, {marks}fp bigint")
 
 
 def _embedding(fp: Column) -> Column:
@@ -100,6 +105,14 @@ def near_pairs(fps: DataFrame) -> DataFrame:
     ).select("a", "b").distinct()
 
 
+def _rooted(nodes: DataFrame) -> DataFrame:
+    """(fp, first, root): stored (fp, first) with a name of the component."""
+    roots = components(near_pairs(nodes.select("fp")))
+    return nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 3, seed: int = 42, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -113,10 +126,7 @@ def near_duplicates(
     """
     marked = materialize(fingerprints(docs, size, seed, key, text), "fingerprints")
     nodes = materialize(marked.groupBy("fp").agg(F.min(key).alias("first")), "nodes")
-    roots = components(near_pairs(nodes.select("fp")))
-    named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    named = _rooted(nodes)
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = materialize(named.join(smallest, "root").select("fp", "component_id"), "classes")
     return marked.join(classes, "fp").select(
@@ -124,21 +134,30 @@ def near_duplicates(
     )
 
 
-def without_near_duplicates(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest key.
+def without_near_duplicates(
+    docs: DataFrame, size: int = 3, seed: int = 42, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest key, NULL last, and among
+    rows of that key the one of the smallest mark.
 
-    Rows that repeat this key are reduced to one of them. Texts are not shuffled while the
-    list of kept keys is small enough to be broadcast (it is stored and counted first).
+    A row is known by its key and its mark (:func:`row_mark`), so rows that share a key, or
+    have none, are told apart; wholly equal rows are one. The kept rows are joined by hash at
+    every size, which shuffles the texts once.
     """
-    found = materialize(near_duplicates(docs, key=key, **options), "components")
-    kept = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(key).count()
+    marked = materialize(fingerprints(docs, size, seed, key, text, row_mark(docs)), "fingerprints")
+    rows = marked.groupBy(F.col(key).alias("key"), "mark", "fp").agg(F.count(F.lit(1)).alias("times"))
+    first = F.struct(F.col("key").isNull().alias("none"), "key", "mark", "times")
+    nodes = materialize(rows.groupBy("fp").agg(F.min(first).alias("first")), "nodes")
     keep = materialize(
-        kept.select(F.col(key).alias("_key"), F.col("count").alias("_times")), "kept"
+        _rooted(nodes).groupBy("root").agg(F.min("first").alias("first")).select(
+            F.col("first.key").alias("_key"), F.col("first.mark").alias("_mark"),
+            F.col("first.times").alias("_times")),
+        "kept",
     )
-    out = docs.join(broadcast_checked(keep), F.col(key).eqNullSafe(F.col("_key")))
+    out = join_marked(docs, keep, key)
     single = out.filter("_times = 1").select(docs.columns)
     if keep.filter("_times > 1").isEmpty():
         return single
     return single.unionByName(
-        out.filter("_times > 1").select(docs.columns).dropDuplicates([key])
+        out.filter("_times > 1").dropDuplicates([key, "_mark"]).select(docs.columns)
     )
