@@ -12,6 +12,7 @@ from tidelake.llm.mixing import mix
 from tidelake.llm.outliers import quality_rules
 from tidelake.llm.packing import pack_documents
 from tidelake.llm.quality import score, train, training_part
+from tidelake.llm.resampling import importance_resample
 from tidelake.llm.simhash import near_duplicates
 from tidelake.llm.tokens import count_tokens
 from tidelake.llm.url_rules import judge_urls, rules_sql
@@ -112,3 +113,46 @@ def op6_bloom_language_model(spark, sf_dir):
     held_out = fold("doc_id") == 1
     scored = score_texts(docs, ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), *[c for c in scored.columns if c != "doc_id"])
+
+
+# CRC-32 in SQL: a table of 256 steps, then one step for each byte of a feature.
+@query("op11_importance_resampling", sql="""
+WITH crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+           lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
+d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+q AS MATERIALIZED (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+df AS MATERIALIZED (
+  SELECT doc_id, array_to_string(w[i:i + n], ' ') AS f
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 1)) AS i FROM d, (VALUES (0), (1), (2)) AS runs(n))),
+tf AS MATERIALIZED (
+  SELECT array_to_string(w[i:i + n], ' ') AS f
+  FROM (SELECT w, n, unnest(range(1, len(w) - n + 1)) AS i FROM q, (VALUES (0), (1), (2)) AS runs(n))),
+names AS (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM df UNION SELECT f FROM tf)),
+h AS MATERIALIZED (
+  SELECT f, xor(list_reduce(
+           list_prepend(4294967295, list_transform(range(0, strlen(x), 2),
+             lambda i: (instr('0123456789ABCDEF', x[i + 1]) - 1) * 16 + instr('0123456789ABCDEF', x[i + 2]) - 1)),
+           lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1])), 4294967295) % 10000 AS b
+  FROM names, crc),
+s AS (SELECT b, count(*) AS n FROM df JOIN h USING (f) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM tf JOIN h USING (f) GROUP BY b),
+g AS (SELECT s.b, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM df) + 10000)::DOUBLE
+        / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM tf) + 10000)::DOUBLE))) AS BIGINT) AS gain
+      FROM s LEFT JOIN t USING (b)),
+w AS (SELECT doc_id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight FROM df JOIN h USING (f) JOIN g USING (b) GROUP BY doc_id),
+k AS (SELECT d.doc_id, len(d.w) AS words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+               (CAST('0x' || sha256('42:' || d.doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+      FROM d LEFT JOIN w USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM k WHERE words >= 20)
+SELECT k.doc_id, n_features, weight, score,
+       CASE WHEN rank <= 5 * (SELECT count(*) FROM r) // 100 THEN rank END AS rank
+FROM k LEFT JOIN r USING (doc_id)""")
+def op11_importance_resampling(spark, sf_dir):
+    return importance_resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=5, least_words=20, seed=42)
