@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidelake.llm.bloom_lm import fold, score_texts
 from tidelake.llm.catalog import VOCABULARY, query, table
 from tidelake.llm.cws import fingerprints as cws_fingerprints
+from tidelake.llm.filter_audit import filter_audit
 from tidelake.llm.licenses import scan_licenses
 from tidelake.llm.mixing import mix
 from tidelake.llm.outliers import quality_rules
@@ -156,3 +157,41 @@ FROM k LEFT JOIN r USING (doc_id)""")
 def op11_importance_resampling(spark, sf_dir):
     return importance_resample(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=5, least_words=20, seed=42)
+
+
+@query("op12_filter_audit", sql="""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+f AS (
+  SELECT doc_id, part, [
+           len(words) < 100,
+           100 * len(list_distinct(words)) < 80 * len(words),
+           100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+           regexp_matches(text, '[#$%&*|]'),
+           coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false)] AS fails FROM w),
+l AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic
+      FROM labels GROUP BY doc_id),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+o AS (SELECT a.i || b.i || c.i || d.i || e.i AS filter_order
+      FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) a(i), (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) b(i),
+           (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) c(i), (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) d(i),
+           (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) e(i)
+      WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (
+  SELECT part, filter_order, step, n, good, toxic, len(list_filter(fails, lambda x: x)) AS failed,
+         fails[instr('ABCDE', filter_order[step])] AS here,
+         len(list_filter(range(1, step), lambda i: fails[instr('ABCDE', filter_order[i])])) > 0 AS gone
+  FROM m, o, (VALUES (1), (2), (3), (4), (5)) AS t(step))
+SELECT part, filter_order, step,
+       coalesce(sum(n) FILTER (NOT here AND NOT gone), 0)::BIGINT AS kept,
+       coalesce(sum(n) FILTER (here AND NOT gone), 0)::BIGINT AS removed,
+       coalesce(sum(n) FILTER (here AND gone), 0)::BIGINT AS redundant,
+       coalesce(sum(n) FILTER (here AND failed = 1), 0)::BIGINT AS unique_fails,
+       coalesce(sum(good) FILTER (here AND NOT gone), 0)::BIGINT AS good_lost,
+       coalesce(sum(toxic) FILTER (here AND NOT gone), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(n * 120 // greatest(failed, 1)) FILTER (here), 0)::BIGINT AS shapley
+FROM s GROUP BY part, filter_order, step""")
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
