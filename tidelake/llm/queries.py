@@ -14,6 +14,7 @@ from tidelake.llm.outliers import quality_rules
 from tidelake.llm.packing import pack_documents
 from tidelake.llm.quality import score, train, training_part
 from tidelake.llm.resampling import importance_resample
+from tidelake.llm.secret_scan import scan_secrets
 from tidelake.llm.simhash import near_duplicates
 from tidelake.llm.tokens import count_tokens
 from tidelake.llm.url_rules import judge_urls, rules_sql
@@ -195,3 +196,9 @@ SELECT part, filter_order, step,
 FROM s GROUP BY part, filter_order, step""")
 def op12_filter_audit(spark, sf_dir):
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_secret_scan")
+def op13_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_secrets(docs).drop("secrets")
