@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidelake.llm import quality
 from tidelake.llm.outliers import CORE, FLOORS, SCALE, STEPS, estimates, passing, quality_rules
 from tidelake.llm.quality import STATISTICS, Forest, fit, score, statistics, train
 
@@ -118,6 +119,19 @@ def test_held_out_accuracy(spark):
     assert sum(s >= 0.3 for s in good) > 0.99 * len(good)
 
 
+def test_what_reaches_the_driver_is_bounded(spark, make_docs, monkeypatch):
+    """Rows, not labels, are bounded: one id with many texts, and one text many times."""
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append((x, y)))
+    docs = make_docs([(7, f"text number {i}") for i in range(3000)] + [(7, "the same")] * 3000 + [(i, f"w {i}") for i in range(20, 60)])
+    labels = spark.createDataFrame([(7, 1, 0), *((i, i % 2, 0) for i in range(20, 60))], "doc_id long, quality int, toxic int")
+    train(docs, labels, sample_rows=100)
+    train(docs, labels, sample_rows=100_000)
+    assert len(seen[0][0]) == len(seen[0][1]) == 100
+    able = [i for i in range(20, 60) if zlib.crc32(str(i).encode()) % 5]
+    assert len(seen[1][0]) == (3001 if zlib.crc32(b"7") % 5 else 0) + len(able)
+
+
 def test_traversal_matches_a_walk():
     rng = np.random.default_rng(0)
     x, forest = rng.normal(size=(500, 6)), None

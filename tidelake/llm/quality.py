@@ -144,11 +144,12 @@ def train(
 ) -> Forest:
     """A forest from the labelled documents outside the held-out part.
 
-    At most about ``sample_rows`` of them are used, chosen by a hash of the key over the
-    whole label table (all, if there are fewer); so the statistics that reach the driver are
-    bounded (20,000 rows of 23 numbers are 4 MB). Only texts of the sample are looked into.
-    Labels other than 0 and 1, NULL labels and NULL keys are left out; labels without a
-    document too. A key labelled repeatedly counts once, with its smallest label.
+    At most ``sample_rows`` of them are used, so what reaches the driver is bounded (20,000 rows
+    of 23 numbers are 4 MB): keys are thinned by a hash over the whole label table where there
+    are more, and of the different (key, text) left, those with the least hashes are taken; a
+    key or text repeated any number of times counts once. Labels other than 0 and 1, NULL
+    labels and NULL keys are left out; labels without a document too. A key labelled repeatedly
+    counts with its smallest label.
     """
     usable = (
         labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull() & training_part(key))
@@ -158,18 +159,23 @@ def train(
     if n > sample_rows:
         share = int(sample_rows / n * 1_000_000)
         usable = usable.filter(F.pmod(F.xxhash64("_key", F.lit("sample")), F.lit(1_000_000)) < share)
-    chosen = docs.select(F.col(key), F.col(text)).join(
-        F.broadcast(usable), F.col(key) == F.col("_key")     # at most about sample_rows rows
-    ).select("_key", "_label", F.col(text).alias("_text"))
+    chosen = docs.select(F.col(f"`{key}`").alias("_id"), F.col(f"`{text}`").alias("_text")).join(
+        F.broadcast(usable), F.col("_id") == F.col("_key")      # different keys, about sample_rows
+    ).select("_key", "_label", "_text", F.xxhash64("_text").alias("_hash"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
             x = statistics_matrix(batch.column(2))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.string()), batch.column(1),
-                 pa.array(list(x), pa.list_(pa.float64()))], names=["_key", "_label", "x"])
-
-    rows = chosen.mapInArrow(measure, "_key string, _label int, x array<double>").collect()
+                [batch.column(0).cast(pa.string()), batch.column(1), batch.column(3),
+                 pa.array(list(x), pa.list_(pa.float64()))], names=["_key", "_label", "_hash", "x"])
+
+    rows = (
+        chosen.mapInArrow(measure, "_key string, _label int, _hash bigint, x array<double>")
+        .groupBy("_key", "_hash").agg(F.first("_label").alias("_label"), F.first("x").alias("x"))
+        .orderBy(F.xxhash64("_key", "_hash"), "_key", "_hash").limit(sample_rows)
+        .select("_key", "_label", "x").collect()
+    )
     rows.sort(key=lambda r: (r[0], r[2]))
     x = np.array([r[2] for r in rows], np.float64).reshape(len(rows), len(STATISTICS))
     return fit(x, np.array([r[1] for r in rows], np.float64), **options)
