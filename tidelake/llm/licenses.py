@@ -8,11 +8,14 @@ compete by priority: one that lies within the words of another of higher priorit
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, groupby
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -167,6 +170,32 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.lower().translate(_SEPARATED).split()
 
 
+def _word_number(text: bytes):
+    """A function from places in words joined by blanks to numbers of words."""
+    blanks = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
+    return lambda places: np.searchsorted(blanks, np.array(places, np.int64), side="left").tolist()
+
+
+def unsuppressed(found: list[Found]) -> list[Found]:
+    """``found``, highest priority first, without detections that lie within another one of
+    higher priority, or of the same and of more words, or of the same words and found before.
+
+    One priority after the other: what is kept so far is looked up by its first words and the
+    furthest last word up to there, and of the rest a sweep keeps what reaches further.
+    """
+    kept: list[Found] = []
+    for _, level in groupby(found, key=lambda f: f.priority):
+        kept.sort(key=lambda f: f.first)
+        firsts, reach = [f.first for f in kept], list(accumulate((f.last for f in kept), max))
+        furthest = -1
+        for f in sorted(level, key=lambda f: (f.first, -f.last)):      # stable: ties as found
+            at = bisect_right(firsts, f.first)
+            if f.last > furthest and not (at and reach[at - 1] >= f.last):
+                kept.append(f)
+                furthest = f.last
+    return kept
+
+
 def scan(words: list[bytes]) -> list[Found]:
     """Detections left after suppression, in order of place."""
     gate, table = _compiled()
@@ -174,17 +203,13 @@ def scan(words: list[bytes]) -> list[Found]:
     if not hit:
         return []
     text = b" ".join(words)
-    kept: list[Found] = []
+    number, found = _word_number(text), []
     for i in sorted(i for k in hit for i in gate[k]):
         rule = table[i]
-        for m in rule.pattern.finditer(text):
-            first = text.count(b" ", 0, m.start())
-            last = first + text.count(b" ", m.start(), m.end())
-            if not any(f.first <= first and last <= f.last for f in kept):
-                kept = [f for f in kept if not (
-                    first <= f.first and f.last <= last and f.priority <= rule.priority)]
-                kept.append(Found(rule.label, first, last, rule.priority, rule.confidence))
-    return sorted(kept, key=lambda f: (f.first, f.last, f.label))
+        spans = [m.span() for m in rule.pattern.finditer(text)]
+        for first, end in zip(number([a for a, _ in spans]), number([b for _, b in spans])):
+            found.append(Found(rule.label, first, end, rule.priority, rule.confidence))
+    return sorted(unsuppressed(found), key=lambda f: (f.first, f.last, f.label))
 
 
 def places(words: list[bytes]) -> list[tuple[int, str]]:
@@ -192,9 +217,10 @@ def places(words: list[bytes]) -> list[tuple[int, str]]:
     if _BASE_WORDS.isdisjoint(words):
         return []
     text = b" ".join(words)
+    number = _word_number(text)
     return sorted(
-        (text.count(b" ", 0, m.start()), label)
-        for label, (pattern, _) in _BASE.items() for m in pattern.finditer(text)
+        (first, label) for label, (pattern, _) in _BASE.items()
+        for first in number([m.start() for m in pattern.finditer(text)])
     )
 
 
