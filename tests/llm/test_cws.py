@@ -6,9 +6,12 @@ import re
 import statistics
 from collections import Counter
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from tidelake.llm.cws import SAMPLES, fingerprints, gamma_quantiles
+from tidelake.llm import cws
+from tidelake.llm.cws import SAMPLES, fingerprints, gamma_quantiles, in_buckets
 
 
 def weights(text):
@@ -29,7 +32,9 @@ def edited(text, following):
 
 
 def check(rows, docs):
-    """docs in their order: falling keys, equal keys by text, rows without a key last."""
+    """docs in any order; rows follow each other by falling keys, equal keys by a hash of the
+    text, rows without a key last."""
+    docs = sorted(docs, key=lambda d: place(d[0], d[1] or ""), reverse=True)
     want, true = Counter(), {}
     for (d, t), (_, n) in zip(docs, docs[1:] + docs[:1]):
         t, n = t or "", n or ""
@@ -82,6 +87,38 @@ def test_neighbours_across_buckets(spark):
     check(fingerprints(df).collect(), docs)
 
 
+@pytest.mark.parametrize("case", ["extreme keys", "one far key", "a third without keys", "one key", "equal rows"])
+def test_no_bucket_is_crowded(spark, case):
+    n, size = 3000, cws.ROWS_PER_BUCKET
+    text = [f"text {i} with a tail of its own" for i in range(n)]
+    keys = {
+        "extreme keys": [-(1 << 63), (1 << 63) - 1, *range(n - 2)], "one far key": [10**12, *range(n - 1)],
+        "a third without keys": [None if i % 3 == 0 else i for i in range(n)], "one key": [7] * n,
+        "equal rows": [7 if i % 2 else None for i in range(n)],
+    }[case]
+    if case == "equal rows":
+        text = ["all the same"] * n
+    slim = spark.createDataFrame(list(zip(keys, text)), "_key long, _text string").repartition(6)
+    placed = in_buckets(slim)
+    sizes = {(r.bucket, r.guest): r["count"] for r in placed.groupBy("bucket", "guest").count().collect()}
+    buckets = -(-n // size)
+    assert {b for b, _ in sizes} == set(range(buckets))
+    assert all(c == 1 for (_, guest), c in sizes.items() if guest)
+    assert sum(c for (_, guest), c in sizes.items() if not guest) == n
+    assert max(sizes.values()) <= (1.3 * size if case == "equal rows" else size)
+    if case != "equal rows":
+        # the guests close the circle
+        rows = placed.selectExpr("bucket", "guest", "_key", "_text").collect()
+        first = {r.bucket: max((x for x in rows if x.bucket == r.bucket and not x.guest), key=lambda x: place(x._key, x._text)) for r in rows if r.guest}
+        assert all(first[(r.bucket + 1) % buckets]._text == r._text for r in rows if r.guest)
+
+
+def place(key, text):
+    """What falls from row to row."""
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return (key is not None, key or 0, -(h - (1 << 64) if h >> 63 else h))
+
+
 def test_quantiles_are_those_of_the_gamma_distribution():
     q = gamma_quantiles()
     for i in (0, 100, 2048, len(q) - 1):

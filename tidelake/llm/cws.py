@@ -15,10 +15,11 @@ from __future__ import annotations
 import math
 from functools import lru_cache
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from tidelake.llm.resampling import ranked
+
 SAMPLES = 64
 BLANK = r"\x20\x09-\x0D"
 TRIM = " \t\n\x0b\f\r"
@@ -26,7 +27,7 @@ TRIM = " \t\n\x0b\f\r"
 _BITS = 12
 # ln a lies in (-64, 64); 2^-30 is the finest difference that is told apart.
 _ORIGIN, _FINE, _MARK_BITS = 64.0, float(1 << 30), 16
-ROWS_PER_BUCKET, MAX_BUCKETS, CELLS = 512, 65_536, 4_096
+ROWS_PER_BUCKET, MAX_BUCKETS = 128, 65_536
 
 
 @lru_cache(maxsize=1)
@@ -109,39 +110,58 @@ def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
     )
 
 
-def _buckets(docs: DataFrame, key: str) -> tuple[Column, list[tuple[int, int]]]:
-    """A bucket number that rises with ``key``, for rows with a key, and for every bucket but
-    none twice (its largest key, the bucket that needs that row after its own last one).
-
-    From the keys alone: their numbers in at most 4,096 equal cells, then neighbouring cells
-    together, or crowded ones divided, into buckets of some 512 rows (more, where 65,536
-    buckets would not do). Both tables on the driver are bounded by these numbers.
-    """
-    k = F.col(key)
-    low, high, n = docs.agg(F.min(k), F.max(k), F.count(k)).first()
-    if not n:
-        return F.lit(0).cast("long"), []
-    width = (high - low) // CELLS + 1
-    cell = F.floor((k - F.lit(low)) / F.lit(width)).cast("long") if width > 1 else k - F.lit(low)
-    counts = dict(
-        docs.filter(k.isNotNull()).groupBy(cell.alias("c")).count().collect()
-    )
-    target = max(ROWS_PER_BUCKET, -(-n // MAX_BUCKETS))
-    base, parts, seen = [0] * (max(counts) + 1), [1] * (max(counts) + 1), 0
-    for c in range(len(base)):
-        size = counts.get(c, 0)
-        base[c] = seen // target
-        parts[c] = (seen + max(size, 1) - 1) // target - base[c] + 1
-        seen += size
-    at = cell.cast("int")
-    inside = (k - F.lit(low)) - cell * F.lit(width)
-    bucket = F.get(F.lit(np.array(base)), at) + F.floor(
-        inside * F.get(F.lit(np.array(parts)), at) / F.lit(width)).cast("long")
-    tops = sorted(
-        docs.filter(k.isNotNull()).groupBy(bucket.alias("b")).agg(F.max(k)).collect()
-    )
-    above = [b for b, _ in tops[1:]] + [tops[0][0]]
-    return bucket, [(top, to) for (_, top), to in zip(tops, above)]
+def _position() -> Column:
+    """Where a row stands in the order of documents: by falling key, then by a hash of the text;
+    rows without a key come last. NOT turns the order of integers round, whatever they are."""
+    return F.struct(
+        F.col("_key").isNull().cast("int").alias("last"),
+        F.coalesce(F.bitwise_not(F.col("_key").cast("bigint")), F.lit(0)).alias("turned"),
+        F.xxhash64("_text").alias("hash"))
+
+
+def bucket_starts(slim: DataFrame) -> list[Row]:
+    """Positions of the first rows of buckets of ``ROWS_PER_BUCKET`` rows (more, where
+    ``MAX_BUCKETS`` would not do), counted exactly over positions alone. A position that many
+    rows share may start several buckets."""
+    at = ["last", "turned", "hash"]
+    places = slim.select(_position().alias("p")).select("p.*")
+    numbered = ranked(places, [F.asc(c) for c in at], "n")
+    size = max(ROWS_PER_BUCKET, -(-numbered.count() // MAX_BUCKETS))
+    return numbered.filter((F.col("n") - 1) % size == 0).orderBy("n").select(*at).collect()
+
+
+def _not_above(starts: Column, number: int, place: Column, strictly: bool = False) -> Column:
+    """How many of the sorted ``starts`` are at or before ``place`` (before, if ``strictly``)."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(number.bit_length()))])
+
+    def ahead(at: Column, step: Column) -> Column:
+        start = F.get(starts, at + step - 1)
+        return F.when(start < place if strictly else start <= place, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), ahead)
+
+
+def in_buckets(slim: DataFrame) -> DataFrame:
+    """(bucket, guest, _key, _text): ``slim``'s rows in buckets of neighbours, and for each bucket
+    one guest, the row that follows its last one (the very first row follows the very last)."""
+    spark = slim.sparkSession
+    starts = bucket_starts(slim)
+    kind = "last int, turned bigint, hash bigint"
+    table = spark.createDataFrame([(starts,)], f"s array<struct<{kind}>>").scalar()
+    placed = slim.withColumn("_p", _position()).withColumn("_s", table)
+    last = F.greatest(_not_above(F.col("_s"), len(starts), F.col("_p")) - 1, F.lit(0))
+    placed = placed.withColumn("_last", last).withColumn("_starts", F.get("_s", "_last") == F.col("_p"))
+    # rows whose position starts several buckets are dealt among these
+    first = _not_above(F.col("_s"), len(starts), F.col("_p"), strictly=True)
+    dealt = first + F.pmod(F.monotonically_increasing_id(), F.col("_last") - first + 1).cast("int")
+    own = placed.select(
+        F.when(F.col("_starts"), dealt).otherwise(F.col("_last")).alias("bucket"),
+        F.lit(False).alias("guest"), "_key", "_text")
+    firsts = placed.filter("_starts").groupBy("_p").agg(F.min("_text").alias("_text"), F.min("_key").alias("_key"))
+    before = spark.createDataFrame(
+        [(s, (i - 1) % len(starts)) for i, s in enumerate(starts)], f"_p struct<{kind}>, bucket int")
+    guests = firsts.join(F.broadcast(before), "_p").select("bucket", F.lit(True).alias("guest"), "_key", "_text")
+    return own.unionByName(guests)
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -150,31 +170,18 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, key: str = "doc_id", t
 
     The edited text is the text with its last ``n_chars // 3`` code points replaced by as
     many first ones (or all) of the next document; documents follow each other by falling
-    key, the first one follows the last, rows with equal keys by text, and rows without a key
-    come last. NULL text counts as empty. ``near_*`` estimate the generalised Jaccard
+    key (an integer), the first one follows the last, rows with equal keys by a hash of their
+    text, and rows without a key come last. NULL text counts as empty. ``near_*`` estimate the generalised Jaccard
     similarity of words with their counts, with a standard error of at most 1/16.
 
-    The texts are shuffled once, by buckets of neighbouring keys; each bucket also gets the
-    row that follows its last one. All else happens inside buckets.
+    The texts are shuffled once, by buckets of neighbours, which have nearly equal numbers of
+    rows whatever the keys are; each bucket also gets the row that follows its last one. All
+    else happens inside buckets.
     """
-    slim = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    bucket, tops = _buckets(slim, "_key")
-    spark = docs.sparkSession
-    kind = docs.schema[key].dataType.simpleString()
-    edge = spark.createDataFrame(tops, f"_top {kind}, _to bigint")
-    lowest = min((to for _, to in tops), default=0)
-    placed = slim.join(F.broadcast(edge), F.col("_key") == F.col("_top"), "left").select(
-        "_key", "_text", F.explode(F.array_compact(F.array(
-            F.struct(F.coalesce(bucket, F.lit(lowest)).alias("bucket"), F.lit(False).alias("guest")),
-            F.when(F.col("_to").isNotNull(), F.struct(F.col("_to").alias("bucket"), F.lit(True).alias("guest"))),
-        ))).alias("_at"),
-    ).select("_key", "_text", "_at.*")
-    order = Window.partitionBy("bucket").orderBy("guest", F.col("_key").desc_nulls_last(), "_text")
-    paired = placed.withColumn("rn", F.row_number().over(order)).withColumn("_next", F.lead("_text").over(order))
-    # without any key there is one bucket, and its first row follows its last
-    if not tops:
-        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        paired = paired.withColumn("_next", F.coalesce("_next", F.first("_text").over(whole)))
+    slim = docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    order = Window.partitionBy("bucket").orderBy(
+        "guest", F.col("_key").desc_nulls_last(), F.xxhash64("_text"), "_text")
+    paired = in_buckets(slim).withColumn("rn", F.row_number().over(order)).withColumn("_next", F.lead("_text").over(order))
     n = F.length("_text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(
@@ -195,9 +202,6 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, key: str = "doc_id", t
     found = (
         signed.withColumn("_edited", F.lead("sig", 1).over(turn)).withColumn("_after", F.lead("sig", 2).over(turn))
     )
-    if not tops:
-        whole = turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        found = found.withColumn("_after", F.coalesce("_after", F.first("sig").over(whole)))
     return found.filter((F.col("v") == 0) & ~F.col("guest")).select(
         F.col("_key").alias(key), "n_chars", "edited_sha256", F.col("sig").alias("fingerprint"),
         F.col("_edited").alias("edited_fingerprint"),
