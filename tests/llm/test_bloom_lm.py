@@ -86,7 +86,7 @@ def test_edge_rows(spark, make_docs):
 
 def test_filter_grows_with_the_entries_and_keeps_all_counts(make_docs, monkeypatch):
     monkeypatch.setattr(bloom_lm, "SEGMENT_BITS", 1 << 8)      # more segments than SEGMENTS
-    monkeypatch.setattr(bloom_lm, "MAX_BITS", 1 << 14, raising=False)
+    monkeypatch.setattr(bloom_lm, "PIECE_BITS", 1 << 16)       # broadcast in several pieces
     texts = [" ".join(f"w{(i * 7 + k) % 9000}" for k in range(300)) for i in range(600)]
     docs = make_docs(texts)
     counts = materialize(ngram_counts(docs), "ngrams")
@@ -97,7 +97,8 @@ def test_filter_grows_with_the_entries_and_keeps_all_counts(make_docs, monkeypat
         rows = counts.filter(f"kind = {kind}").collect()
         told = model.quantised(np.array([r.h for r in rows], np.int64).view(np.uint64), kind)
         assert all(t >= r.n / math.sqrt(2) for t, r in zip(told, rows))
-    # scoring by segments tells what the filter as a whole tells
+    assert model.segments * model.segment_bits >= 4 * bloom_lm.PIECE_BITS
+    # scoring by pieces tells what the filter as a whole tells
     got = {r.doc_id: r.score for r in score_texts(docs).collect()}
     for i in (0, 1, 599):
         total = 0.0

@@ -9,9 +9,9 @@ probing 1, 2, ... until one is missing. Errors only ever make a class larger.
 
 with counts from the filter, where a class stands for the mean count of its members.
 
-The filter grows with the entries. It is a stored table of segments and is probed there:
-each block of texts sends its different n-grams to the segments that their hashes name and
-gets their classes back. No process holds more than one segment, or the answers to one block.
+The filter grows with the entries. It is built by segments, which n-grams' hashes name, and
+broadcast in pieces of a stated size. A task reduces some texts to their different n-grams and
+asks the pieces one after the other, so that no process holds more than one of them.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +39,9 @@ SEGMENT_BITS = 1 << 23              # 1 MB: from there on segments become more,
 SEGMENTS_PER_TASK = 8               # filled at once, on average; a bit takes a byte meanwhile
 MAX_FREQUENT = 200_000              # words whose exact counts are broadcast, 16 bytes each
 BLOCK = 8 << 20                     # bytes of text handled at once
-SCORED = 4 << 20                    # the same where n-grams of a block travel to the filter
+SCORED = 4 << 20                    # the same where they are scored
+SWEPT = 64 << 20                    # bytes of text that ask each piece of the filter together
+PIECE_BITS = 1 << 29                # of the filter in one broadcast: 64 MB
 PROBED = 1 << 18                    # n-grams probed at once
 UNIGRAM, BIGRAM = 1, 2
 
@@ -305,19 +307,70 @@ def plan(counts: DataFrame, share: float = 0.1, max_bits: int | None = None,
                  rows["n"].to_numpy(np.int64)[order], share), stored
 
 
-def _binary(*parts: np.ndarray) -> pa.Array:
-    return pa.array([p.tobytes() for p in parts], pa.binary())
-
-
-def _numbers(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    """All binary values of a column, one after the other, as numbers."""
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+class Asked:
+    """A block reduced to what scoring needs: its different n-grams with room for their classes,
+    and what exact counts of frequent words tell."""
+
+    def __init__(self, model: Model, rows: pa.Array, block: Block) -> None:
+        self.rows = rows
+        self.sizes = np.diff(block.ends, prepend=0)
+        self.starts = block.ends - self.sizes
+        self.words = unigram_keys(block.hashes)
+        c = model.exact(self.words)[block.ids]
+        known = c >= 0
+        self.base = np.add.reduceat(np.where(known, np.log10(model.floor(np.maximum(c, 0))), 0.0), self.starts)
+        self.known = np.add.reduceat(known.astype(np.int64), self.starts)
+        self.rare = self.words[block.ids[~known]].view(np.int64)
+        self.rares = np.concatenate([[0], np.cumsum(~known)])[np.append(self.starts, block.ends[-1])]
+        pairs, back = np.unique(_pairs(block), return_inverse=True)
+        left, right = pairs >> 32, pairs & 0xFFFFFFFF
+        self.pairs = bigram_keys(block.hashes[left], block.hashes[right])
+        # a text begins as often as one ends
+        self.left, self.right = np.where(left == 0, 1, left).astype(np.int32), right.astype(np.int32)
+        self.back = back.astype(np.int32)
+        self.classes = {UNIGRAM: np.zeros(len(self.words), np.uint8), BIGRAM: np.zeros(len(self.pairs), np.uint8)}
+
+    def probe(self, model: Model, first: int, bits: np.ndarray) -> None:
+        """Fill in the classes of n-grams whose segments are the rows of ``bits``, from ``first`` on."""
+        for kind, keys in ((UNIGRAM, self.words), (BIGRAM, self.pairs)):
+            row = _segment(keys, model.segments) - first
+            mine = np.flatnonzero((row >= 0) & (row < len(bits)))
+            for at in (mine[i:i + PROBED] for i in range(0, len(mine), PROBED)):
+                self.classes[kind][at] = model.classes(keys[at], kind, bits, row[at])
+
+    def scored(self, model: Model, key: str) -> pa.RecordBatch:
+        logs = model.log10(self.classes[UNIGRAM], self.classes[BIGRAM], self.left, self.right)
+        return pa.RecordBatch.from_arrays([
+            self.rows, pa.array(self.sizes), pa.array(np.add.reduceat(logs[self.back], self.starts)),
+            pa.array(self.base), pa.array(self.known),
+            pa.ListArray.from_arrays(pa.array(self.rares.astype(np.int32)), pa.array(self.rare)),
+        ], names=[key, "n_tokens", "score", "base", "known", "rare"])
 
 
-REQUEST = "_block bigint, segment int, words binary, pairs binary"
-# of a block: its rows, then the numbers of each pair's words and of each token's pair
-BLOCKS = REQUEST + (", keys array<{kind}>, sizes binary, base binary, known binary, rare binary, rares binary"
-                    ", left binary, right binary, back binary")
+def broadcast_pieces(model: Model, segments: DataFrame) -> list[tuple[int, Broadcast]]:
+    """The stored filter as broadcasts of at most ``PIECE_BITS`` each, with their first segments.
+    The driver holds one piece at a time."""
+    size, out = max(1, PIECE_BITS // model.segment_bits), []
+    for first in range(0, model.segments, size):
+        bits = np.zeros((min(size, model.segments - first), model.segment_bits // 8), np.uint8)
+        for r in segments.filter(F.col("segment").between(first, first + len(bits) - 1)).collect():
+            bits[r["segment"] - first] = np.frombuffer(r["bits"], np.uint8)
+        out.append((first, segments.sparkSession.sparkContext.broadcast(bits)))
+    return out
+
+
+def answered(model: Model, pieces: list[tuple[int, Broadcast]], asked: list[Asked], key: str) -> Iterator[pa.RecordBatch]:
+    """Scores of blocks that ask the pieces one after the other, so that a process holds one
+    piece; with a single one it is kept from block to block."""
+    for first, piece in pieces if asked else ():
+        bits = piece.value
+        for block in asked:
+            block.probe(model, first, bits)
+        del bits
+        if len(pieces) > 1:
+            vars(piece).pop("_value", None)     # it is read from the worker's disk again when needed
+    for block in asked:
+        yield block.scored(model, key)
 
 
 def score_texts(
@@ -331,105 +384,30 @@ def score_texts(
     counts: those of frequent words travel with the model, those of the others are joined by
     hash from the table of all counts (64 bits of XXH64 stand for a word). NULL text is the
     end alone. Without training rows all counts are 0 and N = V = 0. Repeated rows are scored
-    each. Word counts, the filter, texts reduced to numbers of words and pairs, and those
-    reduced to scores and rare words are stored in the shared folder.
+    each. Counts, the filter, and texts reduced to scores and rare words are stored in the
+    shared folder; texts are never shuffled.
     """
     spark = docs.sparkSession
     learnt = docs if training is None else docs.filter(training)
     counts = materialize(ngram_counts(learnt, text), "ngrams")
     model, segments = plan(counts, **options)
-    held = spark.sparkContext.broadcast(model)
+    held, pieces = spark.sparkContext.broadcast(model), broadcast_pieces(model, materialize(segments, "filter"))
     kind = docs.schema[key].dataType.simpleString()
-    block_schema = BLOCKS.format(kind=kind)
-    names = [c.split()[0] for c in block_schema.split(", ")]
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each block one row for each segment it asks, and one, of segment -1, with the rest."""
-        own, number = held.value, TaskContext.get().partitionId() << 32
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, together = held.value, 1 if len(pieces) == 1 else SWEPT // SCORED
+        waiting: list[Asked] = []
         for batch in batches:
             for block in blocks(batch.column(1), SCORED):
-                words = unigram_keys(block.hashes)
-                c = own.exact(words)[block.ids]
-                known = c >= 0
-                base = np.where(known, np.log10(own.floor(np.maximum(c, 0))), 0.0)
-                starts = np.concatenate([[0], block.ends[:-1]])
-                rare = words[block.ids][~known]
-                upto = np.concatenate([[0], np.cumsum(~known)])[np.append(starts, block.ends[-1])]
-                pairs, back = np.unique(_pairs(block), return_inverse=True)
-                left, right = pairs >> 32, pairs & 0xFFFFFFFF
-                pairs = bigram_keys(block.hashes[left], block.hashes[right])
-                # both kinds are numbered in the order of their keys, so in that of the answers
-                by_word, by_pair = np.argsort(words), np.argsort(pairs)
-                word, pair = np.empty_like(by_word), np.empty_like(by_pair)
-                word[by_word], pair[by_pair] = np.arange(len(words)), np.arange(len(pairs))
-                left = np.where(left == 0, 1, left)     # a text begins as often as one ends
-                words, pairs = words[by_word], pairs[by_pair]
-                ask = np.arange(own.segments + 1)
-                w = np.searchsorted(_segment(words, own.segments), ask)
-                p = np.searchsorted(_segment(pairs, own.segments), ask)
-                asked = np.flatnonzero((w[1:] > w[:-1]) | (p[1:] > p[:-1]))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(asked), number, np.int64)), pa.array(asked.astype(np.int32)),
-                    _binary(*(words[w[i]:w[i + 1]] for i in asked)), _binary(*(pairs[p[i]:p[i + 1]] for i in asked)),
-                    pa.nulls(len(asked), pa.list_(batch.column(0).type)),
-                    *[pa.nulls(len(asked), pa.binary())] * 8,
-                ], names=names)
-                rows = batch.column(0)[block.first:block.first + len(block.ends)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([number], pa.int64()), pa.array([-1], pa.int32()),
-                    *[pa.nulls(1, pa.binary())] * 2,
-                    pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-                    _binary((block.ends - starts).astype(np.int64)), _binary(np.add.reduceat(base, starts)),
-                    _binary(np.add.reduceat(known.astype(np.int64), starts)),
-                    _binary(rare), _binary(upto.astype(np.int64)),
-                    _binary(word[left[by_pair]].astype(np.int32)), _binary(word[right[by_pair]].astype(np.int32)),
-                    _binary(pair[back].astype(np.int32)),
-                ], names=names)
-                number += 1
-
-    def probe(asked: pa.Table, segment: pa.Table) -> pa.Table:
-        own, told = held.value, []
-        bits = _numbers(segment.column("bits"), np.uint8) if segment.num_rows else np.zeros(own.segment_bits // 8, np.uint8)
-        bits = bits.reshape(1, -1)
-        for name, which in (("words", UNIGRAM), ("pairs", BIGRAM)):
-            column = asked.column(name).to_pylist()
-            keys = np.frombuffer(b"".join(column), np.uint64)
-            q = b"".join(
-                own.classes(part, which, bits, np.zeros(len(part), np.int64)).tobytes()
-                for part in (keys[i:i + PROBED] for i in range(0, len(keys), PROBED)))
-            ends = np.cumsum([0, *(len(k) // 8 for k in column)]).tolist()
-            told.append(pa.array([q[a:b] for a, b in zip(ends, ends[1:])], pa.binary()))
-        return pa.table([asked.column("_block"), asked.column("segment"), *told],
-                        names=["_block", "segment", "words", "pairs"])
-
-    def finish(told: pa.Table, block: pa.Table) -> pa.Table:
-        own = held.value
-        told = told.sort_by("segment")
-        logs = own.log10(_numbers(told.column("words"), np.uint8), _numbers(told.column("pairs"), np.uint8),
-                         _numbers(block.column("left"), np.int32), _numbers(block.column("right"), np.int32))
-        sizes = _numbers(block.column("sizes"), np.int64)
-        starts = np.cumsum(sizes) - sizes
-        return pa.table([
-            block.column("keys").combine_chunks().flatten(),
-            pa.array(sizes),
-            pa.array(np.add.reduceat(logs[_numbers(block.column("back"), np.int32)], starts)),
-            pa.array(_numbers(block.column("base"), np.float64)),
-            pa.array(_numbers(block.column("known"), np.int64)),
-            pa.LargeListArray.from_arrays(
-                pa.array(_numbers(block.column("rares"), np.int64)),
-                pa.array(_numbers(block.column("rare"), np.int64))).cast(pa.list_(pa.int64())),
-        ], names=[key, "n_tokens", "score", "base", "known", "rare"])
-
-    parts = materialize(docs.select(f"`{key}`", f"`{text}`").mapInArrow(split, block_schema), "blocks")
-    told = (
-        parts.filter("segment >= 0").select("_block", "segment", "words", "pairs").groupBy("segment")
-        .cogroup(materialize(segments, "filter").groupBy("segment")).applyInArrow(probe, REQUEST)
-    )
-    scored = (
-        told.groupBy("_block")
-        .cogroup(parts.filter("segment < 0").drop("segment", "words", "pairs").groupBy("_block"))
-        .applyInArrow(finish, f"`{key}` {kind}, n_tokens bigint, score double, base double, known bigint, rare array<bigint>")
-    )
+                waiting.append(Asked(own, batch.column(0)[block.first:block.first + len(block.ends)], block))
+                if len(waiting) == together:
+                    yield from answered(own, pieces, waiting, key)
+                    waiting = []
+        yield from answered(own, pieces, waiting, key)
+
+    slim = docs.select(f"`{key}`", f"`{text}`")
+    scored = slim.mapInArrow(
+        run, f"`{key}` {kind}, n_tokens bigint, score double, base double, known bigint, rare array<bigint>")
     scored = materialize(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
     norm = model.tokens + 0.5 * (model.different + 1)
     words = counts.filter(f"kind = {UNIGRAM}").select("h", "n")
