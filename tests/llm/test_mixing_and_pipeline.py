@@ -118,6 +118,9 @@ def test_rows_that_share_a_key_have_their_own_copies(make_docs):
 def test_stages_hand_over_what_they_keep(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("extra", F.lit(1))
+    for name in ("_stats", "_times", "_key", "_copies", "_score", "score", "_mark", "_at", "_copy", "_row", "_words",
+                 "_g", "_failed", "_own", "_par", "_kept", "kept", "_bucket", "_metadata", "_text", "g", "fp"):
+        docs = docs.withColumn(name, F.lit(-5))
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "quality_rules", "simhash_near_dedup", "source_mixing", "best_fit_packing"]
@@ -127,7 +130,7 @@ def test_stages_hand_over_what_they_keep(spark, tmp_path):
         stage(spark, docs, sf).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
         if name != "best_fit_packing":
-            assert docs.columns == before.columns
+            assert docs.columns == before.columns and docs.filter("_score != -5 OR kept != -5 OR _stats != -5").isEmpty()
             assert docs.select("doc_id").subtract(before.select("doc_id")).isEmpty()
         seen.append([r.doc_id for r in docs.select("doc_id").collect()])
     good, ruled, single, mixture, packed = seen

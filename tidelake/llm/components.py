@@ -16,7 +16,8 @@ def components(edges: DataFrame, label: str = "edges") -> DataFrame:
     neighbour to its larger neighbours, then to its smaller ones and itself. The number of
     rounds grows with the logarithm of the component size. Edges are stored in the shared
     folder after each round, never collected; smallest neighbours are combined before the
-    shuffle, so a node with very many neighbours is no task of its own.
+    shuffle, and the joins that bring them back to the edges split a node with very many
+    neighbours at run time (adaptive execution), as each is a plain join of two tables.
     """
     flat = materialize(
         edges.filter("a != b")

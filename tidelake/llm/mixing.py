@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.operators.ranks import running_total
-from tidelake.operators.skew import join_marked, row_mark
+from tidelake.llm.names import join_marked, own_names, row_mark
 from tidelake.session import materialize
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -156,13 +156,14 @@ def mix(
     )
 
 
+@own_names
 def mixed(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken, those never taken left
     out. Documents without words are never taken.
 
     A row is known by its key and its mark (:func:`row_mark`), so rows that share a key, or
     have none, have copies of their own; wholly equal rows have theirs in one. The rows taken
-    are joined by hash at every size, which shuffles the texts once.
+    are joined by the same plan at every size, which shuffles the texts once.
     """
     taken = mix(docs, key=key, mark=row_mark(docs), **options).groupBy(
         F.col(key).alias("_key"), "_mark"

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelake.llm.names import own_names
 from tidelake.operators.skew import broadcast_checked, lookup_join
 from tidelake.session import materialize
 
@@ -222,6 +223,7 @@ def judged(stats: DataFrame, lang: str = "lang", source: str = "source") -> Data
     ).withColumn("_kept", ~F.col("_base_failed") & (F.col("_distance") <= CUTOFF))
 
 
+@own_names
 def quality_rules(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source"
 ) -> DataFrame:
@@ -234,6 +236,7 @@ def quality_rules(
         F.col("_distance").alias("distance"), F.col("_kept").alias("kept"))
 
 
+@own_names
 def passing(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``docs`` that the rules keep. Documents are stored once together with their
     statistics, which spares both a second pass over texts and a join by key."""

@@ -142,7 +142,8 @@ def pack(pieces: DataFrame, capacity: int = 2048, key: str = "doc_id") -> DataFr
     held = spark.sparkContext.broadcast(runs)
 
     part = pieces.withColumn(
-        "_bucket", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(buckets)).cast("int")
+        # by place in the stored table: equal pieces are spread like all others
+        "_bucket", F.pmod(F.xxhash64("_metadata.file_path", "_metadata.row_index"), F.lit(buckets)).cast("int")
     )
     sizes = part.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.arrow import slices, text_buffers
 from tidelake.llm.components import components
-from tidelake.operators.skew import join_marked, row_mark
+from tidelake.llm.names import join_marked, own_names, row_mark
 from tidelake.session import materialize
 
 FIELDS = 32     # segments of two bits, whose bit counts fit into the same two bits
@@ -134,6 +134,7 @@ def near_duplicates(
     )
 
 
+@own_names
 def without_near_duplicates(
     docs: DataFrame, size: int = 3, seed: int = 42, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -141,8 +142,8 @@ def without_near_duplicates(
     rows of that key the one of the smallest mark.
 
     A row is known by its key and its mark (:func:`row_mark`), so rows that share a key, or
-    have none, are told apart; wholly equal rows are one. The kept rows are joined by hash at
-    every size, which shuffles the texts once.
+    have none, are told apart; wholly equal rows are one. The kept rows are joined by the
+    same plan at every size, which shuffles the texts once.
     """
     marked = materialize(fingerprints(docs, size, seed, key, text, row_mark(docs)), "fingerprints")
     rows = marked.groupBy(F.col(key).alias("key"), "mark", "fp").agg(F.count(F.lit(1)).alias("times"))
