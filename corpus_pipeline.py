@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.catalog import QUERIES, VOCABULARY, table
 from tidelake.llm.mixing import mixed
+from tidelake.llm.names import fresh
 from tidelake.llm.outliers import passing
 from tidelake.llm.packing import pack_documents
 from tidelake.llm.quality import score, train
@@ -29,8 +30,8 @@ CAPACITY = 2048             # tokens of a sequence
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of at least ``QUALITY``, learnt from the labelled ones among them."""
-    forest = train(docs, table(spark, sf_dir, "labels"))
-    return score(docs, forest, name="_score").filter(F.col("_score") >= QUALITY).select(docs.columns)
+    forest, name = train(docs, table(spark, sf_dir, "labels")), fresh("score", docs.columns)
+    return score(docs, forest, name=name).filter(F.col(name) >= QUALITY).drop(name)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
