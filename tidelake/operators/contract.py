@@ -354,8 +354,14 @@ def _typed(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
 
-def kline_facts(raw: DataFrame, interval: str = "1m") -> DataFrame:
-    """CSV or normalised kline records, already carrying symbol_id, as fact rows."""
+# What tells versions of a candle apart, where records carry it.
+VERSION_FIELDS = ("is_closed", "event_time")
+
+
+def kline_facts(raw: DataFrame, interval: str = "1m", versions: bool = False) -> DataFrame:
+    """CSV or normalised kline records, already carrying symbol_id, as fact rows; with
+    ``versions`` also those of :data:`VERSION_FIELDS` that there are."""
+    further = [c for c in VERSION_FIELDS if versions and c in raw.columns]
     quote = "quote_asset_volume" if "quote_asset_volume" in raw.columns else "quote_volume"
     facts = raw.select(
         "symbol_id",
@@ -370,17 +376,20 @@ def kline_facts(raw: DataFrame, interval: str = "1m") -> DataFrame:
         amount(quote).alias("volume_quote"),
         F.col("num_trades").try_cast("long").alias("num_trades"),
         amount("taker_buy_quote_vol").alias("taker_buy_quote_volume"),
+        *further,
     )
-    return require(_typed(facts, FACT_KLINES), "open_time")
+    typed = [F.col(f.name).cast(f.dataType) for f in FACT_KLINES]
+    return require(facts.select(*typed, *further), "open_time")
 
 
 def ticker_facts(
-    raw: DataFrame, ingested_at: Column | None = None, hour_of: str = "openTime"
+    raw: DataFrame, ingested_at: Column | None = None, hour_of: str = "openTime", at: Column | None = None
 ) -> DataFrame:
-    """Ticker records as hourly snapshots; the hour is that of the window's start."""
+    """Ticker records as hourly snapshots; the hour is that of the window's start, or of the
+    time ``at``, such as that of the record's folder."""
     facts = raw.select(
         "symbol_id",
-        F.date_trunc("hour", from_millis(hour_of)).alias("snapshot_time"),
+        F.date_trunc("hour", from_millis(hour_of) if at is None else at).alias("snapshot_time"),
         amount("priceChange").alias("price_change"),
         as_decimal("priceChangePercent", PERCENT).alias("price_change_percent"),
         amount("lastPrice").alias("last_price"),

@@ -11,7 +11,11 @@ from tidelake import schemas
 from tidelake.operators import candles as C
 from tidelake.operators import contract
 from tidelake.plans import inputs as I
-from tidelake.plans.catalog import TICKS, all_candles_sql, candle_columns, candles_sql, query
+from tidelake.plans.batch import Warehouse
+from tidelake.plans.batch_queries import _stamp
+from tidelake.plans.catalog import CODES, TICKS, TRADES, all_candles_sql, candle_columns, candles_sql, query
+from tidelake.plans.lake import Lake, run_from_lake
+from tidelake.plans.ranking_queries import MART_DIGITS, _SCORED, mart_sql
 from tidelake.plans.io_queries import _LANDED_TOTALS, landed_totals, trade_rows
 from tidelake.session import materialize, new_path
 from tidelake.sinks import tables
@@ -299,3 +303,74 @@ def t5(spark, d):
     late = SC.dropped_late_rows(queries[0])
     return table.read(spark).agg(
         F.lit(late).cast("long").alias("late"), F.count(F.lit(1)).alias("windows"), F.sum("volume_quote").alias("volume"))
+
+
+# ----------------------------------------------------------------------- D10 from the lake
+
+_LAKE_HALF = "2024-01-16"
+_BY_TYPE = "dense_rank() OVER (ORDER BY event_type) AS symbol_id"
+_LAKE_SQL = (
+    mart_sql(_SCORED).replace("symbol_id, symbol_code,", "symbol_code,", 1)
+    .replace(TICKS, TICKS.replace("user_id AS symbol_id", _BY_TYPE))
+    .replace(CODES, f"codes AS (SELECT DISTINCT {_BY_TYPE}, upper(event_type) || 'USDT' AS symbol_code FROM events)")
+    .replace(TRADES, f"trades AS (SELECT {_BY_TYPE}, CAST(value AS DECIMAL(18,2)) AS q, event_id % 2 = 0 AS maker FROM events)")
+)
+
+
+def land_in_two_parts(spark, d) -> tuple[Lake, callable]:
+    """A lake of all three datasets with the event type as symbol, and a function that lands
+    one of two parts. The first has what comes before the middle of the month; the second has
+    the rest, and older and unfinished versions of the candles of the first one."""
+    session = stream_session(spark)
+    root, inbox, marks = new_path(spark, "lake"), new_path(spark, "inbox"), new_path(spark, "checkpoint")
+    code = F.concat(F.upper("event_type"), F.lit("USDT"))
+    events = I.table(spark, d, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    ticks = I.ticks(spark, d).join(events.select("event_id", code.alias("code")), "event_id").withColumn("symbol_id", F.col("code"))
+    minutes = materialize(C.from_ticks(ticks, tie_break="event_id").withColumnRenamed("symbol_id", "symbol"), "by-type")
+
+    def message(df, at, **fields):
+        body = F.to_json(F.struct(*[F.expr(e).alias(n) for n, e in fields.items()]))
+        return df.select(body.alias("value"), F.col(at).alias("timestamp"))
+
+    def klines(df, closed: bool):
+        return message(
+            df, "close_time", symbol="symbol", event_time="unix_millis(close_time)", open_time="unix_millis(open_time)",
+            close_time="unix_millis(close_time)", interval="'1m'", open="string(open_price)", high="string(high_price)",
+            low="string(low_price)", close="string(close_price)", volume="string(volume_base)",
+            quote_volume="string(volume_quote)", num_trades="num_trades", taker_buy_base_volume="string(volume_base)",
+            taker_buy_quote_volume="string(taker_buy_quote_volume)", is_closed=str(closed))
+
+    unfinished = minutes.withColumns({
+        "num_trades": F.col("num_trades") - 1, "close_price": F.col("close_price") + 1, "volume_quote": F.col("volume_quote") / 2})
+    tickers = minutes.groupBy("symbol", F.date_trunc("day", "open_time").alias("at")).agg(
+        F.max("high_price").alias("high"), F.sum("num_trades").alias("n"))
+    ticker = message(tickers, "at", symbol="symbol", event_time="unix_millis(at)", high_price="string(high)", num_trades="n")
+    trades = message(
+        # delivered once a day, so in one folder a day, with the times at which they were made
+        events.withColumn("symbol", code), "at", symbol="symbol", event_time="unix_millis(date_trunc('day', at))", time="unix_millis(at)",
+        trade_id="event_id", price="string(value)", qty="'1'", quote_qty="string(value)", is_buyer_maker="event_id % 2 = 0")
+
+    def land(part: int) -> None:
+        early = F.col("timestamp") < F.lit(_LAKE_HALF).cast("timestamp")
+        here = early if part == 0 else ~early
+        rows = {"klines": klines(minutes, True).filter(here), "ticker": ticker.filter(here), "trades": trades.filter(here)}
+        if part:
+            rows["klines"] = rows["klines"].unionByName(klines(unfinished, False))
+        for name, df in rows.items():
+            df.write.mode("append").parquet(f"{inbox}/{name}")
+        SC.await_all(landing.start_landing(
+            {n: read_folder(session, f"{inbox}/{n}", I.MESSAGE_SCHEMA) for n in rows},
+            root, marks, "SILVER_ONLY", trigger=None))
+
+    return Lake(root), land
+
+
+@query("d10_from_silver", _LAKE_SQL, **MART_DIGITS)
+def d10_from_silver(spark, d):
+    lake, land = land_in_two_parts(spark, d)
+    warehouse = Warehouse(new_path(spark, "warehouse"))
+    for part in (0, 1):
+        land(part)
+        run_from_lake(spark, lake, warehouse, now=_stamp() - F.expr(f"INTERVAL {1 - part} DAY"))
+    assert run_from_lake(spark, lake, warehouse) is None
+    return warehouse.top(spark).filter(F.col("computed_at") == _stamp()).drop("symbol_id")
