@@ -18,7 +18,8 @@ from tidelake.plans.lake import Lake, run_from_lake
 from tidelake.plans.ranking_queries import MART_DIGITS, _SCORED, mart_sql
 from tidelake.plans.io_queries import _LANDED_TOTALS, landed_totals, trade_rows
 from tidelake.session import materialize, new_path
-from tidelake.sinks import tables
+from tidelake.operators.merge import STREAM_RULES
+from tidelake.sinks import tables, upserts
 from tidelake.sources import files
 from tidelake.sources.topics import read_folder
 from tidelake.streaming import candles as SC
@@ -229,6 +230,36 @@ def k10(spark, d):
     return table.read(spark)
 
 
+@query(
+    "k10_delta_upsert",
+    f"WITH {TICKS}, {candles_sql('1m')} {candle_columns('1m')}",
+)
+def k10_delta(spark, d):
+    # all versions of a minute, older ones also after newer ones; every batch delivered twice
+    session = stream_session(spark)
+    table = upserts.kline_log(new_path(spark, "upsert-log"))
+    source = contract.parse_candles(read_folder(
+        session, I.versioned_messages(spark, d), I.MESSAGE_SCHEMA, files_per_trigger=1))
+    write = upserts.log_batches(table, "candles", compact_every=2)
+    query = (
+        source.withColumn("interval_code", F.lit("1m")).writeStream.outputMode("append")
+        .option("checkpointLocation", new_path(spark, "checkpoint"))
+        .foreachBatch(lambda batch, n: (write(batch, n), write(batch, n))[0])
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return table.read(spark)
+
+
+@query("t3_delta_two_intervals", all_candles_sql(["4h", "1d"]))
+def t3_delta(spark, d):
+    session = stream_session(spark)
+    table = upserts.kline_log(new_path(spark, "upsert-log"), STREAM_RULES)
+    SC.await_all(SC.start_resample(
+        _candles(session, spark, d), table, new_path(spark, "checkpoint"), ["4h", "1d"], trigger=None, compact_every=1))
+    return table.read(spark)
+
+
 _NOW = dt.datetime(2024, 1, 25)
 
 
@@ -357,7 +388,8 @@ def land_in_two_parts(spark, d) -> tuple[Lake, callable]:
         if part:
             rows["klines"] = rows["klines"].unionByName(klines(unfinished, False))
         for name, df in rows.items():
-            df.write.mode("append").parquet(f"{inbox}/{name}")
+            # as a topic keyed by symbol has them
+            df.repartition(5, F.get_json_object("value", "$.symbol")).write.mode("append").parquet(f"{inbox}/{name}")
         SC.await_all(landing.start_landing(
             {n: read_folder(session, f"{inbox}/{n}", I.MESSAGE_SCHEMA) for n in rows},
             root, marks, "SILVER_ONLY", trigger=None))

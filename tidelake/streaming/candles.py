@@ -10,6 +10,7 @@ from tidelake.operators.candles import INTERVALS, TARGETS, ohlcv
 from tidelake.operators.merge import STREAM_RULES, latest_wins
 from tidelake.schemas import FACT_KLINES
 from tidelake.sinks.tables import KeyedTable
+from tidelake.sinks.upserts import COMPACT_EVERY, UpsertLog, log_batches
 
 # fixed values: accepted lateness and trigger period
 LATENESS = "2 minutes"
@@ -58,26 +59,32 @@ def _started(writer, trigger: str | None) -> StreamingQuery:
 
 def start_resample(
     candles_1m: DataFrame,
-    table: KeyedTable,
+    table: KeyedTable | UpsertLog,
     checkpoints: str,
     targets=TARGETS,
     trigger: str | None = TRIGGER,
     lateness: str = LATENESS,
     rules: dict[str, str] | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> list[StreamingQuery]:
     """Start one query per interval; ``trigger=None`` drains what is there and stops.
 
-    The queries touch different ``interval_code`` partitions, so their merges into one
-    table do not meet.
+    Into a :class:`UpsertLog` a trigger writes its own rows only, and the log's rules resolve
+    them; into a :class:`KeyedTable` it rewrites the partitions it touches. The queries touch
+    different ``interval_code`` partitions, so their merges into one table do not meet.
     """
     queries = []
     for code in targets:
+        if isinstance(table, UpsertLog):
+            write = log_batches(table, f"resample_{code}", compact_every)
+        else:
+            write = upsert_batches(table, rules)
         writer = (
             windowed(candles_1m, code, lateness)
             .writeStream.queryName(f"resample_{code}")
             .outputMode("update")
             .option("checkpointLocation", f"{checkpoints}/{code}")
-            .foreachBatch(upsert_batches(table, rules))
+            .foreachBatch(write)
         )
         queries.append(_started(writer, trigger))
     return queries
