@@ -192,3 +192,104 @@ def test_a_failing_query_ends_the_wait(spark, tmp_path):
     finally:
         query.stop()
         spark.streams.resetTerminated()
+
+
+# ----------------------------------------------------------------- key check of the ring
+
+def scanned(df):
+    """Rows that the file scan of ``df`` has let through."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().apply(0).metrics().get("numOutputRows").get().value()
+
+
+def test_key_check_skips_row_groups(spark, tmp_path):
+    """Of three files of a day only those whose statistics and Bloom filters admit a key are read."""
+    table = tables.recent_trades(str(tmp_path / "ring"))
+    schema = schemas.FACT_RECENT_TRADES
+    for first in (0, 10_000, 20_000):       # even numbers, in three ranges
+        rows = spark.range(first, first + 5_000, 2, 1).select(
+            F.lit(1).cast("long").alias("symbol_id"), F.col("id").alias("trade_id"), F.lit("2024-01-09 10:00:00").cast("timestamp").alias("trade_time"),
+            *[F.lit(1).cast(schema[c].dataType).alias(c) for c in ("price", "qty_base", "quote_qty")],
+            F.lit(True).alias("is_buyer_maker"), F.lit(True).alias("is_best_match"), F.lit("2024-02-01").cast("timestamp").alias("ingested_at"))
+        table.insert_new(rows)
+    assert table.read(spark).count() == 7_500
+    known = table.partitions_of(spark, [(dt.date(2024, 1, 9),)])
+
+    def batch(*ids):
+        return spark.createDataFrame([trade(i, "2024-01-09T10:00:00") for i in ids], schema)
+
+    def let_through(*ids):
+        with tables._wide_in_lists(spark):
+            return scanned(table.possible(batch(*ids), known).select("trade_id"))
+
+    assert scanned(known.select("trade_id")) == 7_500
+    assert let_through(10_004, 10_010) == 2_500             # by the statistics: one file
+    assert let_through(*range(2_001, 2_100, 2)) == 0        # by the Bloom filter: numbers between those stored
+    # and the answer is right
+    table.insert_new(batch(2_002, 2_003, 30_001))
+    assert table.read(spark).count() == 7_502
+
+
+def test_days_beyond_retention_are_removed(spark, tmp_path):
+    table = tables.recent_trades(str(tmp_path / "ring"))
+    assert ring.expire(table, spark, dt.date(2024, 1, 9)) == []
+    rows = [trade(i, f"2024-01-0{i}T10:00:00") for i in range(1, 10)]
+    table.insert_new(spark.createDataFrame(rows, schemas.FACT_RECENT_TRADES))
+    assert ring.expire(table, spark, dt.date(2024, 1, 9), 3) == [f"2024-01-0{i}" for i in range(1, 6)]
+    assert sorted(p.name for p in (tmp_path / "ring").glob("trade_date=*")) == [f"trade_date=2024-01-0{i}" for i in range(6, 10)]
+    assert values(table.read(spark), "trade_id") == [(6,), (7,), (8,), (9,)]
+
+
+# ------------------------------------------------------------------ all layers at once
+
+def message_rows(spark, *bodies):
+    return spark.createDataFrame([(b, T("2024-01-01T10:00:00")) for b in bodies], "value string, timestamp timestamp")
+
+
+GOOD = '{"symbol":"BTCUSDT","event_time":1704103200000,"trade_id":%d,"price":"1","qty":"2"}'
+
+
+def layers(spark, root):
+    found = {name: landing.landed(spark, root, name, "trades") for name in ("bronze", "silver", "reject")}
+    return {name: 0 if df is None else df.count() for name, df in found.items()}
+
+
+@pytest.mark.parametrize("dies_in", ["silver", "reject", "mark"])
+def test_no_half_batch_is_seen(spark, tmp_path, monkeypatch, dies_in):
+    root = str(tmp_path / "lake")
+    assert layers(spark, root) == {"bronze": 0, "silver": 0, "reject": 0}
+    landing.land_batch(message_rows(spark, GOOD % 1, "no json"), 0, "trades", root)
+    second = message_rows(spark, GOOD % 2, GOOD % 3, "{", "[]")
+
+    def dies(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        if dies_in == "mark":
+            m.setattr(landing, "_set_mark", dies)
+        else:
+            real = landing._landed_folder
+            m.setattr(landing, "_landed_folder", lambda r, layer, d, n: dies() if layer == dies_in else real(r, layer, d, n))
+        with pytest.raises(OSError):
+            landing.land_batch(second, 1, "trades", root)
+    assert layers(spark, root) == {"bronze": 1, "silver": 1, "reject": 1}
+    assert landing.land_batch(second, 1, "trades", root)
+    assert layers(spark, root) == {"bronze": 3, "silver": 3, "reject": 3}
+    assert not landing.land_batch(second, 1, "trades", root)
+    assert layers(spark, root) == {"bronze": 3, "silver": 3, "reject": 3}
+    assert values(landing.landed(spark, root, "silver", "trades"), "trade_id", "batch", "date", "hour") == [
+        (1, 0, "2024-01-01", "10"), (2, 1, "2024-01-01", "10"), (3, 1, "2024-01-01", "10")]
+
+
+def test_the_topic_is_read_once(spark, tmp_path):
+    path = folder(spark, tmp_path, message_rows(spark, GOOD % 1, "no json"), message_rows(spark, GOOD % 2))
+    source = read_folder(spark, path, "value string, timestamp timestamp", files_per_trigger=1)
+    for _ in range(2):      # a restart adds nothing
+        queries = landing.start_landing_once({"trades": source}, str(tmp_path / "lake"), str(tmp_path / "cp"), trigger=None)
+        for q in queries:
+            q.awaitTermination()
+        assert len(queries) == 1
+        assert layers(spark, str(tmp_path / "lake")) == {"bronze": 2, "silver": 2, "reject": 1}
+    read = [p["sources"][0]["numInputRows"] for p in queries[0].recentProgress]
+    assert sum(read) == 0

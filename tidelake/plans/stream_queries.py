@@ -19,7 +19,7 @@ from tidelake.plans.ranking_queries import MART_DIGITS, _SCORED, mart_sql
 from tidelake.plans.io_queries import _LANDED_TOTALS, landed_totals, trade_rows
 from tidelake.session import materialize, new_path
 from tidelake.operators.merge import STREAM_RULES
-from tidelake.sinks import tables, upserts
+from tidelake.sinks import tables, upserts, versions
 from tidelake.sources import files
 from tidelake.sources.topics import read_folder
 from tidelake.streaming import candles as SC
@@ -292,6 +292,98 @@ def t8(spark, d):
     return kept.select("symbol_id", "trade_id", "trade_time", "price")
 
 
+@query(
+    "t8_pruned",
+    "SELECT user_id AS symbol_id, event_id AS trade_id, ts AS trade_time, round(value, 2) AS price FROM events "
+    "WHERE ts >= TIMESTAMP '2024-01-18'",
+)
+def t8_pruned(spark, d):
+    # days beyond retention are removed after each batch, and what comes late for them is not taken
+    session = stream_session(spark)
+    path = new_path(spark, "trades")
+    rows = I.table(spark, d, "events").select(
+        F.col("user_id").alias("symbol_id"), F.col("event_id").alias("trade_id"), F.col("ts").cast("timestamp").alias("trade_time"),
+        F.col("value").cast(schemas.AMOUNT).alias("price"), F.lit(1).cast(schemas.AMOUNT).alias("qty_base"),
+        F.col("value").cast(schemas.AMOUNT).alias("quote_qty"), (F.col("event_type") == "view").alias("is_buyer_maker"),
+        F.lit(True).alias("is_best_match"), F.lit("2024-02-01").cast("timestamp").alias("ingested_at"))
+    for _ in range(2):      # every trade comes twice, in different triggers
+        rows.write.mode("append").parquet(path)
+    table, dates = tables.recent_trades(new_path(spark, "ring")), [_NOW.date() - dt.timedelta(days=5)]
+    source = read_folder(session, path, rows.schema, files_per_trigger=1)
+
+    def today():
+        # time goes on from batch to batch: the first ones take days in that later ones remove
+        dates.append(min(_NOW.date(), dates[-1] + dt.timedelta(days=1)))
+        return dates[-1]
+
+    ring.start_ring(source, table, new_path(spark, "checkpoint"), trigger=None, today=today).awaitTermination()
+    ring.expire(table, spark, _NOW.date())
+    return table.read(spark).select("symbol_id", "trade_id", "trade_time", "price")
+
+
+@query(
+    "k8_one_read",
+    """SELECT layer, symbol, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour, count(*) AS n, sum(event_id) AS ids
+FROM (SELECT ts, event_id, CASE WHEN value >= 100 THEN '' ELSE event_type END AS symbol, value >= 100 AS bad FROM events)
+JOIN (VALUES ('bronze', false), ('silver', false), ('reject', true)) AS l(layer, rejects) ON rejects = bad
+GROUP BY 1, 2, 3""",
+)
+def k8_one_read(spark, d):
+    # full hours; those of high value are cut off in the middle, behind their number
+    session, root, path = stream_session(spark), new_path(spark, "lake"), new_path(spark, "messages")
+    events = I.table(spark, d, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    body = F.to_json(F.struct(
+        F.col("event_id").alias("trade_id"), F.col("event_type").alias("symbol"), F.unix_millis("at").alias("event_time"),
+        F.col("value").cast("string").alias("price"), F.lit("1").alias("qty")))
+    value = F.when(F.col("value") >= 100, F.left(body, F.length(body) - 5)).otherwise(body)
+    (
+        events.repartition(3, "event_type").select(value.alias("value"), F.col("at").alias("timestamp"), F.col("event_type"))
+        .drop("event_type").write.parquet(path)
+    )
+    source = read_folder(session, path, I.MESSAGE_SCHEMA, files_per_trigger=1)
+    SC.await_all(landing.start_landing_once({"trades": source}, root, new_path(spark, "checkpoint"), trigger=None))
+    number = F.regexp_extract("value", '"trade_id":([0-9]+)', 1).cast("long")
+    when = F.timestamp_millis(F.regexp_extract("value", '"event_time":([0-9]+)', 1).cast("long"))
+    folder = F.to_timestamp(F.concat_ws(" ", "date", "hour"), "yyyy-MM-dd HH")
+    found = {name: landing.landed(spark, root, name, "trades") for name in ("bronze", "silver", "reject")}
+    parts = [
+        found["bronze"].select(F.lit("bronze").alias("layer"), "symbol", folder.alias("hour"), number.alias("id")),
+        found["silver"].select(F.lit("silver").alias("layer"), "symbol", folder.alias("hour"), F.col("trade_id").alias("id")),
+        found["reject"].select(F.lit("reject").alias("layer"), F.lit("").alias("symbol"), F.date_trunc("hour", when).alias("hour"), number.alias("id")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("layer", "symbol", "hour").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
+@query(
+    "d5_publish_gate",
+    f"""WITH {TICKS}, {candles_sql('1m')}
+SELECT true AS first_published, false AS second_published, count(*) AS n, CAST(sum(volume_quote) AS DOUBLE) AS volume,
+  count(*) FILTER (symbol_id % 7 = 0) AS no_price, count(*) FILTER (symbol_id % 5 = 0) AS repeated,
+  count(*) FILTER (symbol_id % 3 = 0) AS orphans FROM candles""",
+)
+def d5_gate(spark, d):
+    # the second batch has candles without a price, repeated ones, and some of unknown symbols
+    rows = materialize(I.candles_1m(spark, d), "rows")
+    known = I.dim(spark, d)
+    keys = schemas.KEYS["fact_klines"]
+    fact = tables.fact_klines(new_path(spark, "gated"))
+    table = versions.VersionedTable(fact.path, fact.schema, fact.partitions)
+    gate = {
+        "checks": {"no_price": versions.missing(*schemas.NOT_NULL["fact_klines"])},
+        "audits": {"repeated": versions.repeated_keys(*keys), "orphans": versions.unknown(known, "symbol_id")},
+    }
+    first = table.write(rows, **gate)
+    lost = rows.filter("symbol_id % 3 = 0").withColumn("symbol_id", -F.col("symbol_id") - 1)
+    no_price = F.when((F.col("symbol_id") % 7 != 0) | F.col("symbol_id").isNull(), F.col("open_price"))
+    bad = rows.withColumn("open_price", no_price).unionByName(rows.filter("symbol_id % 5 = 0")).unionByName(lost)
+    second = table.write(bad, **gate)
+    return table.read(spark).agg(
+        F.lit(first.published).alias("first_published"), F.lit(second.published).alias("second_published"),
+        F.count(F.lit(1)).alias("n"), F.sum("volume_quote").alias("volume"),
+        *[F.lit(second.found[n]).cast("long").alias(n) for n in ("no_price", "repeated", "orphans")])
+
+
 @query(
     "k9_rolled_files",
     """SELECT symbol, sum(n) AS n, CAST(sum(ceil(n / 3.0)) AS BIGINT) AS files FROM (

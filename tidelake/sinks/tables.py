@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from contextlib import nullcontext
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -46,6 +46,8 @@ class KeyedTable:
     keys: list[str]
     partitions: dict[str, Column]
     rules: dict[str, str] = field(default_factory=dict)
+    # of the files that insert_new writes, such as Bloom filters of key columns
+    options: dict[str, str] = field(default_factory=dict)
 
     def _stored(self) -> StructType:
         names = [n for n in self.partitions if n not in self.schema.fieldNames()]
@@ -98,19 +100,55 @@ class KeyedTable:
     def insert_new(self, source: DataFrame) -> None:
         """Append the rows whose key is not stored yet; stored rows never change.
 
-        Reads no more than the keys of the partitions the source falls in, and rewrites
-        nothing. The source's own keys must be unique.
+        Reads no more than the keys of the partitions the source falls in, and of these only
+        row groups that may hold a key of the source (:meth:`possible`); rewrites nothing.
+        The source's own keys must be unique.
         """
-        names = list(self.partitions)
+        names, spark = list(self.partitions), source.sparkSession
         incoming = source.select(*self.schema.fieldNames()).withColumns(self.partitions)
         with stored(incoming, "insert") as rows:
             touched = [tuple(r) for r in rows.select(*names).distinct().collect()]
             if not touched:
                 return
             keys = [*self.keys, *[n for n in names if n not in self.keys]]
-            known = self.partitions_of(source.sparkSession, touched).select(*keys)
-            fresh = rows.join(known, keys, "left_anti")
-            fresh.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(self.path)
+            known = self.possible(rows, self.partitions_of(spark, touched)).select(*keys)
+            fresh = rows.join(known, keys, "left_anti").hint("rebalance", *names)
+            with _wide_in_lists(spark):
+                fresh.write.mode("append").options(**self.options).partitionBy(*names).parquet(self.path)
+
+    def possible(self, rows: DataFrame, known: DataFrame) -> DataFrame:
+        """``known`` without most rows whose key ``rows`` lack, by conditions that reach the scan:
+        each integer key lies between the least and the greatest of ``rows``, which row-group
+        statistics answer, and is one of theirs if these are few, which Bloom filters answer."""
+        numbers = [k for k in self.keys if self.schema[k].dataType.typeName() in ("long", "integer")]
+        if not numbers:
+            return known
+        found = rows.agg(
+            *[F.min(k).alias(f"min_{k}") for k in numbers], *[F.max(k).alias(f"max_{k}") for k in numbers],
+            F.count(F.lit(1)).alias("n")).first()
+        few = found["n"] <= IN_LIST
+        lists = rows.agg(*[F.collect_set(k).alias(k) for k in numbers]).first() if few else {}
+        for k in numbers:
+            known = known.filter(F.col(k).between(found[f"min_{k}"], found[f"max_{k}"]))
+            if few:
+                known = known.filter(F.col(k).isin(lists[k]))
+        return known
+
+    def remove_partitions(self, spark: SparkSession, condition) -> list[str]:
+        """Delete the folders of the first partition column for whose value ``condition`` holds;
+        their values. No file is opened."""
+        files, at = _files(spark, self.path)
+        first, out = next(iter(self.partitions)), []
+        if not files.util().exists(at(self.path)):
+            return out
+        listing = files.listStatus(at(self.path))
+        while listing.hasNext():
+            folder = listing.next().getPath()
+            name, _, value = folder.getName().partition("=")
+            if name == first and condition(value):
+                files.delete(folder, True)
+                out.append(value)
+        return sorted(out)
 
     def partitions_of(self, spark: SparkSession, wanted: list[tuple]) -> DataFrame:
         """The rows of exactly these partitions; the rest is pruned by folder."""
@@ -119,6 +157,22 @@ class KeyedTable:
         return self.read(spark, keep_partitions=True).filter(label.isin(names))
 
 
+# So many keys of a batch are looked up one by one; it bounds what reaches the driver.
+IN_LIST = 1_000
+
+
+@contextmanager
+def _wide_in_lists(spark: SparkSession):
+    """Let lists of up to ``IN_LIST`` values reach the Parquet reader, whose default is 10."""
+    name = "spark.sql.parquet.pushdown.inFilterThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, IN_LIST)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # Intervals with so few candles a day that a folder holds a month of them.
 MONTHLY = ("4h", "1d")
 
@@ -154,6 +208,10 @@ def recent_trades(path: str) -> KeyedTable:
         path, schemas.FACT_RECENT_TRADES,
         [*schemas.KEYS["fact_recent_trades"], "trade_time"],
         {"trade_date": F.to_date("trade_time")},
+        options={
+            "parquet.bloom.filter.enabled#trade_id": "true",
+            "parquet.bloom.filter.expected.ndv#trade_id": "500000",
+        },
     )
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidelake.operators.filters import strangers
 from tidelake.sinks.tables import _files, read_snapshot, replace_snapshot
 from tidelake.sources.files import _or_none
 
@@ -134,3 +135,13 @@ def missing(*columns: str) -> Column:
     for c in columns:
         any_null = any_null | F.col(c).isNull()
     return F.count_if(any_null)
+
+
+def unknown(dim: DataFrame, key: str) -> Callable[[DataFrame], int]:
+    """An audit that counts rows whose ``key`` the dimension lacks."""
+    return lambda rows: strangers(rows, dim, key).count()
+
+
+def off_baseline(expected: int, tolerance: float = 0.0001) -> Callable[[DataFrame], int]:
+    """An audit that gives 1 if the number of rows is further than ``tolerance`` from ``expected``."""
+    return lambda rows: int(abs(rows.count() - expected) > tolerance * expected)
