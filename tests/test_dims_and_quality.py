@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from pathlib import Path
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from tests.conftest import T, values
 from tidelake import schemas
 from tidelake.operators import dims, filters, quality
 from tidelake.session import materialize
+from tidelake.sinks import versions
 from tidelake.sources import files
 
 
@@ -154,3 +156,61 @@ def test_many_paths_are_dealt_to_many_tasks(spark):
     paths = spark.range(2000).selectExpr("concat('p', id) AS path")
     dealt = paths.repartition(quality.repair_tasks(2000), "path").select(F.spark_partition_id().alias("t"))
     assert dealt.distinct().count() > 100
+
+
+def test_second_scan_opens_no_old_file(spark, lake, tmp_path):
+    first = materialize(quality.rescan_drift(spark, str(lake), TRADES), "scan")
+    before = values(first, "path", "status", "num_rows")
+    old = [p for p in lake.rglob("*.parquet")]
+    for p in old:       # unreadable from now on, but of the same form
+        stat = p.stat()
+        p.write_bytes(b"x" * stat.st_size)
+        os.utime(p, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    new = lake / "date=2024-02-01/symbol=NEWUSDT/hour=00"
+    spark.range(3).select(F.col("id").alias("trade_id"), F.lit("1").alias("price")).coalesce(1).write.parquet(str(new))
+    second = materialize(quality.rescan_drift(spark, str(lake), TRADES, first), "scan")
+    assert values(second.filter("symbol != 'NEWUSDT'"), "path", "status", "num_rows") == before
+    assert values(second.filter("symbol = 'NEWUSDT'"), "status", "num_rows") == [("OK", 3)]
+    # a changed file is read again, one that is gone is left out
+    old[0].write_bytes(b"short")
+    old[1].unlink()
+    third = quality.rescan_drift(spark, str(lake), TRADES, second)
+    assert third.count() == second.count() - 1
+    assert [r.status for r in third.filter(F.col("path").endswith(old[0].name)).collect()] == ["ERROR"]
+
+
+def test_repaired_partitions_appear_at_once(spark, tmp_path, monkeypatch):
+    """A reader never sees some of the rows: not before, not after, not where publishing dies."""
+    path, target = str(tmp_path / "plain"), str(tmp_path / "repaired")
+    slots = [F.lit("2024-01-01").alias("date"), F.lit("00").alias("hour")]
+
+    def put(symbol, ids, kind):
+        spark.createDataFrame([(i,) for i in ids], "trade_id long").select(
+            "trade_id", (F.col("trade_id") + 0.5).cast(kind).alias("price"), F.lit(symbol).alias("symbol"), *slots
+        ).coalesce(1).write.mode("append").partitionBy("date", "symbol", "hour").parquet(path)
+
+    put("A", [1, 2], "string")
+    put("A", [3], "double")     # a drifted file beside a sound one
+    put("B", [4], "double")
+    put("C", [5], "string")
+    schema = files.with_layout(schemas.RAW_TRADE)
+    table = versions.VersionedTable(path, schema, {n: F.col(n) for n in files.LAYOUT})
+    assert table.adopt(spark) == 3
+    scan = materialize(quality.rescan_drift(spark, path, schema), "scan")
+    done = materialize(quality.repair_drift(spark, scan, target, schema), "done")
+
+    def dies(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "replace_snapshot", dies)
+        with pytest.raises(OSError):
+            quality.publish_repaired(spark, table, scan, done, target)
+    assert table.read(spark).select("trade_id").count() == 5        # still the old files, whose prices drift
+    replaced = quality.publish_repaired(spark, table, scan, done, target)
+    assert sorted(f.split("/")[1] for f in replaced) == ["symbol=A", "symbol=B"]
+    assert values(table.read(spark), "trade_id", "price") == [(i, f"{i}.5") for i in range(1, 6)]
+    # the sound partition lies where it was; a second repair finds nothing
+    assert [r for r in table.listed(spark) if r[2] == "live" and r[1] == ""] == [("date=2024-01-01/symbol=C/hour=00", "", "live")]
+    table.write(table.read(spark, ["date=2024-01-01/symbol=C/hour=00"]))
+    assert not list((tmp_path / "plain").glob("date=*/symbol=A/hour=00/*.parquet"))     # replaced two writes ago

@@ -71,6 +71,21 @@ def test_ranged_plan_has_no_single_task_over_rows(spark):
     assert "SinglePartition" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_rows_are_not_grouped_again_and_stay_where_values_are_few(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b"))
+    plan = plan_of(ranks.percent_ranks(df, "id", {"a": "p", "b": "q"}, single_task_rows=0))
+    assert "Generate" not in plan and "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2
+
+
+@pytest.mark.parametrize("per_range", [1, 7, 1_000_000])
+def test_ranges_follow_the_number_of_values(spark, per_range, monkeypatch):
+    monkeypatch.setattr(ranks, "ROWS_PER_RANGE", per_range)
+    rows = [(i, i * 37 % 50) for i in range(120)]
+    got = ranks.percent_ranks(spark.createDataFrame(rows, "id int, a int"), "id", {"a": "p"}, single_task_rows=0)
+    assert values(got, "id", "p") == sorted(
+        [(i, p) for (i, _), p in zip(rows, percent_rank([a for _, a in rows]))], key=lambda r: tuple(map(repr, r)))
+
+
 def test_top_n_sends_only_n_rows_to_the_window(spark):
     df = spark.range(1000)
     top = ranks.top_n(df, [F.col("id").desc()], 3)

@@ -90,15 +90,34 @@ def _parquet_files(spark: SparkSession, path: str, through_spark: bool | None) -
         .load(path)
     )
     content = F.col("content") if through_spark else F.lit(None).cast("binary")
-    return listed.select("path", content.alias("content"))
+    return listed.select("path", content.alias("content"), "length", F.col("modificationTime").alias("modified"))
 
 
 def _folder(name: str):
     return F.regexp_extract("path", rf"/{name}=([^/]+)", 1).alias(name)
 
 
+def rescan_drift(
+    spark: SparkSession, path: str, schema: StructType, previous: DataFrame | None = None, through_spark: bool | None = None
+) -> DataFrame:
+    """:func:`scan_drift` with each file's ``length`` and time ``modified``; of the files that a
+    ``previous``, stored result has in the same form its rows are kept, so only new or changed
+    files are opened. Files that are gone are left out."""
+    files = _parquet_files(spark, path, through_spark)
+    if previous is None:
+        return _with_form(scan_drift(spark, path, schema, through_spark, files), files)
+    form = ["path", "length", "modified"]
+    old = previous.join(files.select(*form), form, "left_semi")
+    new = files.join(previous.select(*form), form, "left_anti")
+    return old.unionByName(_with_form(scan_drift(spark, path, schema, through_spark, new), new))
+
+
+def _with_form(scan: DataFrame, files: DataFrame) -> DataFrame:
+    return scan.join(files.select("path", "length", "modified"), "path")
+
+
 def scan_drift(
-    spark: SparkSession, path: str, schema: StructType, through_spark: bool | None = None
+    spark: SparkSession, path: str, schema: StructType, through_spark: bool | None = None, files: DataFrame | None = None
 ) -> DataFrame:
     """One row per Parquet file below ``path`` with everything in which its columns differ
     from ``schema``, and a ``status``: ERROR (unreadable, see ``error``), DRIFT or OK.
@@ -131,7 +150,7 @@ def scan_drift(
             yield pa.RecordBatch.from_pylist(rows, schema=found)
 
     found = to_arrow_schema(StructType.fromDDL(_FOUND))
-    files = _parquet_files(spark, path, through_spark)
+    files = _parquet_files(spark, path, through_spark) if files is None else files
     status = (
         F.when(F.col("error").isNotNull(), "ERROR").when(F.size("mismatches") > 0, "DRIFT").otherwise("OK")
     )
@@ -222,7 +241,7 @@ def repair_drift(
     paths = drifted.select("path", *LAYOUT)
     if through_spark:
         root = _common_folder(scan)
-        paths = _parquet_files(spark, root, True).join(paths, "path") if root else paths
+        paths = _parquet_files(spark, root, True).drop("length", "modified").join(paths, "path") if root else paths
     attempt = materialize(
         paths.repartition(tasks, "path").mapInArrow(
             rewrite, StructType([*schema.fields]).add("_path", "string").add("_problem", "string")),
@@ -252,8 +271,36 @@ def _common_folder(scan: DataFrame) -> str | None:
     return row[0] if row else None
 
 
+def publish_repaired(spark: SparkSession, table, scan: DataFrame, repaired: DataFrame, target: str) -> list[str]:
+    """Put the repaired copies below ``target`` into a :class:`VersionedTable`, all at once: a
+    reader sees the old rows of every repaired partition or the new ones, and a run that dies
+    has changed nothing. Sound files of these partitions go along. Partitions in which a
+    file could not be repaired stay as they are. The partitions replaced.
+
+    What reaches the driver are the names of folders and of the sound files in them.
+    """
+    folder = F.concat_ws("/", *[F.concat(F.lit(f"{n}="), n) for n in LAYOUT])
+    states = scan.join(repaired.select("path", F.col("status").alias("outcome")), "path", "left").withColumn("folder", folder)
+    able = states.groupBy("folder").agg(
+        F.count_if(F.col("outcome") == "REPAIRED").alias("good"), F.count_if(F.col("outcome") == "FAILED").alias("bad"),
+        F.count_if(F.col("status") == "ERROR").alias("lost"),
+    ).filter("good > 0 AND bad = 0 AND lost = 0")
+    folders = [r[0] for r in able.select("folder").collect()]
+    if not folders:
+        return []
+    sound = [r[0] for r in states.join(able, "folder", "left_semi").filter("status = 'OK'").select("path").collect()]
+    names = table.schema.fieldNames()
+    rows = spark.read.schema(table.schema).option("basePath", target).parquet(*[f"{target}/{f}" for f in folders]).select(*names)
+    if sound:
+        base = table.path if "/version=" not in sound[0] else sound[0].partition("/date=")[0]
+        rows = rows.unionByName(spark.read.schema(table.schema).option("basePath", base).parquet(*sound).select(*names))
+    table.write(rows)
+    return folders
+
+
 def swap_repaired(spark: SparkSession, repaired: DataFrame, target: str, root: str) -> int:
-    """Put the repaired copies into the lake: each repaired original is renamed to a hidden
+    """Put the repaired copies into a plain lake, file by file, so that readers may meanwhile miss
+    rows (:func:`publish_repaired` switches at once): each repaired original is renamed to a hidden
     name, which readers skip, and the new files of its folder are moved beside it. Returns
     the number of originals set aside. A swap that was broken off can be run again.
 

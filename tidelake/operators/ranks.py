@@ -17,6 +17,8 @@ from tidelake.operators.skew import BROADCAST_ROWS, HOT_ROWS, lookup_join
 from tidelake.session import materialize
 
 SINGLE_TASK_ROWS = 200_000
+# Values of a histogram that one range, so one task, orders.
+ROWS_PER_RANGE = 1_000_000
 
 _RANGE = "_range"
 
@@ -28,17 +30,17 @@ def running_total(
     order: list[Column],
     total: str = "running",
     group_total: str | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Inclusive running sum of a bigint ``measure`` per group, in ``order``.
 
     ``order`` must be unique within the group. ``group`` may be empty, and may contain
-    a key that owns most rows.
+    a key that owns most rows. ``ranges`` is best taken from the number of rows, if it is
+    known; otherwise there are as many as shuffle partitions, merged where they are small.
     """
-    ranged = materialize(
-        df.repartitionByRange(*[F.col(g) for g in group], *order)
-        .withColumn(_RANGE, F.spark_partition_id()),
-        "ranges",
-    )
+    keys = [*[F.col(g) for g in group], *order]
+    cut = df.repartitionByRange(*keys) if ranges is None else df.repartitionByRange(ranges, *keys)
+    ranged = materialize(cut.withColumn(_RANGE, F.spark_partition_id()), "ranges")
     part = [_RANGE, *group]
     sums = ranged.groupBy(*part).agg(F.sum(measure).alias("_part"))
     whole = Window.partitionBy(*group)
@@ -104,6 +106,11 @@ def percent_ranks(
 
     ``key`` must be unique. Ranks follow Spark's rule: NULL sorts first, ties share a
     rank, a single row gets 0. All metrics are compared as ``kind``.
+
+    Many rows are ranked by their values: one histogram holds those of all metrics, is ordered
+    by ranges whose number follows its stored size, and gives each value its rank, which a
+    join per metric brings to the rows. Rows are never exploded or grouped again; they
+    move only where a metric has more different values than can be broadcast.
     """
     df = materialize(df, "rank-input")
     rows = df.count()
@@ -114,28 +121,30 @@ def percent_ranks(
         ]
         return df.select("*", *ranks)
 
-    # One long frame for all metrics: a shared histogram, ranking and join.
+    # One long frame of values for all metrics, which is aggregated before it moves.
     pairs = [
         F.struct(F.lit(m).alias("metric"), F.col(m).cast(kind).alias("value")) for m in metrics
     ]
-    long = df.select(key, F.explode(F.array(*pairs)).alias("_p")).select(
-        key,
+    long = df.select(F.explode(F.array(*pairs)).alias("_p")).select(
         F.col("_p.metric").alias("metric"),
         F.col("_p.value").isNotNull().alias("known"),   # NULL (false) sorts first
         F.coalesce(F.col("_p.value"), F.lit(0).cast(kind)).alias("value"),
     )
     slot = ["metric", "known", "value"]
-    histogram = long.groupBy(*slot).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_total(
-        histogram, "n", ["metric"], [F.col("known"), F.col("value")], "upto"
-    ).select(*slot, "n", ((F.col("upto") - F.col("n")) / F.lit(max(rows - 1, 1))).alias("pr"))
-    joined = lookup_join(
-        long, materialize(ranked, "ranks"), slot, "n", broadcast_rows, hot_rows
-    )
-    wide = joined.groupBy(key).agg(
-        *[F.max(F.when(F.col("metric") == m, F.col("pr"))).alias(n) for m, n in metrics.items()]
-    )
-    return df.join(wide, key)
+    histogram = materialize(long.groupBy(*slot).agg(F.count(F.lit(1)).alias("n")), "histogram")
+    ranges = max(1, -(-histogram.count() // ROWS_PER_RANGE))
+    upto = running_total(histogram, "n", ["metric"], [F.col("known"), F.col("value")], "upto", ranges=ranges)
+    ranked = materialize(
+        upto.select(*slot, "n", ((F.col("upto") - F.col("n")) / F.lit(max(rows - 1, 1))).alias("pr")), "ranks")
+    for m, name in metrics.items():
+        mine = ranked.filter(F.col("metric") == m).select(
+            F.col("known").alias("_known"), F.col("value").alias("_value"), F.col("n").alias("_n"), F.col("pr").alias(name))
+        here = F.col(m).cast(kind)
+        df = lookup_join(
+            df.withColumns({"_known": here.isNotNull(), "_value": F.coalesce(here, F.lit(0).cast(kind))}),
+            mine, ["_known", "_value"], "_n", broadcast_rows, hot_rows,
+        ).drop("_known", "_value")
+    return df
 
 
 def top_n(df: DataFrame, order: list[Column], n: int, name: str = "rank") -> DataFrame:

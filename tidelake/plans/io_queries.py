@@ -19,7 +19,7 @@ from tidelake.plans.catalog import (
 )
 from tidelake.plans.ranking_queries import MART_DIGITS, _SCORED, mart_sql
 from tidelake.session import materialize, new_path
-from tidelake.sinks import tables
+from tidelake.sinks import tables, versions
 from tidelake.sources import files
 
 # The landing layout has a folder per date, symbol and hour. Here the event type stands
@@ -376,10 +376,10 @@ def p10_pushed_tickers(spark, d):
 _DRIFTED = {"error": "double", "view": "float"}
 
 
-def _drifted(spark, d, broken: bool = False) -> str:
+def _drifted(spark, d, broken: bool = False, path: str | None = None) -> str:
     """Silver trades of many days and hours in which two symbols have numeric prices, one file
     a folder. With ``broken`` the times of a third symbol are text that is no number."""
-    path = new_path(spark, "drifted")
+    path = path or new_path(spark, "drifted")
     rows = contract.ingest_contract(trade_rows(spark, d), "trades", F.lit(0)).drop("event_ms")
     symbol = F.col("symbol")
     parts = [rows.filter(symbol == s).withColumn("price", F.col("price").cast(k)) for s, k in _DRIFTED.items()]
@@ -440,6 +440,32 @@ def d8(spark, d):
     )
 
 
+@query("d8_published_repair", _LANDED_TOTALS.replace("AS DOUBLE), 2)", "AS DOUBLE), 1)"), total=1)
+def d8_published(spark, d):
+    # the table is read by its list before and after; drifted partitions are replaced at once
+    path, target = _drifted(spark, d), new_path(spark, "repaired")
+    table = versions.VersionedTable(path, _SILVER_TRADE, {n: F.col(n) for n in files.LAYOUT})
+    table.adopt(spark)
+    scan = materialize(quality.rescan_drift(spark, path, _SILVER_TRADE), "scan")
+    done = materialize(quality.repair_drift(spark, scan, target, _SILVER_TRADE), "done")
+    quality.publish_repaired(spark, table, scan, done, target)
+    return landed_totals(table.read(spark))
+
+
+@query(
+    "d7_second_scan",
+    """SELECT event_type AS symbol, CASE WHEN event_type IN ('error', 'view') THEN 'DRIFT' ELSE 'OK' END AS status,
+  2 * count(DISTINCT (CAST(ts AS DATE), hour(ts) < 12)) AS files, 2 * count(*) AS num_rows FROM events GROUP BY 1""",
+)
+def d7_second(spark, d):
+    # the dataset doubles between two scans; the second one keeps what the first has found
+    path = _drifted(spark, d)
+    first = materialize(quality.rescan_drift(spark, path, _SILVER_TRADE), "scan")
+    _drifted(spark, d, path=path)
+    second = quality.rescan_drift(spark, path, _SILVER_TRADE, first)
+    return second.groupBy("symbol", "status").agg(F.count(F.lit(1)).alias("files"), F.sum("num_rows").alias("num_rows"))
+
+
 @query(
     "d8_repair_status",
     f"""WITH {_SLOTS}, n AS (SELECT event_type, count(*) AS num_rows FROM events GROUP BY 1)

@@ -1,6 +1,7 @@
 """A table whose partitions are replaced together, behind one published list.
 
     path/version=<id>/<partition folders>/part-*     rows, never changed once written
+    path/<partition folders>/part-*                  rows of a plain dataset that was adopted
     path/_list/…                                     which version of each partition is in force
 
 A writer puts its rows into a new version and then publishes the list that names it for the
@@ -60,14 +61,37 @@ class VersionedTable:
     def _folders(self, spark: SparkSession, wanted: list[str] | None) -> list[str]:
         keep = None if wanted is None else set(wanted)
         return [
-            f"{self.path}/version={version}/{partition}" for partition, version, state in self.listed(spark)
+            self._folder(partition, version) for partition, version, state in self.listed(spark)
             if state == LIVE and (keep is None or partition in keep)
         ]
 
+    def _folder(self, partition: str, version: str) -> str:
+        return f"{self.path}/version={version}/{partition}" if version else f"{self.path}/{partition}"
+
     def _rows(self, spark: SparkSession, folders: list[str]) -> DataFrame:
-        if not folders:
-            return spark.createDataFrame([], self._stored()).drop("version")
-        return spark.read.schema(self._stored()).option("basePath", self.path).parquet(*folders).drop("version")
+        mine = [f for f in folders if f.startswith(f"{self.path}/version=")]
+        adopted = [f for f in folders if not f.startswith(f"{self.path}/version=")]
+        out = spark.createDataFrame([], self._stored()).drop("version")
+        for part in (mine, adopted):
+            if part:
+                rows = spark.read.schema(self._stored()).option("basePath", self.path).parquet(*part).drop("version")
+                out = rows if part is mine else out.unionByName(rows) if mine else rows
+        return out
+
+    def adopt(self, spark: SparkSession) -> int:
+        """Publish the partitions of a plain dataset at ``path`` as they lie there, so that later
+        writes can replace them together; their number. Nothing is moved. From then on readers
+        go through the list."""
+        names = "/".join(f"{n}=[^/]+" for n in self.partitions)
+        found = self._partitions_below(spark, self.path, f"^.*?/({names})/[^/]+$")
+        rows = [(p, "", LIVE) for p in found]
+        replace_snapshot(spark.createDataFrame(rows, LIST).coalesce(1), f"{self.path}/_list")
+        return len(rows)
+
+    def _partitions_below(self, spark: SparkSession, folder: str, pattern: str) -> list[str]:
+        paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+        found = paths.filter(~F.contains("path", F.lit("/version="))) if folder == self.path else paths
+        return sorted(r[0] for r in found.select(F.regexp_extract("path", pattern, 1)).distinct().collect() if r[0])
 
     def read(self, spark: SparkSession, wanted: list[str] | None = None) -> DataFrame:
         """Rows as published, with the partition columns; only the ``wanted`` partitions
@@ -99,10 +123,7 @@ class VersionedTable:
         folder = f"{self.path}/version={version}"
         rows.hint("rebalance", *names).write.partitionBy(*names).parquet(folder)
         found = dict(seen.get) if seen is not None else {}
-        paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
-        touched = [r[0] for r in paths.select(
-            F.regexp_extract("path", r"/version=[^/]+/(.+)/[^/]+$", 1)).distinct().collect()]
-        touched = [t for t in touched if t]
+        touched = self._partitions_below(spark, folder, r"/version=[^/]+/(.+)/[^/]+$")
         for name, audit in (audits or {}).items():
             found[name] = int(audit(self._rows(spark, [f"{folder}/{t}" for t in touched])))
         report = Report(found, not any(found.values()))
@@ -115,7 +136,7 @@ class VersionedTable:
         after += [(p, v, OLD) for p, v, _ in live if p in gone]
         after += notes if notes is not None else [r for r in before if r[2] not in (LIVE, OLD)]
         replace_snapshot(spark.createDataFrame(after, LIST).coalesce(1), f"{self.path}/_list")
-        self._delete(spark, [f"{self.path}/version={v}/{p}" for p, v, state in before if state == OLD])
+        self._delete(spark, [self._folder(p, v) for p, v, state in before if state == OLD])
         return report
 
     def _delete(self, spark: SparkSession, folders: list[str]) -> None:
