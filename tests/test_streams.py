@@ -12,7 +12,7 @@ from tidelake.operators import candles as C
 from tidelake.sinks import tables
 from tidelake.sources.topics import read_folder
 from tidelake.streaming import candles as SC
-from tidelake.streaming import landing, recompute, ring
+from tidelake.streaming import landing, late, recompute, ring
 
 MESSAGE = "value string, timestamp timestamp"
 
@@ -293,3 +293,50 @@ def test_the_topic_is_read_once(spark, tmp_path):
         assert layers(spark, str(tmp_path / "lake")) == {"bronze": 2, "silver": 2, "reject": 1}
     read = [p["sources"][0]["numInputRows"] for p in queries[0].recentProgress]
     assert sum(read) == 0
+
+
+# ------------------------------------------------------------------------------ late rows
+
+def test_late_rows_and_windows_make_the_batch_answer(spark, tmp_path):
+    root, schema = str(tmp_path / "split"), schemas.FACT_KLINES
+    batches = [
+        candles(spark, candle(1, "2024-01-01T10:00:00", 1), candle(1, "2024-01-01T10:30:00", 2)),
+        # two minutes before the newest time is late, one minute is not; a copy of a late row
+        candles(spark, candle(1, "2024-01-01T10:28:00", 7), candle(1, "2024-01-01T10:29:00", 3), candle(1, "2024-01-01T10:28:00", 7)),
+        candles(spark, candle(2, "2024-01-02T09:00:00", 5)),
+        candles(spark, candle(1, "2024-01-01T10:45:00", 9), candle(2, "2024-01-02T09:10:00", 6)),
+    ]
+    for n, batch in enumerate(batches):
+        late.split_batch(batch, n, root)
+        late.split_batch(batch, n, root)        # delivered again
+    lost = [(T("2024-01-01T10:28"), D(7)), (T("2024-01-01T10:28"), D(7)), (T("2024-01-01T10:45"), D(9))]
+    assert values(late.side(spark, root, "late", schema), "open_time", "open_price") == lost
+    assert late.side(spark, root, "on_time", schema).count() == 5
+    table = tables.fact_klines(str(tmp_path / "windows"))
+    queries = SC.start_resample(late.on_time_stream(spark, root, schema), table, str(tmp_path / "cp"), ["1h"], trigger=None)
+    SC.await_all(queries)
+    assert SC.dropped_late_rows(queries[0]) == 0
+    for _ in range(2):
+        assert late.apply_late(spark, root, table, schema, ["1h"]) == 3
+        got = values(table.read(spark), "symbol_id", "open_time", "close_price", "num_trades")
+        assert got == [(1, T("2024-01-01T10:00"), D(9), 5), (2, T("2024-01-02T09:00"), D(6), 2)]
+
+
+def test_a_split_that_dies_is_repeated_alike(spark, tmp_path, monkeypatch):
+    root, schema = str(tmp_path / "split"), schemas.FACT_KLINES
+    late.split_batch(candles(spark, candle(1, "2024-01-01T10:00:00")), 0, root)
+    second = candles(spark, candle(1, "2024-01-01T09:00:00"), candle(1, "2024-01-01T11:00:00"))
+
+    def dies():
+        yield "late"
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(late, "SIDES", dies())      # after one side, before the other and the mark
+        with pytest.raises(OSError):
+            late.split_batch(second, 1, root)
+    assert late.side(spark, root, "late", schema).count() == 0 and late.side(spark, root, "on_time", schema).count() == 1
+    late.split_batch(second, 1, root)
+    assert values(late.side(spark, root, "late", schema), "open_time") == [(T("2024-01-01T09:00"),)]
+    assert late.side(spark, root, "on_time", schema).count() == 2
+    assert late.apply_late(spark, str(tmp_path / "none"), tables.fact_klines(str(tmp_path / "t")), schema) == 0

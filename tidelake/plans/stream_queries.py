@@ -23,7 +23,7 @@ from tidelake.sinks import tables, upserts, versions
 from tidelake.sources import files
 from tidelake.sources.topics import read_folder
 from tidelake.streaming import candles as SC
-from tidelake.streaming import landing, recompute, ring
+from tidelake.streaming import landing, late, recompute, ring
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
@@ -428,6 +428,22 @@ def t5(spark, d):
         F.lit(late).cast("long").alias("late"), F.count(F.lit(1)).alias("windows"), F.sum("volume_quote").alias("volume"))
 
 
+@query("t4_late_table", f"WITH {TICKS}, {candles_sql('1h')} {candle_columns('1h')}")
+def t4_late(spark, d):
+    # four files with shuffled times, one per trigger: what is behind the watermark goes to the
+    # late side, and the windows of both sides together are those of a batch
+    session, root = stream_session(spark), new_path(spark, "split")
+    rows = _candles(session, spark, d, 4, 1)
+    late.start_split(rows, root, new_path(spark, "checkpoint"), trigger=None).awaitTermination()
+    table = tables.fact_klines(new_path(spark, "windows"))
+    on_time = late.on_time_stream(session, root, rows.schema)
+    queries = SC.start_resample(on_time, table, new_path(spark, "checkpoint"), ["1h"], trigger=None)
+    SC.await_all(queries)
+    assert SC.dropped_late_rows(queries[0]) == 0
+    assert late.apply_late(spark, root, table, rows.schema, ["1h"]) > 0
+    return table.read(spark)
+
+
 # ----------------------------------------------------------------------- D10 from the lake
 
 _LAKE_HALF = "2024-01-16"
