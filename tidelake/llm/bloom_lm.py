@@ -42,6 +42,7 @@ BLOCK = 8 << 20                     # bytes of text handled at once
 SCORED = 4 << 20                    # the same where they are scored
 SWEPT = 64 << 20                    # bytes of text that ask each piece of the filter together
 PIECE_BITS = 1 << 29                # of the filter in one broadcast: 64 MB
+PACKS = 1 << 14                     # ranges of hashes by which counts are shuffled, some 600 bytes of a block each
 PROBED = 1 << 18                    # n-grams probed at once
 UNIGRAM, BIGRAM = 1, 2
 
@@ -110,10 +111,19 @@ def fold(key: str) -> Column:
 def ngram_counts(docs: DataFrame, text: str = "text", least: int = 2) -> DataFrame:
     """(kind, h, n): all words with their counts, and bigrams that occur ``least`` times or more.
 
-    Counts are made per block of texts first; one shuffle by hash brings the parts together,
-    where a task merges flat arrays, 16 bytes a row. No key has more rows than there are
-    blocks.
+    Counts are made per block of texts first. They are shuffled in packs: a block gives one row
+    for each of ``PACKS`` ranges of hashes, with its keys and counts as bytes, and a task merges
+    the flat arrays of its ranges. No key has more entries than there are blocks.
     """
+    packed = pa.schema([("pack", pa.int32()), *[(f"{x}{k}", pa.binary()) for k in (UNIGRAM, BIGRAM) for x in "hn"]])
+
+    def pack(keys: np.ndarray, n: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+        where = (keys >> np.uint64(64 - PACKS.bit_length() + 1)).astype(np.uint16)
+        order = np.argsort(where, kind="stable")
+        ends = np.searchsorted(where[order], np.arange(PACKS), side="right").tolist()
+        keys, n = keys[order].tobytes(), n[order].astype(np.int32).tobytes()
+        cuts = list(zip([0, *ends], ends))
+        return [keys[8 * i:8 * j] for i, j in cuts], [n[4 * i:4 * j] for i, j in cuts]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,21 +132,22 @@ def ngram_counts(docs: DataFrame, text: str = "text", least: int = 2) -> DataFra
                 there = np.flatnonzero(single)
                 pairs, n = np.unique(_pairs(block), return_counts=True)
                 keys = bigram_keys(block.hashes[pairs >> 32], block.hashes[pairs & 0xFFFFFFFF])
-                for kind, h, c in ((UNIGRAM, unigram_keys(block.hashes[there]), single[there]), (BIGRAM, keys, n)):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(h), kind, np.int8)), pa.array(h.view(np.int64)),
-                         pa.array(c.astype(np.int64))], names=["kind", "h", "n"])
+                columns = [*pack(unigram_keys(block.hashes[there]), single[there]), *pack(keys, n)]
+                some = [i for i in range(PACKS) if columns[0][i] or columns[2][i]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int32()), *[pa.array([c[i] for i in some], pa.binary()) for c in columns]],
+                    schema=packed)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b.column(i).to_numpy() for i in range(3)] for b in batches]
-        if not parts:
-            return
-        kind, h, n = (np.concatenate(x) for x in zip(*parts))
-        parts.clear()
+        parts: dict[str, list[bytes]] = {name: [] for name in packed.names[1:]}
+        for batch in batches:
+            for name, own in parts.items():
+                own.append(b"".join(batch.column(name).to_pylist()))
         for k in (UNIGRAM, BIGRAM):
-            mine = kind == k
-            keys, at = np.unique(h[mine], return_inverse=True)
-            total = np.bincount(at, n[mine], len(keys)).astype(np.int64)
+            h = np.frombuffer(b"".join(parts.pop(f"h{k}")), np.int64)
+            n = np.frombuffer(b"".join(parts.pop(f"n{k}")), np.int32)
+            keys, at = np.unique(h, return_inverse=True)
+            total = np.bincount(at, n, len(keys)).astype(np.int64)
             if k == BIGRAM:
                 keys, total = keys[total >= least], total[total >= least]
             for i in range(0, len(keys), 100_000):
@@ -146,7 +157,8 @@ def ngram_counts(docs: DataFrame, text: str = "text", least: int = 2) -> DataFra
                     names=["kind", "h", "n"])
 
     schema = "kind tinyint, h bigint, n bigint"
-    return docs.select(f"`{text}`").mapInArrow(count, schema).repartition("h").mapInArrow(merge, schema)
+    counted = docs.select(f"`{text}`").mapInArrow(count, "pack int, h1 binary, n1 binary, h2 binary, n2 binary")
+    return counted.repartition("pack").mapInArrow(merge, schema)
 
 
 def _class(n: np.ndarray, least: int) -> np.ndarray:
