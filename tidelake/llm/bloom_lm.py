@@ -38,8 +38,8 @@ SEGMENTS = 256                      # an n-gram's bits lie in one segment, named
 SEGMENT_BITS = 1 << 23              # 1 MB: from there on segments become more, not larger
 SEGMENTS_PER_TASK = 8               # filled at once, on average; a bit takes a byte meanwhile
 MAX_FREQUENT = 200_000              # words whose exact counts are broadcast, 16 bytes each
-BLOCK = 8 << 20                     # bytes of text handled at once
-SCORED = 4 << 20                    # the same where they are scored
+BLOCK = 4 << 20                     # bytes of text handled at once
+SCORED = 2 << 20                    # the same where they are scored
 SWEPT = 64 << 20                    # bytes of text that ask each piece of the filter together
 PIECE_BITS = 1 << 29                # of the filter in one broadcast: 64 MB
 PACKS = 1 << 14                     # ranges of hashes by which counts are shuffled, some 600 bytes of a block each
