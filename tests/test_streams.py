@@ -12,7 +12,7 @@ from tidelake.operators import candles as C
 from tidelake.sinks import tables
 from tidelake.sources.topics import read_folder
 from tidelake.streaming import candles as SC
-from tidelake.streaming import landing, late, recompute, ring
+from tidelake.streaming import compaction, landing, late, recompute, ring
 
 MESSAGE = "value string, timestamp timestamp"
 
@@ -340,3 +340,61 @@ def test_a_split_that_dies_is_repeated_alike(spark, tmp_path, monkeypatch):
     assert values(late.side(spark, root, "late", schema), "open_time") == [(T("2024-01-01T09:00"),)]
     assert late.side(spark, root, "on_time", schema).count() == 2
     assert late.apply_late(spark, str(tmp_path / "none"), tables.fact_klines(str(tmp_path / "t")), schema) == 0
+
+
+# ----------------------------------------------------------------------------- compaction
+
+AT = '{"symbol":"%s","event_time":%d,"trade_id":%d,"price":"1","qty":"2"}'
+
+
+def hourly(spark, n, *hours):
+    start = int(T("2024-01-01").timestamp() * 1000)
+    return message_rows(spark, *[AT % (s, start + h * 3_600_000, n * 100 + h) for h in hours for s in ("A", "B")], "no json")
+
+
+def data_files(path):
+    return [p for p in path.rglob("part-*") if not p.name.startswith(".")]
+
+
+def test_packing_keeps_rows_and_leaves_few_files(spark, tmp_path, monkeypatch):
+    root, now = str(tmp_path / "lake"), dt.datetime(2024, 1, 2, 3, 30)
+    assert compaction.read(spark, root, "silver", "trades") is None
+    assert compaction.pack(spark, root, "silver", "trades", now) == 0
+    for n, hours in enumerate([(0, 1), (1, 2, 25), (2, 27), (26,)]):       # the third has an hour that is not over
+        landing.land_batch(hourly(spark, n, *hours), n, "trades", root)
+    want = {layer: values(landing.landed(spark, root, layer, "trades")) for layer in ("bronze", "silver", "reject")}
+    assert len(want["silver"]) == 16 and len(want["reject"]) == 4
+
+    def found(layer):
+        df = compaction.read(spark, root, layer, "trades")
+        return values(df.select(landing.landed(spark, root, layer, "trades").columns))
+
+    with monkeypatch.context() as m:        # dies before it is published
+        m.setattr("tidelake.sinks.versions.replace_snapshot", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            compaction.pack(spark, root, "silver", "trades", now)
+    assert found("silver") == want["silver"]
+    assert compaction.pack(spark, root, "silver", "trades", now) == 3
+    assert compaction.pack(spark, root, "bronze", "trades", now) == 3
+    # rejects are kept by the day on which they came: all on the first, which is over
+    assert compaction.pack(spark, root, "reject", "trades", now) == 4
+    assert {layer: found(layer) for layer in want} == want
+    live = [p for p, _, s in compaction.packed_table(spark, root, "silver", "trades").listed(spark) if s == "live"]
+    assert sorted(live) == ["date=2024-01-01", "date=2024-01-02"]
+    packed = spark.read.parquet(*[str(tmp_path / "lake" / "silver_packed" / "trades" / f"version={v}" / p) for p, v, s in
+                                  compaction.packed_table(spark, root, "silver", "trades").listed(spark) if s == "live"])
+    assert len(packed.inputFiles()) == 2        # of 12: one a day
+    # a late row for a packed day; the next run also removes the files that the first one left
+    landing.land_batch(hourly(spark, 4, 1), 4, "trades", root)
+    assert compaction.pack(spark, root, "silver", "trades", now) == 1
+    assert not (tmp_path / "lake" / "silver" / "trades" / "batch=0").exists()
+    assert len(data_files(tmp_path / "lake" / "silver" / "trades" / "batch=2")) == 4
+    ids = sorted(v[0] for v in values(compaction.read(spark, root, "silver", "trades"), "trade_id"))
+    assert ids == sorted(i for n, hours in enumerate([(0, 1), (1, 2, 25), (2, 27), (26,), (1,)]) for h in hours for i in 2 * [n * 100 + h])
+    # once its hours are over, the third batch follows, and nothing is left to do
+    assert compaction.pack(spark, root, "silver", "trades", dt.datetime(2024, 1, 2, 5)) == 1
+    assert compaction.pack(spark, root, "silver", "trades", dt.datetime(2024, 1, 2, 5)) == 0
+    assert sorted(v[0] for v in values(compaction.read(spark, root, "silver", "trades"), "trade_id")) == ids
+    notes = [(p, s) for p, _, s in compaction.packed_table(spark, root, "silver", "trades").listed(spark) if s in ("packed", "leaving")]
+    assert notes == [("0-4", "packed"), ("2-2", "leaving")]
+    assert not landing.land_batch(hourly(spark, 0, 0), 0, "trades", root)      # delivered again

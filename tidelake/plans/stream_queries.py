@@ -23,7 +23,7 @@ from tidelake.sinks import tables, upserts, versions
 from tidelake.sources import files
 from tidelake.sources.topics import read_folder
 from tidelake.streaming import candles as SC
-from tidelake.streaming import landing, late, recompute, ring
+from tidelake.streaming import compaction, landing, late, recompute, ring
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
@@ -402,6 +402,30 @@ def k9(spark, d):
         F.count(F.lit(1)).alias("n"), F.countDistinct("file").alias("files"))
 
 
+@query(
+    "k9_compacted",
+    """SELECT event_type AS symbol, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour, count(*) AS n, sum(event_id) AS ids
+FROM events WHERE value < 100 GROUP BY 1, 2""",
+)
+def k9_compacted(spark, d):
+    # four batches by time, full hours; those that end before the middle of the month are packed
+    root = new_path(spark, "lake")
+    events = I.table(spark, d, "events").withColumn("at", F.col("ts").cast("timestamp")).filter("value < 100")
+    body = F.to_json(F.struct(
+        F.col("event_id").alias("trade_id"), F.col("event_type").alias("symbol"), F.unix_millis("at").alias("event_time"),
+        F.col("value").cast("string").alias("price"), F.lit("1").alias("qty")))
+    messages = events.select(body.alias("value"), F.col("at").alias("timestamp"), "event_type")
+    days = ["2000-01-01", "2024-01-08", "2024-01-16", "2024-01-24", "2100-01-01"]
+    for n, (low, high) in enumerate(zip(days, days[1:])):
+        mine = (F.col("timestamp") >= F.lit(low).cast("timestamp")) & (F.col("timestamp") < F.lit(high).cast("timestamp"))
+        # as a topic keyed by symbol has them
+        landing.land_batch(messages.filter(mine).repartition(8, "event_type").drop("event_type"), n, "trades", root, "SILVER_ONLY")
+    assert compaction.pack(spark, root, "silver", "trades", dt.datetime(2024, 1, 16)) > 0
+    hour = F.to_timestamp(F.concat_ws(" ", "date", "hour"), "yyyy-MM-dd HH")
+    return compaction.read(spark, root, "silver", "trades").groupBy("symbol", hour.alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("trade_id").alias("ids"))
+
+
 @query(
     "t5_late_rows",
     f"""WITH {TICKS}, {candles_sql('1m')}, {candles_sql('1h', 'hours')}

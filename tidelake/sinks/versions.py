@@ -105,6 +105,7 @@ class VersionedTable:
         audits: dict[str, Callable[[DataFrame], int]] | None = None,
         notes: list[tuple[str, str, str]] | None = None,
         drop: list[str] | None = None,
+        sort: list[str] | None = None,
     ) -> Report:
         """Replace the partitions that ``df`` has rows for, and remove those in ``drop``.
 
@@ -112,7 +113,7 @@ class VersionedTable:
         written and cost no pass. ``audits`` get the written rows, for what needs the rows of
         a key together. The list is published only if all of them give 0; otherwise the new
         version is removed and readers stay with the old rows. ``notes`` replace those of the
-        list.
+        list. ``sort`` orders the rows of a file, so that statistics of row groups prune them.
         """
         spark = df.sparkSession
         version, names = uuid.uuid4().hex, list(self.partitions)
@@ -121,7 +122,10 @@ class VersionedTable:
         if seen is not None:
             rows = rows.observe(seen, *[c.cast("long").alias(n) for n, c in checks.items()])
         folder = f"{self.path}/version={version}"
-        rows.hint("rebalance", *names).write.partitionBy(*names).parquet(folder)
+        dealt = rows.hint("rebalance", *names)
+        if sort:
+            dealt = dealt.sortWithinPartitions(*names, *sort)
+        dealt.write.partitionBy(*names).parquet(folder)
         found = dict(seen.get) if seen is not None else {}
         touched = self._partitions_below(spark, folder, r"/version=[^/]+/(.+)/[^/]+$")
         for name, audit in (audits or {}).items():
