@@ -98,6 +98,33 @@ def test_recompute_takes_the_closed_candle(spark, tmp_path):
     assert values(table.read(spark), "interval_code", "close_price") == [("1m", D(2)), ("5m", D(2))]
 
 
+def test_recompute_leaves_other_buckets_alone(spark, tmp_path):
+    plain, table = tables.fact_klines(str(tmp_path / "plain")), tables.fact_klines(str(tmp_path / "fact"), buckets=8)
+    symbols, days = range(1, 30), ("2024-01-01", "2024-01-02")
+    first = candles(spark, *[candle(s, f"{d}T00:0{m}:00", vq=s) for s in symbols for d in days for m in (0, 3)])
+    late = candles(spark, candle(7, "2024-01-01T00:01:00", c=99, vq=5))
+    place = tables.kline_places(table, late)
+    assert [p[0] for p in place] == [dt.date(2024, 1, 1)] and place[0][1] in {str(b) for b in range(8)}
+
+    def stored_files():
+        return {p for p in (tmp_path / "fact").rglob("*.parquet")}
+
+    for t in (plain, table):
+        recompute.apply_batch(first, t, ["5m", "1d"])
+    before = stored_files()
+    for t in (plain, table):
+        recompute.apply_batch(late, t, ["5m", "1d"])
+    assert values(table.read(spark)) == values(plain.read(spark))
+    touched = {f"interval_code={c}/open_date=2024-01-01/bucket={place[0][1]}" for c in ("1m", "5m", "1d")}
+    changed = {str(p.parent.relative_to(tmp_path / "fact")) for p in before ^ stored_files()}
+    assert changed == touched
+    # the scan of a trigger lets no row through but those of one folder of the 16 of its interval
+    scan = table.partitions_of(spark, tables.kline_partitions(["1m"], place))
+    bucket = [r for r in table.read(spark, keep_partitions=True).collect()
+              if (r.interval_code, r.open_date, r.bucket) == ("1m", *place[0])]
+    assert 0 < len(bucket) < 20 and scanned(scan) == len(bucket)
+
+
 def messages(spark, *values_):
     return spark.createDataFrame([(v, T("2024-01-05T07:00:00")) for v in values_], MESSAGE)
 

@@ -115,6 +115,18 @@ def t7(spark, d):
     return table.read(spark)
 
 
+@query("t7_bucketed", all_candles_sql(C.INTERVALS))
+def t7_bucketed(spark, d):
+    # three files with shuffled times; a trigger reads and rewrites touched buckets of days only
+    session = stream_session(spark)
+    table = tables.fact_klines(new_path(spark, "recomputed"), buckets=2)
+    source = _candles(session, spark, d, 3, 1).withColumn("interval_code", F.lit("1m"))
+    recompute.start_recompute(
+        source.select(*schemas.FACT_KLINES.fieldNames()), table, new_path(spark, "checkpoint"), trigger=None
+    ).awaitTermination()
+    return table.read(spark)
+
+
 def _messages(session, spark, d) -> DataFrame:
     """events as raw trade messages; those of high value are no JSON objects."""
     rows = trade_rows(spark, d)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,7 +49,31 @@ def get_session(
         builder = builder.config(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions)
         )
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, whose functions run in them, without having it
+    installed: it goes to them as a zip from the shared folder. A local master's workers get it
+    too. Shipped once per context and content."""
+    home, packed = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for file in sorted(home.rglob("*.py")):
+            entry = zipfile.ZipInfo(str(Path(home.name) / file.relative_to(home)))
+            archive.writestr(entry, file.read_bytes())
+    name = f"{home.name}-{hashlib.sha256(packed.getvalue()).hexdigest()[:16]}.zip"
+    if any(f.endswith(name) for f in spark.sparkContext.listFiles):
+        return
+    path = f"{shared_dir(spark)}/{name}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(packed.getvalue()))
+    finally:
+        stream.close()
+    spark.sparkContext.addPyFile(path)
 
 
 def use_utc(spark: SparkSession) -> SparkSession:

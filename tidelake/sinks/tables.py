@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
-from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -177,21 +176,34 @@ def _wide_in_lists(spark: SparkSession):
 MONTHLY = ("4h", "1d")
 
 
-def fact_klines(path: str, rules: dict[str, str] | None = None) -> KeyedTable:
-    """Candles by interval and day; long intervals by interval and first of the month."""
+def fact_klines(path: str, rules: dict[str, str] | None = None, buckets: int | None = None) -> KeyedTable:
+    """Candles by interval and day; long intervals by interval and first of the month.
+
+    With ``buckets`` each of these folders is divided by a hash of the symbol, so that a write
+    for some symbols leaves the files of most others alone. Choose it for a folder to hold some
+    files' worth of rows; it is part of the layout and never changes.
+    """
     monthly = F.col("interval_code").isin(*MONTHLY)
     slot = F.when(monthly, F.trunc("open_time", "month")).otherwise(F.to_date("open_time"))
-    return KeyedTable(
-        path, schemas.FACT_KLINES, schemas.KEYS["fact_klines"],
-        {"interval_code": F.col("interval_code"), "open_date": slot},
-        rules or {},
-    )
+    partitions = {"interval_code": F.col("interval_code"), "open_date": slot}
+    if buckets:
+        partitions["bucket"] = F.pmod(F.hash("symbol_id"), F.lit(buckets)).cast("string")
+    return KeyedTable(path, schemas.FACT_KLINES, schemas.KEYS["fact_klines"], partitions, rules or {})
+
+
+def kline_places(table: KeyedTable, rows: DataFrame) -> list[tuple]:
+    """The days of ``rows``, each with its bucket if the table has any; a folder each at least,
+    so few."""
+    below = [e.alias(n) for n, e in table.partitions.items() if n not in ("interval_code", "open_date")]
+    return [tuple(r) for r in rows.select(F.to_date("open_time"), *below).distinct().collect()]
 
 
-def kline_partitions(intervals, days: list[date]) -> list[tuple]:
-    """The partitions of :func:`fact_klines` that hold these intervals of these days."""
+def kline_partitions(intervals, places: list) -> list[tuple]:
+    """The partitions of :func:`fact_klines` that hold these intervals of these places, or of
+    these days in a table without buckets."""
+    split = [place if isinstance(place, tuple) else (place,) for place in places]
     return sorted({
-        (code, day.replace(day=1) if code in MONTHLY else day) for code in intervals for day in days
+        (code, day.replace(day=1) if code in MONTHLY else day, *below) for code in intervals for day, *below in split
     })
 
 

@@ -20,7 +20,7 @@ from tidelake.operators.candles import TARGETS
 from tidelake.operators.merge import latest_wins
 from tidelake.schemas import FACT_KLINES, KEYS
 from tidelake.session import stored
-from tidelake.sinks.tables import KeyedTable, _files, kline_partitions
+from tidelake.sinks.tables import KeyedTable, _files, kline_partitions, kline_places
 from tidelake.streaming.candles import LATENESS, _started, closed
 from tidelake.streaming.recompute import rebuild_touched
 
@@ -107,10 +107,11 @@ def apply_late(spark: SparkSession, root: str, table: KeyedTable, schema: Struct
     if not number:
         return 0
     both = late.unionByName(side(spark, root, "on_time", schema)).withColumn("interval_code", F.lit("1m"))
-    days = [r[0] for r in late.select(F.to_date("open_time")).distinct().collect()]
+    places = kline_places(table, late)
+    days = sorted({place[0] for place in places})
     of_days = both.filter(F.to_date("open_time").isin(days))
     best = latest_wins(of_days, KEYS["fact_klines"]).select(*FACT_KLINES.fieldNames())
     minutes = best.withColumn("open_date", F.to_date("open_time"))
     fresh = late.select("symbol_id", "open_time")
-    table.upsert(rebuild_touched(minutes, fresh, targets), rules={}, touched=kline_partitions(targets, days))
+    table.upsert(rebuild_touched(minutes, fresh, targets), rules={}, touched=kline_partitions(targets, places))
     return number
