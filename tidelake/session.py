@@ -50,7 +50,10 @@ def get_session(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions)
         )
     spark = builder.getOrCreate()
-    ship_package(spark)
+    context = spark.sparkContext
+    # without a shared folder yet, it is for the caller to name one and then ship
+    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or context.master.startswith("local"):
+        ship_package(spark)
     return spark
 
 
