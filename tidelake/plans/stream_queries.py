@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ from tidelake.sinks import tables, upserts, versions
 from tidelake.sources import files
 from tidelake.sources.topics import read_folder
 from tidelake.streaming import candles as SC
-from tidelake.streaming import compaction, landing, late, recompute, ring
+from tidelake.streaming import compaction, landing, late, raw, recompute, ring
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
@@ -127,6 +128,71 @@ def t7_bucketed(spark, d):
     return table.read(spark)
 
 
+def _raw_messages(spark, d, parts: int) -> str:
+    """Every minute as messages of producers: every other symbol with the short keys of pushed
+    candles, the rest with long ones, each before and after it is closed, beside messages
+    of other intervals and some that are cut off."""
+    c = I.candles_1m(spark, d).withColumn("symbol", I.code_of(F.col("symbol_id")))
+    end = F.unix_millis("close_time")
+
+    def message(df: DataFrame, is_closed: bool, before: int, interval: str = "1m") -> DataFrame:
+        values = {
+            "open": "open_price", "high": "high_price", "low": "low_price", "close": "close_price", "volume": "volume_base",
+            "quote_volume": "volume_quote", "taker_buy_base_volume": "volume_base",
+            "taker_buy_quote_volume": "taker_buy_quote_volume",
+        }
+        others = {
+            "open_time": F.unix_millis("open_time"), "close_time": end, "interval": F.lit(interval),
+            "num_trades": F.col("num_trades"), "is_closed": F.lit(is_closed),
+        }
+        fields = {**{k: F.col(v).cast("string") for k, v in values.items()}, **others}
+        long = F.to_json(F.struct("symbol", (end - before).alias("event_time"), *[v.alias(k) for k, v in fields.items()]))
+        short = {**contract.PUSHED_KLINE_TEXT, **contract.PUSHED_KLINE_OTHER}
+        k = F.to_json(F.struct(*[fields[name].alias(key) for key, name in short.items()]))
+        pushed = F.concat(
+            F.lit('{"e":"kline","E":'), end - before, F.lit(',"s":"'), F.col("symbol"), F.lit('","k":'), k, F.lit("}"))
+        value = F.when(F.col("symbol_id") % 2 == 0, pushed).otherwise(long)
+        return df.select(value.alias("value"), F.timestamp_millis(end - before).alias("timestamp"), "symbol_id", "open_time")
+
+    unfinished = c.withColumns({
+        "close_price": F.col("close_price") + 1, "volume_quote": F.col("volume_quote") / 2, "num_trades": F.col("num_trades") - 1})
+    final = message(c, True, 0)
+    cut = final.withColumn("value", F.left("value", F.length("value") - 3))
+    rows = final.unionByName(message(unfinished, False, 30_000)).unionByName(message(c, True, 0, "5m")).unionByName(cut)
+    path = new_path(spark, "raw-messages")
+    rows.repartition(parts, F.xxhash64("open_time", "value")).select("value", "timestamp").write.parquet(path)
+    return path
+
+
+@query("t2_raw_topic", f"WITH {TICKS}, {candles_sql('1h')} {candle_columns('1h')}")
+def t2_raw(spark, d):
+    # raw messages, symbol lookup and windows in one stream
+    session = stream_session(spark)
+    table = tables.fact_klines(new_path(spark, "stream-fact"))
+    dim = materialize(I.dim(spark, d), "dim")
+    source = raw.resolved(read_folder(session, _raw_messages(spark, d, 4), I.MESSAGE_SCHEMA), dim)
+    SC.await_all(SC.start_resample(source, table, new_path(spark, "checkpoint"), ["1h"], trigger=None))
+    return table.read(spark)
+
+
+@query("t7_raw_topic_new_symbols", all_candles_sql(C.INTERVALS))
+def t7_raw(spark, d):
+    # three files with shuffled times, one per trigger; two symbols of three are unknown in the
+    # first trigger, one of three in the second
+    session = stream_session(spark)
+    table, kept = tables.fact_klines(new_path(spark, "from-raw")), new_path(spark, "waiting")
+    whole = materialize(I.dim(spark, d), "dim")
+    triggers = []
+
+    def known(_):
+        triggers.append(len(triggers))
+        return whole.filter(F.col("symbol_id") % 3 < len(triggers))
+
+    source = read_folder(session, _raw_messages(spark, d, 3), I.MESSAGE_SCHEMA, files_per_trigger=1)
+    raw.start_raw(source, known, table, kept, new_path(spark, "checkpoint"), trigger=None).awaitTermination()
+    return table.read(spark)
+
+
 def _messages(session, spark, d) -> DataFrame:
     """events as raw trade messages; those of high value are no JSON objects."""
     rows = trade_rows(spark, d)
@@ -464,6 +530,35 @@ def t5(spark, d):
         F.lit(late).cast("long").alias("late"), F.count(F.lit(1)).alias("windows"), F.sum("volume_quote").alias("volume"))
 
 
+@query("t5_failed_query", all_candles_sql(["1h", "4h"]))
+def t5_failed(spark, d):
+    # the sink of one of two queries fails: the wait ends with its error and
+    # both stop; started again from their checkpoints, they leave what they would have left
+    session = stream_session(spark)
+    rows = _candles(session, spark, d, 3)
+    table, marks = tables.fact_klines(new_path(spark, "stream-fact")), new_path(spark, "checkpoint")
+    write, down = SC.upsert_batches(table), [True]
+
+    def failing(batch, n):
+        if down:
+            raise RuntimeError("sink is down")
+        write(batch, n)
+
+    def start(code, sink):
+        return SC.start_windows(rows, code, sink, marks, trigger=None)
+
+    queries = [start("1h", write), start("4h", failing)]
+    try:
+        SC.await_all(queries)
+        raise AssertionError("the error was lost")
+    except StreamingQueryException as error:
+        assert "sink is down" in str(error)
+    assert not any(query.isActive for query in queries)
+    down.clear()
+    SC.await_all([start("1h", write), start("4h", failing)])
+    return table.read(spark)
+
+
 @query("t4_late_table", f"WITH {TICKS}, {candles_sql('1h')} {candle_columns('1h')}")
 def t4_late(spark, d):
     # four files with shuffled times, one per trigger: what is behind the watermark goes to the

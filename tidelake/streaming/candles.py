@@ -15,6 +15,8 @@ from tidelake.sinks.upserts import COMPACT_EVERY, UpsertLog, log_batches
 # fixed values: accepted lateness and trigger period
 LATENESS = "2 minutes"
 TRIGGER = "30 seconds"
+# Seconds in which a failure is noticed at the latest.
+POLL = 1.0
 
 
 def closed(candles_1m: DataFrame) -> DataFrame:
@@ -57,6 +59,25 @@ def _started(writer, trigger: str | None) -> StreamingQuery:
     return writer.trigger(processingTime=trigger).start()
 
 
+def start_windows(
+    candles_1m: DataFrame,
+    code: str,
+    write,
+    checkpoints: str,
+    trigger: str | None = TRIGGER,
+    lateness: str = LATENESS,
+) -> StreamingQuery:
+    """The query of one interval, into the foreachBatch callback ``write``."""
+    writer = (
+        windowed(candles_1m, code, lateness)
+        .writeStream.queryName(f"resample_{code}")
+        .outputMode("update")
+        .option("checkpointLocation", f"{checkpoints}/{code}")
+        .foreachBatch(write)
+    )
+    return _started(writer, trigger)
+
+
 def start_resample(
     candles_1m: DataFrame,
     table: KeyedTable | UpsertLog,
@@ -79,14 +100,7 @@ def start_resample(
             write = log_batches(table, f"resample_{code}", compact_every)
         else:
             write = upsert_batches(table, rules)
-        writer = (
-            windowed(candles_1m, code, lateness)
-            .writeStream.queryName(f"resample_{code}")
-            .outputMode("update")
-            .option("checkpointLocation", f"{checkpoints}/{code}")
-            .foreachBatch(write)
-        )
-        queries.append(_started(writer, trigger))
+        queries.append(start_windows(candles_1m, code, write, checkpoints, trigger, lateness))
     return queries
 
 
@@ -96,9 +110,16 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> None:
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
-    """For draining queries: wait for each and raise the first error."""
-    for query in queries:
-        query.awaitTermination()
+    """For draining queries: wait for each. The first one that fails stops the others, which
+    can go on from their checkpoints, and its error is raised at once, whichever it is."""
+    try:
+        running = list(queries)
+        while running:
+            # a finished query tells its error when it is waited for
+            running = [query for query in running if not query.awaitTermination(POLL / len(running))]
+    finally:
+        for query in queries:
+            query.stop()
 
 
 def dropped_late_rows(query: StreamingQuery) -> int:
