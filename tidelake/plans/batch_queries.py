@@ -17,7 +17,8 @@ from tidelake.plans import inputs as I
 from tidelake.plans.catalog import (
     CODES, TICKS, TRADES, all_candles_sql, candle_columns, candles_sql, half_up, query,
 )
-from tidelake.session import materialize
+from tidelake.session import materialize, new_path
+from tidelake.sinks import tables
 
 STAMP = "2024-02-01 00:00:00"
 
@@ -307,17 +308,17 @@ def p1(spark, d):
     return contract.kline_facts(dims.with_symbol_id(raw, dim))
 
 
+TICKER_FACTS_SQL = f"""WITH {TICKS}, {I.TICKER_HOURS}
+SELECT symbol_id, hour AS snapshot_time, CAST(last - first AS DOUBLE) AS price_change,
+  CAST(percent AS DOUBLE) AS price_change_percent, CAST(last AS DOUBLE) AS last_price, CAST(high AS DOUBLE) AS high_price,
+  CAST(low AS DOUBLE) AS low_price, CAST(n AS DOUBLE) AS volume_base_24h, CAST(total AS DOUBLE) AS volume_quote_24h,
+  n AS trade_count, TIMESTAMP '{STAMP}' AS ingested_at
+FROM tickers"""
+
+
 @query(
     "p2_ticker_projection",
-    f"""WITH {TICKS}
-SELECT symbol_id, date_trunc('hour', ts) AS snapshot_time,
-  CAST(arg_max(price, ts) - arg_min(price, ts) AS DOUBLE) AS price_change,
-  CAST(1.5 AS DOUBLE) AS price_change_percent,
-  CAST(arg_max(price, ts) AS DOUBLE) AS last_price, CAST(max(price) AS DOUBLE) AS high_price,
-  CAST(min(price) AS DOUBLE) AS low_price, CAST(count(*) AS DOUBLE) AS volume_base_24h,
-  CAST(sum(price) AS DOUBLE) AS volume_quote_24h, count(*) AS trade_count,
-  TIMESTAMP '{STAMP}' AS ingested_at
-FROM ticks GROUP BY symbol_id, date_trunc('hour', ts)""",
+    TICKER_FACTS_SQL, price_change_percent=3,
 )
 def p2(spark, d):
     dim = materialize(I.dim(spark, d), "dim")
@@ -475,7 +476,12 @@ def f3(spark, d):
 
 @query("f4_interval_filter", f"WITH {TICKS}, {candles_sql('1d')} {candle_columns('1d')}")
 def f4(spark, d):
-    return filters.of_interval(C.resample_all(I.candles_1m(spark, d)), "1d")
+    # of a stored table, so the folders of the other intervals are not opened
+    table = tables.fact_klines(new_path(spark, "fact"))
+    hours = C.resample(I.candles_1m(spark, d), "1h")
+    longer = C.resample_all(hours, [i for i in C.TARGETS if C.INTERVALS[i] > 3_600])
+    table.upsert(longer)
+    return filters.of_interval(table.read(spark), "1d")
 
 
 _TICKER_SQL = f"""{TICKS}, {CODES}, tick24 AS (
@@ -624,12 +630,15 @@ def d1(spark, d):
 
 @query(
     "d2_code_lookup",
-    f"WITH {CODES} SELECT symbol_code AS code, symbol_id FROM codes",
+    f"""WITH {CODES} SELECT symbol_id, count(*) AS n, sum(event_id) AS ids
+FROM events JOIN codes ON user_id = symbol_id WHERE symbol_code NOT LIKE '%XYZ' GROUP BY 1""",
 )
 def d2(spark, d):
-    dim = materialize(I.dim(spark, d), "dim")
-    wanted = dim.select(F.col("symbol_code").alias("symbol"), F.col("symbol_code").alias("code"))
-    return dims.with_symbol_id(wanted, dim)
+    # events carry the code; symbols without a known quote asset are not in the dimension
+    dim = materialize(I.dim(spark, d).filter("symbol_code NOT LIKE '%XYZ'"), "dim")
+    events = I.table(spark, d, "events").select(I.code_of(F.col("user_id")).alias("symbol"), "event_id")
+    return dims.with_symbol_id(events, dim).groupBy("symbol_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 
 
 # ------------------------------------------------------------------------------- U1

@@ -57,34 +57,68 @@ def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.select(F.col("user_id").alias("symbol_id"), code_of(F.col("user_id")).alias("symbol_code"))
 
 
+def _half_up(number: str, by: str) -> Column:
+    """number / by to the nearest integer, of integers; NULL if ``by`` is 0."""
+    return F.expr(f"""(2 * {number} + {by} - pmod(2 * {number} + {by}, nullif(2 * {by}, 0))) div nullif(2 * {by}, 0)""")
+
+
+def _text(cents: Column, places: int) -> Column:
+    return (cents.cast("decimal(24,0)") / F.lit(10**places)).cast(f"decimal(28,{places})").cast("string")
+
+
 def ticker_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ticker record (text numerics, millisecond times) per user and hour of events."""
     rows = ticks(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "ts"))
     text = "string"
-    return (
-        rows.groupBy("symbol_id", "hour")
-        .agg(
-            F.min_by("price", "ts").alias("first"),
-            F.max_by("price", "ts").alias("last"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.sum("price").alias("total"),
-            F.count(F.lit(1)).alias("count"),
-        )
-        .select(
-            code_of(F.col("symbol_id")).alias("symbol"),
-            (F.col("last") - F.col("first")).cast(text).alias("priceChange"),
-            F.lit("1.5").alias("priceChangePercent"),
-            F.col("last").cast(text).alias("lastPrice"),
-            F.col("high").cast(text).alias("highPrice"),
-            F.col("low").cast(text).alias("lowPrice"),
-            F.col("count").cast(text).alias("volume"),
-            F.col("total").cast(text).alias("quoteVolume"),
-            (F.unix_millis("hour") + 1_234).alias("openTime"),
-            (F.unix_millis("hour") + 86_400_000).alias("closeTime"),
-            "count",
-        )
+    # of fixed width, to stay with the hash aggregate
+    order = F.unix_micros("ts").cast("decimal(18,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)") + F.col("event_id")
+    buys = F.count_if("is_taker_buy")
+    hours = rows.withColumn("_at", order).groupBy("symbol_id", "hour").agg(
+        F.min_by("price", "_at").alias("first"),
+        F.max_by("price", "_at").alias("last"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.sum("price").alias("total"),
+        F.count(F.lit(1)).alias("count"),
+        buys.alias("buys"),
+        F.min("event_id").alias("firstId"),
+        F.max("event_id").alias("lastId"),
     )
+    cents = {f"{n}_cents": (F.col(n) * 100).cast("long") for n in ("first", "last", "total")}
+    return hours.withColumns(cents).select(
+        code_of(F.col("symbol_id")).alias("symbol"),
+        (F.col("last") - F.col("first")).cast(text).alias("priceChange"),
+        _text(_half_up("(100000 * (last_cents - first_cents))", "first_cents"), 3).alias("priceChangePercent"),
+        _text(_half_up("total_cents", "count"), 2).alias("weightedAvgPrice"),
+        F.col("first").cast(text).alias("prevClosePrice"),
+        F.col("last").cast(text).alias("lastPrice"),
+        F.lit("1").alias("lastQty"),
+        F.col("low").cast(text).alias("bidPrice"),
+        (F.col("count") - F.col("buys")).cast(text).alias("bidQty"),
+        F.col("high").cast(text).alias("askPrice"),
+        F.col("buys").cast(text).alias("askQty"),
+        F.col("first").cast(text).alias("openPrice"),
+        F.col("high").cast(text).alias("highPrice"),
+        F.col("low").cast(text).alias("lowPrice"),
+        F.col("count").cast(text).alias("volume"),
+        F.col("total").cast(text).alias("quoteVolume"),
+        (F.unix_millis("hour") + 1_234).alias("openTime"),
+        (F.unix_millis("hour") + 86_400_000).alias("closeTime"),
+        "firstId",
+        "lastId",
+        "count",
+    )
+
+
+# The same in SQL, behind TICKS: prices as decimals, the two quotients as doubles.
+TICKER_HOURS = """hours AS (
+  SELECT symbol_id, date_trunc('hour', ts) AS hour, arg_min(price, tick_order) AS first, arg_max(price, tick_order) AS last,
+    max(price) AS high, min(price) AS low, sum(price) AS total, count(*) AS n, count(*) FILTER (taker) AS buys,
+    min(event_id) AS first_id, max(event_id) AS last_id FROM ticks GROUP BY 1, 2),
+cents AS (SELECT *, 2 * CAST(100000 * (last - first) * 100 AS BIGINT) + CAST(first * 100 AS BIGINT) AS up,
+  nullif(2 * CAST(first * 100 AS BIGINT), 0) AS down, 2 * CAST(total * 100 AS BIGINT) + n AS mean_up FROM hours),
+tickers AS (SELECT *, CAST((up - (up % down + down) % down) // down AS BIGINT) / 1000.0 AS percent,
+  CAST((mean_up - (mean_up % (2 * n) + 2 * n) % (2 * n)) // (2 * n) AS BIGINT) / 100.0 AS mean FROM cents)"""
 
 
 def kline_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake import schemas
@@ -13,7 +13,7 @@ from tidelake.operators import candles as C
 from tidelake.operators import contract, quality, ranking
 from tidelake.plans import inputs as I
 from tidelake.plans.batch import Inputs, Warehouse, run_batch
-from tidelake.plans.batch_queries import _TICKER_SQL, _stamp, _tickers
+from tidelake.plans.batch_queries import _TICKER_SQL, TICKER_FACTS_SQL, _stamp, _tickers
 from tidelake.plans.catalog import (
     CODES, TICKS, TRADES, all_candles_sql, candle_columns, candles_sql, query,
 )
@@ -86,43 +86,42 @@ def _kline_csv_columns():
     return schemas.CSV_KLINES.fieldNames()
 
 
+def _trade_files(spark, d) -> str:
+    """A CSV file of trades per symbol, named after it, which is the only place of the symbol."""
+    rows = I.trade_records(spark, d)
+    by_symbol, path = new_path(spark, "trades-by-symbol"), new_path(spark, "trades-csv")
+    columns = ["symbol", *schemas.CSV_TRADES.fieldNames()]
+    rows.select(*columns).repartition("symbol").write.option("header", "true").partitionBy("symbol").csv(by_symbol)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    disk = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    disk.mkdirs(Path(path))
+    for status in disk.globStatus(Path(f"{by_symbol}/symbol=*/part-*")):
+        symbol = status.getPath().getParent().getName().partition("=")[2]
+        disk.rename(status.getPath(), Path(f"{path}/trades_{symbol}_30d.csv"))
+    return f"{path}/trades_*_*d.csv"
+
+
 @query(
     "s3_csv_scan_trades",
-    f"""WITH {TRADES} SELECT symbol_id, count(*) AS n, CAST(sum(q) AS DOUBLE) AS total,
-count(*) FILTER (maker) AS makers FROM trades GROUP BY 1""",
+    """SELECT l_suppkey AS symbol_id, l_orderkey AS trade_id, CAST(l_shipdate AS TIMESTAMP) AS trade_time,
+  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price, CAST(CAST(l_quantity AS DECIMAL(10,0)) AS DOUBLE) AS qty_base,
+  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_quantity AS DECIMAL(10,0)) AS DOUBLE) AS quote_qty,
+  l_returnflag = 'R' AS is_buyer_maker, true AS is_best_match
+FROM lineitem""",
 )
 def s3(spark, d):
-    # The symbol goes into the id here; taking it from a file name is s10.
-    rows = I.trade_records(spark, d).withColumn(
-        "trade_id", F.regexp_extract("symbol", "^U([0-9]+)[A-Z]", 1).cast("long")
-    )
-    raw = files.load_csv(
-        spark, _csv(rows.select(*schemas.CSV_TRADES.fieldNames()), "trades-csv"), schemas.CSV_TRADES
-    )
-    facts = contract.trade_facts(raw.withColumn("symbol_id", F.col("trade_id")))
-    return facts.groupBy("symbol_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("quote_qty").alias("total"),
-        F.count_if("is_buyer_maker").alias("makers"),
-    )
+    raw = files.load_trades_csv(spark, _trade_files(spark, d), schemas.CSV_TRADES)
+    number = F.regexp_extract("symbol", "^U([0-9]+)[A-Z]", 1).cast("long")
+    rows = contract.recent_trades(raw.withColumn("symbol_id", number), _stamp())
+    return rows.drop("ingested_at")
 
 
-@query(
-    "s4_csv_scan_ticker",
-    f"""WITH {TICKS} SELECT symbol_id, date_trunc('hour', ts) AS snapshot_time,
-  CAST(max(price) AS DOUBLE) AS high_price, CAST(sum(price) AS DOUBLE) AS volume_quote_24h,
-  count(*) AS trade_count FROM ticks GROUP BY 1, 2""",
-)
+@query("s4_csv_scan_ticker", TICKER_FACTS_SQL, price_change_percent=3)
 def s4(spark, d):
-    rows = I.ticker_records(spark, d)
-    columns = [
-        F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in schemas.CSV_TICKER
-    ]
-    raw = files.load_csv(spark, _csv(rows.select(*columns), "ticker-csv"), schemas.CSV_TICKER)
+    rows = I.ticker_records(spark, d).select(*schemas.CSV_TICKER.fieldNames())
+    raw = files.load_csv(spark, _csv(rows, "ticker-csv"), schemas.CSV_TICKER)
     number = F.regexp_extract("symbol", "^U([0-9]+)[A-Z]", 1).cast("long")
-    return contract.ticker_facts(raw.withColumn("symbol_id", number), _stamp()).select(
-        "symbol_id", "snapshot_time", "high_price", "volume_quote_24h", "trade_count"
-    )
+    return contract.ticker_facts(raw.withColumn("symbol_id", number), _stamp())
 
 
 # ------------------------------------------------------------------- S5, S6, S10 - S13
@@ -180,16 +179,21 @@ def s12(spark, d):
 
 @query(
     "s13_input_audit",
-    """SELECT 'klines' AS dataset, CAST(count(*) > 0 AS BOOLEAN) AS present FROM events
-UNION ALL SELECT 'ticker', false UNION ALL SELECT 'trades', count(*) > 0 FROM lineitem""",
+    """SELECT 'klines' AS dataset, count(DISTINCT CAST(ts AS DATE)) AS files FROM events
+UNION ALL SELECT 'ticker', 0 UNION ALL SELECT 'trades', count(DISTINCT l_returnflag) FROM lineitem""",
 )
 def s13(spark, d):
-    audit = files.audit_inputs(spark, {
-        "klines": f"{d}/events.parquet",
-        "ticker": f"{d}/ticker_24h_*.csv",
-        "trades": f"{d}/lineitem*.parquet",
+    # a file per day of events, none of tickers, and one per return flag of line items
+    path = new_path(spark, "inputs")
+    days = I.table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    days.repartition("day").write.partitionBy("day").parquet(f"{path}/klines")
+    flags = I.table(spark, d, "lineitem").select("l_orderkey", "l_returnflag")
+    flags.repartition("l_returnflag").write.partitionBy("l_returnflag").parquet(f"{path}/trades")
+    return files.audit_inputs(spark, {
+        "klines": f"{path}/klines/day=*/*.parquet",
+        "ticker": f"{path}/ticker_24h_*.csv",
+        "trades": f"{path}/trades/*/*.parquet",
     })
-    return audit.select("dataset", (F.col("files") > 0).alias("present"))
 
 
 # ------------------------------------------------------------------------- K2 - K5
@@ -257,6 +261,11 @@ def k5_table(spark, d):
 _WIRE_SQL = f"WITH {TICKS}, {candles_sql('1m')} {candle_columns('1m')}"
 
 
+def _array(one: Column) -> Column:
+    """JSON texts of a group as one JSON array."""
+    return F.concat(F.lit("["), F.concat_ws(",", F.collect_list(one)), F.lit("]"))
+
+
 def _wire_facts(parsed: DataFrame) -> DataFrame:
     named = contract.normalise(parsed, "klines")
     return contract.kline_facts(named.withColumn("symbol_id", F.col("symbol").cast("long")))
@@ -283,20 +292,17 @@ def p10_pushed(spark, d):
 
 @query("p10_fetched_klines", _WIRE_SQL)
 def p10_fetched(spark, d):
-    # one response per candle keeps the derived text row-wise
+    # a response holds the candles of one symbol and day
     c = I.candles_1m(spark, d)
     order = (
         F.unix_millis("open_time"), *[F.col(f"{n}_price") for n in ("open", "high", "low", "close")],
         F.col("volume_base"), F.unix_millis("close_time"), F.col("volume_quote"),
         F.col("num_trades"), F.col("volume_base"), F.col("taker_buy_quote_volume"), F.lit("0"),
     )
-    quoted = F.concat_ws('","', *[v.cast("string") for v in order])
-    payload = F.concat(F.lit('[["'), quoted, F.lit('"]]'))
-    rows = c.select(
-        F.col("symbol_id").cast("string").alias("symbol"),
-        F.col("interval_code").alias("interval"), payload.alias("payload"),
-    )
-    return _wire_facts(contract.parse_fetched_klines(rows))
+    one = F.concat(F.lit('["'), F.concat_ws('","', *[v.cast("string") for v in order]), F.lit('"]'))
+    rows = c.groupBy("symbol_id", "interval_code", F.to_date("open_time").alias("day")).agg(_array(one).alias("payload"))
+    return _wire_facts(contract.parse_fetched_klines(rows.select(
+        F.col("symbol_id").cast("string").alias("symbol"), F.col("interval_code").alias("interval"), "payload")))
 
 
 @query(
@@ -321,51 +327,61 @@ def p10_trades(spark, d):
 
 @query(
     "p10_fetched_trades",
-    """SELECT event_id AS trade_id, event_type AS symbol, epoch_us(ts) // 1000 AS time, value AS price,
-  event_type = 'view' AS is_buyer_maker FROM events""",
+    """SELECT event_id AS trade_id, event_type AS symbol, epoch_us(ts) // 1000 AS time, value AS price, '3' AS qty,
+  event_id + 1 AS first_trade_id, event_id + 2 AS last_trade_id, event_type = 'view' AS is_buyer_maker,
+  event_id % 2 = 0 AS is_best_match, 'rest_agg_trade' AS source FROM events""",
 )
 def p10_fetched_trades(spark, d):
+    # responses are pages of a symbol's trades, of at most 1 000 numbers each
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     one = F.to_json(F.struct(
         F.col("event_id").alias("a"), F.col("value").cast("string").alias("p"), F.lit("3").alias("q"),
-        F.col("event_id").alias("f"), F.col("event_id").alias("l"), ms.alias("T"),
-        (F.col("event_type") == "view").alias("m"), F.lit(True).alias("M"),
+        (F.col("event_id") + 1).alias("f"), (F.col("event_id") + 2).alias("l"), ms.alias("T"),
+        (F.col("event_type") == "view").alias("m"), (F.col("event_id") % 2 == 0).alias("M"),
     ))
-    rows = I.table(spark, d, "events").select(
-        F.col("event_type").alias("symbol"), F.concat(F.lit("["), one, F.lit("]")).alias("payload")
-    )
-    return contract.parse_fetched_trades(rows).select(
-        "trade_id", "symbol", "time", F.col("price").cast("double").alias("price"), "is_buyer_maker"
-    )
+    rows = I.table(spark, d, "events").groupBy(
+        F.col("event_type").alias("symbol"), F.floor(F.col("event_id") / 1_000).alias("page")
+    ).agg(_array(one).alias("payload"))
+    return contract.parse_fetched_trades(rows).withColumn("price", F.col("price").cast("double"))
 
 
-_TICKER_WIRE = f"""WITH {TICKS}, {CODES}, h AS (SELECT symbol_id, date_trunc('hour', ts) AS hour, max(price) AS high,
-  sum(price) AS total, count(*) AS n FROM ticks GROUP BY 1, 2)
-SELECT symbol_code AS symbol, epoch_ms(hour) + 1234 AS open_time, CAST(high AS DOUBLE) AS high_price,
-  CAST(total AS DOUBLE) AS quote_volume, n AS num_trades FROM h JOIN codes USING (symbol_id)"""
+_TICKER_WIRE = f"""WITH {TICKS}, {CODES}, {I.TICKER_HOURS}
+SELECT symbol_code AS symbol, {{event_time}} AS event_time, CAST(last - first AS DOUBLE) AS price_change,
+  CAST(percent AS DOUBLE) AS price_change_pct, CAST(mean AS DOUBLE) AS weighted_avg_price,
+  CAST(first AS DOUBLE) AS prev_close_price, CAST(last AS DOUBLE) AS last_price, 1.0::DOUBLE AS last_qty,
+  CAST(low AS DOUBLE) AS bid_price, CAST(high AS DOUBLE) AS ask_price, CAST(first AS DOUBLE) AS open_price,
+  CAST(high AS DOUBLE) AS high_price, CAST(low AS DOUBLE) AS low_price, CAST(n AS DOUBLE) AS volume,
+  CAST(total AS DOUBLE) AS quote_volume, epoch_ms(hour) + 1234 AS open_time, epoch_ms(hour) + 86400000 AS close_time,
+  n AS num_trades, '{{source}}' AS source
+FROM tickers JOIN codes USING (symbol_id)"""
+_TICKER_NUMBERS = [f for f in contract.TEXT_FIELDS["ticker"] if f in schemas.RAW_TICKER.fieldNames()]
 
 
 def _ticker_columns(df: DataFrame) -> DataFrame:
-    return df.select(
-        "symbol", "open_time", F.col("high_price").try_cast(schemas.AMOUNT).alias("high_price"),
-        F.col("quote_volume").try_cast(schemas.AMOUNT).alias("quote_volume"), "num_trades",
-    )
+    wide = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schemas.RAW_TICKER if f.name != "timestamp"]
+    return df.select(*wide).withColumns({n: F.col(n).try_cast(schemas.AMOUNT) for n in _TICKER_NUMBERS})
 
 
-@query("p10_fetched_tickers", _TICKER_WIRE)
+@query(
+    "p10_fetched_tickers", _TICKER_WIRE.format(event_time="CAST(NULL AS BIGINT)", source="rest_snapshot"), price_change_pct=3,
+)
 def p10_fetched_tickers(spark, d):
+    # a response holds the tickers of all symbols at one time
     t = I.ticker_records(spark, d)
-    payload = F.concat(F.lit("["), F.to_json(F.struct(*t.columns)), F.lit("]"))
-    return _ticker_columns(contract.parse_fetched_tickers(t.select(payload.alias("payload"))))
+    rows = t.groupBy("openTime").agg(_array(F.to_json(F.struct(*t.columns))).alias("payload"))
+    return _ticker_columns(contract.parse_fetched_tickers(rows))
 
 
-@query("p10_pushed_tickers", _TICKER_WIRE)
+@query(
+    "p10_pushed_tickers", _TICKER_WIRE.format(event_time="epoch_ms(hour) + 86400000", source="websocket"), price_change_pct=3)
 def p10_pushed_tickers(spark, d):
     t = I.ticker_records(spark, d)
     short = {
-        "s": "symbol", "E": "closeTime", "p": "priceChange", "P": "priceChangePercent",
-        "c": "lastPrice", "h": "highPrice", "l": "lowPrice", "v": "volume", "q": "quoteVolume",
-        "O": "openTime", "C": "closeTime", "n": "count",
+        "s": "symbol", "E": "closeTime", "p": "priceChange", "P": "priceChangePercent", "w": "weightedAvgPrice",
+        "x": "prevClosePrice", "c": "lastPrice", "Q": "lastQty", "b": "bidPrice", "B": "bidQty", "a": "askPrice",
+        "A": "askQty", "o": "openPrice", "h": "highPrice", "l": "lowPrice", "v": "volume", "q": "quoteVolume",
+        "O": "openTime", "C": "closeTime", "F": "firstId", "L": "lastId", "n": "count",
     }
     payload = F.to_json(F.struct(*[F.col(name).alias(key) for key, name in short.items()]))
     return _ticker_columns(contract.parse_pushed_tickers(t.select(payload.alias("payload"))))
