@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import D, T, candle, candles, plan_of, values
 from tidelake.operators import candles as C
+from tidelake.operators.filters import of_interval
+from tidelake.sinks import tables
 
 TICK = "symbol_id long, ts timestamp, price decimal(18,2), qty decimal(18,2), is_taker_buy boolean, id long"
 
@@ -83,3 +85,15 @@ def test_plans_keep_hash_aggregates_and_two_exchanges(spark, tmp_path):
     assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 2
     ticks = spark.createDataFrame([], TICK)
     assert "SortAggregate" not in plan_of(C.from_ticks(ticks, tie_break="id"))
+
+
+def test_one_interval_of_a_stored_table_reads_its_folders_only(spark, tmp_path):
+    table = tables.fact_klines(str(tmp_path / "fact"))
+    minute = candles(spark, *[candle(s, f"2024-01-{day:02d}T00:00:00") for s in (1, 2) for day in (1, 2, 3)])
+    table.upsert(minute.unionByName(C.resample_all(minute, ["1h", "1d"])))
+    daily = of_interval(table.read(spark), "1d")
+    assert len(daily.collect()) == 6
+    scan = daily._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    folders = spark.read.parquet(table.path).select("interval_code", "open_date").distinct()
+    assert folders.count() > 1
+    assert scan.metrics().get("numPartitions").get().value() == folders.filter("interval_code = '1d'").count()

@@ -464,20 +464,21 @@ def d5_gate(spark, d):
 
 @query(
     "k9_rolled_files",
-    """SELECT symbol, sum(n) AS n, CAST(sum(ceil(n / 3.0)) AS BIGINT) AS files FROM (
-  SELECT event_type AS symbol, CAST(ts AS DATE), hour(ts) < 12, count(*) AS n FROM events WHERE value < 100 GROUP BY 1, 2, 3)
-GROUP BY 1""",
+    """SELECT event_type AS symbol, count(*) AS n, sum(event_id) AS ids, true AS within_limit
+FROM events WHERE value < 100 GROUP BY 1""",
 )
 def k9(spark, d):
-    # one input file, so one task: a file closes after three records of one key
+    # a file closes after two records of one key, however many tasks write
     session = stream_session(spark)
     root = new_path(spark, "lake")
     SC.await_all(landing.start_landing(
         {"trades": _messages(session, spark, d)}, root, new_path(spark, "checkpoint"), "SILVER_ONLY",
-        trigger=None, records_per_file=3))
+        trigger=None, records_per_file=2))
     rows = spark.read.schema(files.with_layout(schemas.RAW_TRADE)).parquet(f"{root}/silver/trades")
-    return rows.select("symbol", F.input_file_name().alias("file")).groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("file").alias("files"))
+    by_file = rows.groupBy("symbol", F.input_file_name().alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("trade_id").alias("ids"))
+    return by_file.groupBy("symbol").agg(
+        F.sum("n").alias("n"), F.sum("ids").alias("ids"), (F.max("n") <= 2).alias("within_limit"))
 
 
 @query(
