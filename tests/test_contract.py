@@ -139,3 +139,10 @@ def test_products_stay_exact(spark):
     df = spark.createDataFrame([("0.000000123456", "1000000"), ("70000.12", "1234.5"), ("x", "1")], "p string, q string")
     got = [r[0] for r in df.select(contract.times("p", "q")).collect()]
     assert got == [D("0.123456"), D("86415148.14"), None]
+
+
+def test_pushed_ticker_null_is_no_default(spark):
+    # a missing field has its default, one that is null stays NULL
+    rows = contract.parse_pushed_tickers(payloads(
+        spark, {"s": "A", "E": 1, "p": "2", "P": None}, {"s": "B", "E": 1, "p": "2"}, {"s": "C", "P": "3.5"})).collect()
+    assert [(r.symbol, r.price_change, r.price_change_pct) for r in rows] == [("A", "2", None), ("B", "2", "0"), ("C", "0", "3.5")]

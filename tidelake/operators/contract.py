@@ -181,8 +181,9 @@ def _object(payload: Column) -> Column:
     return F.from_json(payload, "map<string,string>")
 
 
-def _text(field: Column, default: str | None = None) -> Column:
-    return field if default is None else F.coalesce(field, F.lit(default))
+def _text(message: Column, key: str, default: str) -> Column:
+    """The text under ``key``; ``default`` if the message lacks the key, NULL if it has null there."""
+    return F.when(F.map_contains_key(message, F.lit(key)), message[key]).otherwise(F.lit(default))
 
 
 def _long(field: Column) -> Column:
@@ -233,7 +234,7 @@ def parse_pushed_klines(df: DataFrame, payload: str = "payload") -> DataFrame:
         _long(k["t"]).alias("open_time"),
         _long(k["T"]).alias("close_time"),
         k["i"].alias("interval"),
-        *[_text(k[key], "0").alias(name) for key, name in PUSHED_KLINE_TEXT.items()],
+        *[_text(k, key, "0").alias(name) for key, name in PUSHED_KLINE_TEXT.items()],
         _zero(k["n"]).alias("num_trades"),
         F.coalesce(k["x"].try_cast("boolean"), F.lit(False)).alias("is_closed"),
         F.lit("websocket").alias("source"),
@@ -245,7 +246,7 @@ def parse_pushed_tickers(df: DataFrame, payload: str = "payload") -> DataFrame:
     return df.select(_object(F.col(payload)).alias("_m")).select(
         m["s"].alias("symbol"),
         _long(m["E"]).alias("event_time"),
-        *[_text(m[key], "0").alias(name) for key, name in PUSHED_TICKER_TEXT.items()],
+        *[_text(m, key, "0").alias(name) for key, name in PUSHED_TICKER_TEXT.items()],
         _long(m["O"]).alias("open_time"),
         _long(m["C"]).alias("close_time"),
         _zero(m["n"]).alias("num_trades"),
@@ -256,7 +257,7 @@ def parse_pushed_tickers(df: DataFrame, payload: str = "payload") -> DataFrame:
 def parse_pushed_trades(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Socket trades; the quote quantity is price times quantity."""
     m = F.col("_m")
-    price, qty = _text(m["p"], "0"), _text(m["q"], "0")
+    price, qty = _text(m, "p", "0"), _text(m, "q", "0")
     return df.select(_object(F.col(payload)).alias("_m")).select(
         m["s"].alias("symbol"),
         _long(m["E"]).alias("event_time"),

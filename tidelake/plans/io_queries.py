@@ -383,7 +383,8 @@ def p10_pushed_tickers(spark, d):
         "A": "askQty", "o": "openPrice", "h": "highPrice", "l": "lowPrice", "v": "volume", "q": "quoteVolume",
         "O": "openTime", "C": "closeTime", "F": "firstId", "L": "lastId", "n": "count",
     }
-    payload = F.to_json(F.struct(*[F.col(name).alias(key) for key, name in short.items()]))
+    # a percentage of a first price of 0 is sent as null
+    payload = F.to_json(F.struct(*[F.col(name).alias(key) for key, name in short.items()]), {"ignoreNullFields": "false"})
     return _ticker_columns(contract.parse_pushed_tickers(t.select(payload.alias("payload"))))
 
 
