@@ -97,6 +97,26 @@ def test_a_run_that_dies_before_the_release_is_repeated(spark, tmp_path, monkeyp
     assert raw.waiting(spark, kept, rows.schema).isEmpty()
 
 
+def test_waiting_folders_do_not_grow_with_symbols(spark, tmp_path):
+    table, kept = tables.fact_klines(str(tmp_path / "fact")), tmp_path / "waiting"
+    schema = raw.records(frame(spark)).schema
+
+    def apply(n, known, *messages):
+        raw.apply_raw(raw.records(frame(spark, *messages)), n, known, table, str(kept), ["1h"])
+
+    apply(0, dim(spark), *[long_message(f"S{i}", 0) for i in range(40)])
+    assert len([p for p in kept.rglob("*.parquet")]) <= 4
+    apply(1, dim(spark, S0=1), long_message("S1", 1))
+    for _ in range(2):      # delivered again after the release: what it was made from is still there
+        assert raw.waiting(spark, str(kept), schema).count() == 40
+        apply(1, dim(spark, S0=1), long_message("S1", 1))
+    apply(2, dim(spark, S0=1, S1=2))
+    assert raw.waiting(spark, str(kept), schema).count() == 38
+    assert sorted(p.name for p in kept.iterdir() if p.name.startswith("batch")) == ["batch=1", "batch=2"]
+    assert [r[:2] for r in minutes(table, spark)] == [
+        (1, T("2024-01-01T00:00:00")), (2, T("2024-01-01T00:00:00")), (2, T("2024-01-01T00:01:00"))]
+
+
 @pytest.mark.parametrize("bad", ["1h", "4h"])
 def test_the_query_that_fails_stops_the_other(spark, tmp_path, bad):
     df = candles(spark, candle(1, "2024-01-01T00:00:00"), candle(1, "2024-01-01T03:00:00"))

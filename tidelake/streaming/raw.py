@@ -1,6 +1,7 @@
 """Raw candle messages to stored candles in one stream, symbols resolved on the way.
 
-    waiting/symbol=<code>/batch=<id>/…   records of symbols that were unknown when they came
+    waiting/batch=<id>/…   records of symbols that were unknown when they came
+    waiting/_whole/<id>    that batch's folder also has what is left of all earlier ones
 
 Producers send the symbol's code, tables hold its id. The dimension grows while a stream runs,
 so :func:`start_raw` looks codes up anew in every trigger and keeps what it cannot resolve.
@@ -51,21 +52,44 @@ def resolved(messages: DataFrame, dim: DataFrame, payload: str = "value") -> Dat
     return facts(records(messages, payload), dim)
 
 
-def waiting(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """The records kept for unknown symbols, or None if there never were any."""
-    return _or_none(lambda: spark.read.schema(StructType(list(schema.fields)).add("batch", "long")).parquet(path))
-
-
-def _release(spark: SparkSession, path: str, codes: set[str]) -> None:
-    """Remove the folders of these symbols."""
+def _whole(spark: SparkSession, path: str) -> list[int]:
+    """The batches whose folder replaces all earlier ones."""
+    files, at = _files(spark, path)
+    marks, found = at(f"{path}/_whole"), []
+    if files.util().exists(marks):
+        listing = files.listStatus(marks)
+        while listing.hasNext():
+            name = listing.next().getPath().getName()
+            if name.isdigit():
+                found.append(int(name))
+    return sorted(found)
+
+
+def waiting(spark: SparkSession, path: str, schema: StructType, before: int | None = None) -> DataFrame | None:
+    """The records kept for unknown symbols, or None if there never were any; with ``before``
+    as they were ahead of that batch."""
+    rows = _or_none(lambda: spark.read.schema(StructType(list(schema.fields)).add("batch", "long")).parquet(path))
+    if rows is None:
+        return None
+    first = max((n for n in _whole(spark, path) if before is None or n < before), default=0)
+    rows = rows.filter(F.col("batch") >= first)
+    return rows if before is None else rows.filter(F.col("batch") < before)
+
+
+def _release(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Let the folder of this batch replace all earlier ones. Those that it was made from stay
+    until the next time, for a batch that is delivered again; older ones are removed."""
     files, at = _files(spark, path)
-    plain = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    listing = files.listStatus(at(path))
-    while listing.hasNext():
-        folder = listing.next().getPath()
-        name, _, value = folder.getName().partition("=")
-        if name == "symbol" and plain(value) in codes:
-            files.delete(folder, True)
+    first = max((n for n in _whole(spark, path) if n < batch_id), default=0)
+    flag = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_whole/{batch_id}")
+    flag.getFileSystem(spark._jsc.hadoopConfiguration()).create(flag, True).close()
+    for folder in (path, f"{path}/_whole"):
+        listing = files.listStatus(at(folder))
+        while listing.hasNext():
+            found = listing.next().getPath()
+            number = found.getName().removeprefix("batch=")
+            if number.isdigit() and int(number) < first:
+                files.delete(found, True)
 
 
 def apply_raw(
@@ -73,29 +97,28 @@ def apply_raw(
 ) -> None:
     """Store one batch of :func:`records`, and what was kept of symbols known by now.
 
-    Records of unknown symbols go to folders of their symbol and batch, so a batch that is
-    delivered again writes the same folders. They are removed only after their candles are
-    stored; a run that dies in between stores them again, which changes nothing.
+    Records of unknown symbols go to the batch's folder, so a batch that is delivered again
+    writes the same folder; their number of symbols makes no difference. Once some of what
+    waits is known, the folder takes the rest of all earlier ones too and replaces them after
+    the candles are stored; a run that dies in between stores them again, which changes nothing.
     """
     spark = rows.sparkSession
     with stored(rows, "raw") as batch, stored(dim.select("symbol_id", "symbol_code"), "dim") as known:
-        strange = batch.join(
-            broadcast_checked(known.select(F.col("symbol_code").alias("symbol"))), "symbol", "left_anti")
+        codes = broadcast_checked(known.select(F.col("symbol_code").alias("symbol")))
+        strange = batch.join(codes, "symbol", "left_anti")
+        before = waiting(spark, kept, batch.schema, batch_id)
+        released = before is not None and not before.join(codes, "symbol", "left_semi").isEmpty()
+        if released:
+            before = before.drop("batch")
+            strange = strange.unionByName(before.join(codes, "symbol", "left_anti"))
+            batch = batch.unionByName(before.join(codes, "symbol", "left_semi"))
         (
-            strange.withColumn("batch", F.lit(batch_id).cast("long")).hint("rebalance", "symbol", "batch")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("symbol", "batch").parquet(kept)
+            strange.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .parquet(f"{kept}/batch={batch_id}")
         )
-        before, codes = waiting(spark, kept, batch.schema), set()
-        if before is not None:
-            # as many codes as folders to remove
-            names = before.select("symbol").distinct().join(known, F.col("symbol") == F.col("symbol_code"), "left_semi")
-            codes = {r[0] for r in names.collect()}
-        if codes:
-            batch = batch.unionByName(before.filter(F.col("symbol").isin(list(codes))).drop("batch"))
         apply_batch(facts(batch, known), table, targets)
-        if codes:
-            _release(spark, kept, codes)
+        if released:
+            _release(spark, kept, batch_id)
 
 
 def start_raw(
