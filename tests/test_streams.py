@@ -177,6 +177,17 @@ def test_files_roll_by_record_count(spark, tmp_path):
     assert len(files) == 3 and all(".snappy." in p.name for p in files)
 
 
+def test_gathered_files_are_as_few_as_their_limit_allows(spark, tmp_path):
+    # the records of both keys come from several tasks
+    texts = [f'{{"symbol": "{"AB"[i % 2]}", "event_time": 1704067200000, "num_trades": {i}}}' for i in range(50)]
+    path = folder(spark, tmp_path, *[messages(spark, *texts[n::5]) for n in range(5)])
+    SC.await_all(landing.start_landing(
+        {"ticker": read_folder(spark, path, MESSAGE)}, str(tmp_path / "lake"), str(tmp_path / "cp"), "SILVER_ONLY",
+        trigger=None, records_per_file=10, gather=True))
+    silver = spark.read.parquet(str(tmp_path / "lake" / "silver" / "ticker"))
+    assert len(silver.inputFiles()) == 6 and silver.count() == 50
+
+
 def test_restarted_landing_adds_nothing(spark, tmp_path):
     lake = land(spark, tmp_path, "SILVER_ONLY", '{"symbol": "A"}')
     source = read_folder(spark, str(tmp_path / "source"), MESSAGE)
