@@ -436,3 +436,11 @@ def test_packing_keeps_rows_and_leaves_few_files(spark, tmp_path, monkeypatch):
     notes = [(p, s) for p, _, s in compaction.packed_table(spark, root, "silver", "trades").listed(spark) if s in ("packed", "leaving")]
     assert notes == [("0-4", "packed"), ("2-2", "leaving")]
     assert not landing.land_batch(hourly(spark, 0, 0), 0, "trades", root)      # delivered again
+
+
+def test_message_files_grow_in_number_not_in_size(spark, monkeypatch):
+    from tidelake.plans import inputs
+
+    monkeypatch.setattr(inputs, "ROWS_PER_FILE", 300)
+    path, each = inputs.versioned_messages(spark, "/root/testdata/sf0.001")
+    assert each > 1 and len(spark.read.parquet(path).inputFiles()) == 3 * each
