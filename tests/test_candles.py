@@ -87,6 +87,16 @@ def test_plans_keep_hash_aggregates_and_two_exchanges(spark, tmp_path):
     assert "SortAggregate" not in plan_of(C.from_ticks(ticks, tie_break="id"))
 
 
+def test_candles_of_a_task_do_not_grow_with_their_number(spark, monkeypatch):
+    monkeypatch.setattr(C, "ROWS_PER_TASK", 50)
+    df = candles(spark, *random_minutes()).cache()
+    sized = C.resample_all(df, rows=df.count())
+    plan = plan_of(sized)
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert sized.rdd.getNumPartitions() == 8
+    assert values(sized) == values(C.resample_all(df))
+
+
 def test_one_interval_of_a_stored_table_reads_its_folders_only(spark, tmp_path):
     table = tables.fact_klines(str(tmp_path / "fact"))
     minute = candles(spark, *[candle(s, f"2024-01-{day:02d}T00:00:00") for s in (1, 2) for day in (1, 2, 3)])

@@ -5,6 +5,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+from tidelake.session import ROWS_PER_PARTITION, partitions_for
+
 SCRIPT = """
 import sys
 sys.path.insert(0, {repo!r})
@@ -29,3 +31,17 @@ def test_workers_import_the_shipped_package(tmp_path):
     assert done.returncode == 0, done.stderr[-2000:]
     where = [line for line in done.stdout.splitlines() if line.startswith("WHERE")][0]
     assert ".zip" in where and "FILES 1" in done.stdout
+
+
+def test_partitions_grow_with_rows_inside_a_block(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    df = spark.range(1_000).groupBy("id").count()
+
+    def planned():
+        plan = df.groupBy("count").count()._jdf.queryExecution().executedPlan().toString()
+        return [int(part.split(")")[0].split(", ")[-1]) for part in plan.split("hashpartitioning(")[1:]]
+
+    with partitions_for(spark, 7 * ROWS_PER_PARTITION - 1):
+        with partitions_for(spark, 1):
+            assert planned() == [7]
+    assert spark.conf.get(name, None) is None and planned() == [4]

@@ -17,7 +17,7 @@ from tidelake.plans import inputs as I
 from tidelake.plans.catalog import (
     CODES, TICKS, TRADES, all_candles_sql, candle_columns, candles_sql, half_up, query,
 )
-from tidelake.session import materialize, new_path
+from tidelake.session import materialize, new_path, partitions_for
 from tidelake.sinks import tables
 
 STAMP = "2024-02-01 00:00:00"
@@ -46,7 +46,9 @@ for _code in C.TARGETS:
 
 @query("u2_all_intervals", all_candles_sql(C.TARGETS))
 def u2(spark, d):
-    return C.resample_all(I.candles_1m(spark, d))
+    with partitions_for(spark, I.table(spark, d, "events").count()):
+        minutes = materialize(I.candles_1m(spark, d), "minutes")
+    return C.resample_all(minutes, rows=minutes.count())
 
 
 @query(
@@ -479,8 +481,10 @@ def f4(spark, d):
     # of a stored table, so the folders of the other intervals are not opened
     table = tables.fact_klines(new_path(spark, "fact"))
     hours = C.resample(I.candles_1m(spark, d), "1h")
-    longer = C.resample_all(hours, [i for i in C.TARGETS if C.INTERVALS[i] > 3_600])
-    table.upsert(longer)
+    rows = I.table(spark, d, "events").count()
+    longer = C.resample_all(hours, [i for i in C.TARGETS if C.INTERVALS[i] > 3_600], rows)
+    with partitions_for(spark, rows):
+        table.upsert(longer)
     return filters.of_interval(table.read(spark), "1d")
 
 
