@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tests.conftest import D, T, values
 from tidelake import schemas, session
+from tidelake.operators import candles
 from tidelake.plans.batch import Inputs, Warehouse, csv_inputs, run_batch
 from tidelake.sinks import jdbc as jdbc_sink
 from tidelake.sources import files, jdbc, topics
+from tidelake.streaming import recompute
 
 KLINES = """open_time,open,high,low,close,volume,close_time,quote_asset_volume,num_trades,taker_buy_base_vol,taker_buy_quote_vol,ignore,symbol,open_time_dt
 1704067200000,1,3,1,2,10,1704067259999,100,5,4,40,0,BTCUSDT,x
@@ -189,3 +191,12 @@ def test_stored_copy_lasts_for_the_block(spark):
         folder = Path(df.inputFiles()[0].removeprefix("file://")).parent
         assert folder.exists()
     assert not folder.exists()
+
+
+def test_longer_candles_of_a_batch_come_from_as_many_tasks_as_minutes_ask_for(spark, drop, tmp_path, monkeypatch):
+    asked, whole = [], candles.resample_all
+    monkeypatch.setattr(recompute, "resample_all", lambda df, targets, rows: asked.append(rows) or whole(df, targets, rows))
+    warehouse = Warehouse(str(tmp_path / "warehouse"))
+    run_batch(spark, inputs(spark, drop), warehouse)
+    minutes = warehouse.klines.read(spark).filter("interval_code = '1m'").count()
+    assert asked == [minutes] and minutes > 0

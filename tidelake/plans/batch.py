@@ -14,7 +14,7 @@ from tidelake.operators import contract, dims, flow, ranking
 from tidelake.operators.candles import TARGETS
 from tidelake.operators.filters import of_interval, sane
 from tidelake.operators.merge import candle_order, latest_wins
-from tidelake.session import stored
+from tidelake.session import partitions_for, stored
 from tidelake.sinks import tables
 from tidelake.sources import files
 from tidelake.streaming.recompute import rebuild_from
@@ -130,7 +130,8 @@ def run_batch(
                 minutes = scope.enter_context(stored(unique.drop(*contract.VERSION_FIELDS), "minutes"))
                 run.rejects["klines"] = read.get["n"] - kept.get["n"]
                 between = candle_order(minutes) if inputs.incremental else None
-                warehouse.klines.upsert(minutes, staged=True, order=between)
+                with partitions_for(spark, minutes.count()):
+                    warehouse.klines.upsert(minutes, staged=True, order=between)
             with run.stage("resample"):
                 rebuild_from(warehouse.klines, minutes, targets)
 

@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from tidelake.operators.candles import TARGETS
 from tidelake.operators.merge import latest_wins
 from tidelake.schemas import FACT_KLINES, KEYS
-from tidelake.session import stored
+from tidelake.session import partitions_for, stored
 from tidelake.sinks.tables import KeyedTable, _files, kline_partitions, kline_places
 from tidelake.streaming.candles import LATENESS, _started, closed
 from tidelake.streaming.recompute import rebuild_touched
@@ -113,5 +113,8 @@ def apply_late(spark: SparkSession, root: str, table: KeyedTable, schema: Struct
     best = latest_wins(of_days, KEYS["fact_klines"]).select(*FACT_KLINES.fieldNames())
     minutes = best.withColumn("open_date", F.to_date("open_time"))
     fresh = late.select("symbol_id", "open_time")
-    table.upsert(rebuild_touched(minutes, fresh, targets), rules={}, touched=kline_partitions(targets, places))
+    rows = of_days.count()
+    with partitions_for(spark, len(targets) * rows):
+        table.upsert(
+            rebuild_touched(minutes, fresh, targets, rows), rules={}, touched=kline_partitions(targets, places))
     return number
