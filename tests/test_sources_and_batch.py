@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.conftest import D, T, values
 from tidelake import schemas, session
 from tidelake.operators import candles
+from tidelake.plans import io_queries
 from tidelake.plans.batch import Inputs, Warehouse, csv_inputs, run_batch
 from tidelake.sinks import jdbc as jdbc_sink
 from tidelake.sources import files, jdbc, topics
@@ -200,3 +201,16 @@ def test_longer_candles_of_a_batch_come_from_as_many_tasks_as_minutes_ask_for(sp
     run_batch(spark, inputs(spark, drop), warehouse)
     minutes = warehouse.klines.read(spark).filter("interval_code = '1m'").count()
     assert asked == [minutes] and minutes > 0
+
+
+def test_files_of_several_values_are_written_without_a_sort(spark, tmp_path):
+    spark.sql(f"CREATE TABLE by_flag (n long, flag string) USING parquet PARTITIONED BY (flag) LOCATION '{tmp_path}/f'")
+    rows = "EXPLAIN INSERT INTO by_flag SELECT id, cast(id % 3 AS string) FROM range(90)"
+    try:
+        with io_queries._open_files(spark):
+            assert "Sort" not in spark.sql(rows).first()[0]
+            spark.sql(rows.removeprefix("EXPLAIN "))
+        assert "Sort" in spark.sql(rows).first()[0]
+        assert values(spark.table("by_flag").groupBy("flag").count()) == [("0", 30), ("1", 30), ("2", 30)]
+    finally:
+        spark.sql("DROP TABLE by_flag")
