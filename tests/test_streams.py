@@ -293,6 +293,14 @@ def layers(spark, root):
     return {name: 0 if df is None else df.count() for name, df in found.items()}
 
 
+def test_a_landed_folder_has_one_file_however_many_tasks_read(spark, tmp_path):
+    batch = message_rows(spark, *[GOOD % n for n in range(40)], "no json").repartition(8)
+    landing.land_batch(batch, 0, "trades", str(tmp_path), records_per_file=100)
+    assert layers(spark, str(tmp_path)) == {"bronze": 40, "silver": 40, "reject": 1}
+    for layer in ("bronze", "silver"):
+        assert len(list(tmp_path.glob(f"{layer}/trades/batch=0/**/part-*"))) == 1
+
+
 @pytest.mark.parametrize("dies_in", ["silver", "reject", "mark"])
 def test_no_half_batch_is_seen(spark, tmp_path, monkeypatch, dies_in):
     root = str(tmp_path / "lake")
