@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import reduce
 
@@ -88,7 +89,8 @@ def _kline_csv_columns():
 
 
 def _trade_files(spark, d) -> str:
-    """A CSV file of trades per symbol, named after it, which is the only place of the symbol."""
+    """A CSV file of trades per symbol, named after it, which is the only place of the symbol; the
+    folder that holds nothing else. A glob would make every file a root path, listed by itself."""
     rows = I.trade_records(spark, d)
     by_symbol, path = new_path(spark, "trades-by-symbol"), new_path(spark, "trades-csv")
     columns = ["symbol", *schemas.CSV_TRADES.fieldNames()]
@@ -96,10 +98,20 @@ def _trade_files(spark, d) -> str:
     Path = spark._jvm.org.apache.hadoop.fs.Path
     disk = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     disk.mkdirs(Path(path))
-    for status in disk.globStatus(Path(f"{by_symbol}/symbol=*/part-*")):
-        symbol = status.getPath().getParent().getName().partition("=")[2]
-        disk.rename(status.getPath(), Path(f"{path}/trades_{symbol}_30d.csv"))
-    return f"{path}/trades_*_*d.csv"
+
+    def name(folder: str) -> None:
+        symbol = folder.rpartition("=")[2]
+        for i, status in enumerate(disk.globStatus(Path(f"{folder}/part-*"))):
+            if i:
+                raise ValueError(f"more than one file of {symbol}")
+            if not disk.rename(status.getPath(), Path(f"{path}/trades_{symbol}_30d.csv")):
+                raise OSError(f"could not name the file of {symbol}")
+
+    # each waits for the store, so many go side by side
+    folders = [s.getPath().toString() for s in disk.listStatus(Path(by_symbol)) if s.isDirectory()]
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(name, folders))
+    return path
 
 
 @query(
