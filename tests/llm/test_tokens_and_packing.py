@@ -10,6 +10,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
+from tidelake.llm import transducers
 from tidelake.llm.packing import pack_documents, plan
 from tidelake.llm.tokens import count_tokens
 from tidelake.llm.transducers import Transducers
@@ -67,6 +68,29 @@ def test_full_tables_are_built_anew(library):
     agree(small, library, ["".join(rng.choices(PARTS, k=30)) for _ in range(300)])
 
 
+def test_equal_pieces_are_walked_once(library, monkeypatch):
+    fresh, walked = Transducers(PATH), []
+    walk = fresh.walk
+    monkeypatch.setattr(fresh, "walk", lambda data, *rest: walked.append(len(data)) or walk(data, *rest))
+    texts = [f"{k % 100} of the same words, é中<|endoftext|>\n" * 60 for k in range(2500)]
+    ids, owners = fresh.encode(*flat(texts))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts[:100]]
+    for i in range(len(texts)):
+        assert ids[owners[i]:owners[i + 1]].tolist() == want[i % 100]
+    assert owners[-1] == len(ids)
+    assert sum(walked) < 10_000 < sum(map(len, texts)) / 100
+
+
+@pytest.mark.parametrize("steps", [1, 2, 3])
+def test_maps_of_short_chunks_are_composed(machine, library, monkeypatch, steps):
+    # in so short chunks the exit state depends on the entry state, often over several chunks
+    monkeypatch.setattr(transducers, "STEPS", steps)
+    monkeypatch.setattr(transducers, "SETTLE", 1, raising=False)
+    rng = random.Random(steps)
+    quotes = ["'", "l", "r", "e", "s", " ", "a", "!", "1", "中", "<|endoftext|>"]
+    agree(machine, library, ["".join(rng.choices(quotes, k=rng.randint(0, 40))) for _ in range(1500)])
+
+
 def test_counts_of_edge_rows(make_docs):
     docs = make_docs([None, "", "Hello world", "Hello world", (2, "x" * 3000)])
     docs = docs.withColumns({"n_tokens": F.lit("mine"), "extra": F.lit(7)})

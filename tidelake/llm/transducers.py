@@ -13,6 +13,8 @@ token, so (that suffix, the last tokens at its positions, their counts relative
 a finite state. A transition is annotated with the change of the token count. Transitions
 are compiled when first met, with the vocabulary's own library as judge of token pairs, and
 kept in one hash table of flat arrays for the life of a worker.
+
+Counts are made from all bytes; ids are looked up by piece, as equal pieces have equal ids.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import json
 from collections import OrderedDict
 
 import numpy as np
+import pyarrow as pa
 import tokenizers
 
 # Byte order of the vocabulary's alphabet (fixed values): printable bytes stand for
@@ -33,13 +36,15 @@ LETTER, TAIL1, TAIL2, DIGIT, OTHER, QUOTE, SPACE, BLANK, FIRST = range(9)
 _IN_LETTERS, _IN_DIGITS, _IN_OTHER, _AT_QUOTE, _AT_SPACE, _AT_BLANK, _MID_TAIL, _END_TAIL, _START = range(9)
 STATES, SYMBOLS = 9, 16
 STEPS = 128          # characters of a chunk
+SETTLE = 16          # last characters of a chunk, which nearly always decide its map alone
 LANE = 256           # bytes of a lane of the second transducer
 LONG_PIECE = 4096    # longer pieces are walked one by one
 BLOCK = 1 << 20      # bytes handled at once
+GROUP = 4 << 20      # bytes among which equal pieces are encoded once
 
 
 def _splitter() -> tuple[np.ndarray, np.ndarray]:
-    """Next state and "a piece begins here" by state and symbol, as flat tables.
+    """Next state (times SYMBOLS) and "a piece begins here" at state * SYMBOLS + symbol.
 
     TAIL1 are letters that end a contraction at once ('s, 't, 'm, 'd), TAIL2 those that do
     with the letter that follows them ('re, 've, 'll). Whether the last blank of a run
@@ -69,7 +74,7 @@ def _splitter() -> tuple[np.ndarray, np.ndarray]:
             else:
                 to = _AT_SPACE if kind == SPACE else _AT_BLANK
                 joins = state in (_AT_SPACE, _AT_BLANK)
-            nxt[q, symbol], cut[q, symbol] = to, not joins
+            nxt[q, symbol], cut[q, symbol] = to * SYMBOLS, not joins
     return nxt.ravel(), cut.ravel()
 
 
@@ -222,6 +227,13 @@ class Transducers:
             out = self._class[points]
         return out
 
+    def _maps(self, table: np.ndarray) -> np.ndarray:
+        """Exit by entry state of every chunk, a column of ``table``; all chunks at once."""
+        maps = np.tile(np.arange(STATES, dtype=np.uint8)[:, None] * np.uint8(SYMBOLS), (1, table.shape[1]))
+        for row in table:
+            maps = self._next_split[maps + row]
+        return maps
+
     def piece_starts(self, data: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Mask of the bytes of ``data`` (UTF-8) at which a piece begins; ``first`` marks the
         bytes that begin a segment, across which nothing is joined."""
@@ -244,28 +256,30 @@ class Transducers:
         after[np.append(begins[1:], True)] = -1
         pair = ((points == ord("r")) | (points == ord("v"))) & (after == ord("e"))
         pair |= (points == ord("l")) & (after == ord("l"))
-        symbol = np.where(pair, TAIL2, kind).astype(np.int64)
+        symbol = np.where(pair, np.uint8(TAIL2), kind)
         symbol[begins] |= 8
         n = len(symbol)
         lanes = -(-n // STEPS)
-        table = np.zeros(lanes * STEPS, np.int64)
+        table = np.zeros(lanes * STEPS, np.uint8)
         table[:n] = symbol
         table = np.ascontiguousarray(table.reshape(lanes, STEPS).T)
 
-        maps = np.tile(np.arange(STATES, dtype=np.uint8), (lanes, 1))
-        for row in table:       # every chunk's map, all chunks at once
-            maps = self._next_split[maps * np.int64(SYMBOLS) + row[:, None]]
+        # a chunk whose last characters lead to one state from all others is a constant map
+        maps = self._maps(table[-SETTLE:])
+        open_ = np.flatnonzero((maps != maps[0]).any(axis=0))
+        maps[:, open_] = self._maps(table[:, open_])
         shift = 1
         while shift < lanes:    # inclusive scan: map of all chunks up to and with this one
-            maps[shift:] = np.take_along_axis(maps[shift:], maps[:-shift].astype(np.int64), axis=1)
+            open_ = open_[(maps[:, open_] != maps[0, open_]).any(axis=0) & (open_ >= shift)]
+            if not len(open_):
+                break
+            maps[:, open_] = np.take_along_axis(maps[:, open_], maps[:, open_ - shift] // np.intp(SYMBOLS), axis=0)
             shift *= 2
-        state = np.concatenate([[_START], maps[:-1, _START]]).astype(np.int64)
-        cuts = np.empty((STEPS, lanes), bool)
-        for j, row in enumerate(table):
-            at = state * SYMBOLS + row
-            cuts[j] = self._cut[at]
-            state = self._next_split[at].astype(np.int64)
-        cut = cuts.T.reshape(-1)[:n]
+        state = np.append(np.uint8(_START * SYMBOLS), maps[_START, :-1])
+        for row in table:       # becomes the state before and the symbol
+            row += state
+            state = self._next_split[row]
+        cut = self._cut[table.T.reshape(-1)[:n]]
         blank = (kind == SPACE) | (kind == BLANK)
         solid_next = np.append(~blank[1:] & ~begins[1:], False)
         cut = cut | (blank & solid_next)
@@ -276,7 +290,8 @@ class Transducers:
     # ------------------------------------------------------------ second transducer
 
     def walk(self, data: np.ndarray, starts: np.ndarray, states: bool = False):
-        """Change of the token count at each byte and, if asked for, the state after it."""
+        """Change of the token count at each byte and, if asked for, the state after it.
+        With states, a lane is one piece: few and different ones are walked then."""
         delta = np.zeros(len(data), np.int8)
         after = np.zeros(len(data), np.int32) if states else None
         begin = np.flatnonzero(starts)
@@ -285,10 +300,13 @@ class Transducers:
         size = np.diff(np.append(begin, len(data)))
         for k in np.flatnonzero(size > LONG_PIECE).tolist():
             self._walk_one(data, begin[k], begin[k] + size[k], delta, after)
-        wanted = np.unique(np.searchsorted(begin, np.arange(0, len(data), LANE)))
-        wanted = np.union1d(wanted[wanted < len(begin)], np.flatnonzero(size > LONG_PIECE))
-        wanted = np.union1d(wanted, np.flatnonzero(size > LONG_PIECE) + 1)
-        wanted = wanted[wanted < len(begin)]
+        if states:
+            wanted = np.arange(len(begin))
+        else:
+            wanted = np.unique(np.searchsorted(begin, np.arange(0, len(data), LANE)))
+            wanted = np.union1d(wanted[wanted < len(begin)], np.flatnonzero(size > LONG_PIECE))
+            wanted = np.union1d(wanted, np.flatnonzero(size > LONG_PIECE) + 1)
+            wanted = wanted[wanted < len(begin)]
         lane = begin[wanted]
         length = np.diff(np.append(lane, len(data)))
         short = size[wanted] <= LONG_PIECE
@@ -410,35 +428,65 @@ class Transducers:
         return total
 
     def encode(self, data: np.ndarray, offsets: np.ndarray):
-        """Token ids of all texts in one array, and the first index of each text (plus the end)."""
+        """Token ids of all texts in one array, and the first index of each text (plus the end).
+
+        Equal pieces have equal ids, so the different ones among some GROUP bytes are walked."""
         ids, owners = [], np.zeros(len(offsets), np.int64)
+        parts, places, marked, held = [], [], {}, 0
         for at, block, first, keep, specials in self._prepared(data, offsets):
             used, marks = (block, first) if keep is None else (block[keep], first[keep])
-            token = np.full(len(block), -1, np.int32)
             if len(used):
-                starts = self.piece_starts(used, marks)
-                _, after = self._run(used, starts, True)
-                found = np.full(len(used), -1, np.int32)
-                begin = np.flatnonzero(starts)
-                end = np.append(begin[1:], len(used)) - 1
-                while len(end):     # from the end of every piece, token by token
-                    state = after[end]
-                    found[end] = self.last[state]
-                    end = end - self.width[state]
-                    more = end >= begin
-                    begin, end = begin[more], end[more]
-                if keep is None:
-                    token = found
-                else:
-                    token[keep] = found
-            for hit, number in specials.items():
-                token[hit] = number
-            there = token >= 0
-            ids.append(token[there])
-            upto = np.concatenate([[0], np.cumsum(there)])
-            owners += upto[np.clip(offsets - at, 0, len(block))]
+                begin = np.flatnonzero(self.piece_starts(used, marks))
+                parts.append((used, np.diff(np.append(begin, len(used)))))
+                places.append(at + (begin if keep is None else np.flatnonzero(keep)[begin]))
+            marked |= {at + hit: number for hit, number in specials.items()}
+            held += len(block)
+            to = at + len(block)
+            if held < GROUP and to < offsets[-1]:
+                continue
+            token, first_id, which = self._piece_ids(parts)
+            place = np.concatenate([*places, np.zeros(0, np.int64)])
+            if marked:      # a special token is a piece of one token
+                which = np.append(which, len(first_id) - 1 + np.arange(len(marked)))
+                first_id = np.append(first_id, len(token) + 1 + np.arange(len(marked)))
+                token = np.append(token, np.array([*marked.values()], np.int32))
+                place = np.append(place, np.array([*marked], np.int64))
+                order = np.argsort(place)
+                which, place = which[order], place[order]
+            size = np.diff(first_id)[which]
+            upto = np.concatenate([[0], np.cumsum(size)])
+            ids.append(token[np.repeat(first_id[which] - upto[:-1], size) + np.arange(upto[-1])])
+            owners += upto[np.searchsorted(place, offsets)]
+            parts, places, marked, held = [], [], {}, 0
         return (np.concatenate(ids) if ids else np.zeros(0, np.int32)), owners
 
+    def _piece_ids(self, parts: list[tuple[np.ndarray, np.ndarray]]):
+        """Ids of the different pieces, the first index of each (plus the end), and which of
+        them each piece of ``parts`` (bytes, sizes of pieces) is."""
+        if not parts:
+            return np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        ends = np.cumsum(np.concatenate([[0], *(sizes for _, sizes in parts)]))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [
+            None, pa.py_buffer(ends), pa.py_buffer(np.concatenate([used for used, _ in parts]))
+        ]).dictionary_encode()
+        _, bounds, text = pieces.dictionary.buffers()
+        bounds = np.frombuffer(bounds, np.int64)[:len(pieces.dictionary) + 1]
+        text = np.frombuffer(text, np.uint8)[:bounds[-1]]
+        starts = np.zeros(len(text), bool)
+        starts[bounds[:-1]] = True
+        _, after = self._run(text, starts, True)
+        found = np.full(len(text), -1, np.int32)
+        begin, end = bounds[:-1], bounds[1:] - 1
+        while len(end):     # from the end of every piece, token by token
+            state = after[end]
+            found[end] = self.last[state]
+            end = end - self.width[state]
+            more = end >= begin
+            begin, end = begin[more], end[more]
+        there = found >= 0
+        first_id = np.concatenate([[0], np.cumsum(there)])[bounds]
+        return found[there], first_id, pieces.indices.to_numpy(zero_copy_only=False)
+
 
 class TableFull(Exception):
     """The second transducer's tables have reached their bound."""
