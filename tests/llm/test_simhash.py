@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.components import components
 from tidelake.llm.simhash import near_duplicates, near_pairs, without_near_duplicates
+from tests.conftest import plan_of
 
 
 def signed(x):
@@ -61,6 +62,12 @@ def test_pairs_match_brute_force(spark):
     assert got == want and len(want) > 100
 
 
+def test_cells_are_not_broadcast(spark):
+    # for their size Spark takes that of the values, each of which has some 50 cells
+    plan = plan_of(near_pairs(spark.range(1000).select(F.xxhash64("id").alias("fp"))))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, x) for x in range(101, 140)]
     edges += [(500, 500), (7, 3), (200, 201), (201, 200)]

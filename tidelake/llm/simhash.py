@@ -95,9 +95,11 @@ def near_pairs(fps: DataFrame) -> DataFrame:
 
     The Manhattan distance of the embeddings never exceeds the Hamming distance. So the join
     runs on grid cells and tests each candidate exactly in its condition; only true pairs
-    leave it. A value has at most 65 cells and 2080 partners, whatever the data.
+    leave it. A value has at most 65 cells and 2080 partners, whatever the data. The join is
+    always one by sorting: Spark takes cells for as few as the values they are made of, and
+    would broadcast some 50 times what it expects.
     """
-    cells = _cells(fps)
+    cells = _cells(fps).hint("merge")
     left, right = cells.toDF("cell", "a"), cells.toDF("cell", "b")
     differ = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     return left.join(
