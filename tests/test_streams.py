@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from tests.conftest import D, T, candle, candles, values
 from tests.test_candles import random_minutes
 from tidelake import schemas
 from tidelake.operators import candles as C
+from tidelake.plans.stream_queries import stream_session
 from tidelake.sinks import tables
 from tidelake.sources.topics import read_folder
 from tidelake.streaming import candles as SC
@@ -90,6 +92,35 @@ def test_recompute_includes_the_late_row(spark, tmp_path):
     assert values(table.read(spark)) == before
 
 
+def test_recompute_merges_one_interval_at_a_time(spark, tmp_path, monkeypatch):
+    # what a merge shuffles, old rows and new ones, does not grow with the number of intervals
+    merged, upsert = [], tables.KeyedTable.upsert
+
+    def watched(self, source, *args, touched=None, **options):
+        merged.append({t[0] for t in touched or []})
+        upsert(self, source, *args, touched=touched, **options)
+
+    monkeypatch.setattr(tables.KeyedTable, "upsert", watched)
+    table = tables.fact_klines(str(tmp_path / "t"))
+    recompute.apply_batch(candles(spark, candle(1, "2024-01-01T10:01:00")), table, ["5m", "1h", "1d"])
+    assert merged == [set(), {"5m"}, {"1h"}, {"1d"}]
+    assert values(table.read(spark), "interval_code") == [("1d",), ("1h",), ("1m",), ("5m",)]
+
+
+def test_stream_sessions_keep_no_shuffle_files(spark, tmp_path):
+    def shuffles():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffles()
+    stream_session(spark).range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(str(tmp_path / "o"))
+    for _ in range(50):     # they are removed in the background
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before
+
+
 def test_recompute_takes_the_closed_candle(spark, tmp_path):
     table = tables.fact_klines(str(tmp_path / "fact"))
     rows = candles(spark, *[candle(1, "2024-01-01T00:00:00", c=c) for c in (1, 2, 3)])
