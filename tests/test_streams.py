@@ -107,6 +107,12 @@ def test_recompute_merges_one_interval_at_a_time(spark, tmp_path, monkeypatch):
     assert values(table.read(spark), "interval_code") == [("1d",), ("1h",), ("1m",), ("5m",)]
 
 
+def test_state_lies_on_disk(spark, tmp_path):
+    _, query = run_resample(stream_session(spark), tmp_path, "1h", candles(spark, candle(1, "2024-01-01T10:00:00")))
+    operators = query.recentProgress[0]["stateOperators"]
+    assert len(operators) == 2 and all("rocksdbCommitFlushLatency" in o["customMetrics"] for o in operators)
+
+
 def test_stream_sessions_keep_no_shuffle_files(spark, tmp_path):
     def shuffles():
         found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()

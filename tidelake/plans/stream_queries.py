@@ -18,7 +18,7 @@ from tidelake.plans.catalog import CODES, TICKS, TRADES, all_candles_sql, candle
 from tidelake.plans.lake import Lake, run_from_lake
 from tidelake.plans.ranking_queries import MART_DIGITS, _SCORED, mart_sql
 from tidelake.plans.io_queries import _LANDED_TOTALS, landed_totals, trade_rows
-from tidelake.session import drop_shuffles, materialize, new_path
+from tidelake.session import drop_shuffles, materialize, new_path, state_on_disk
 from tidelake.operators.merge import STREAM_RULES
 from tidelake.sinks import tables, upserts, versions
 from tidelake.sources import files
@@ -32,7 +32,7 @@ def stream_session(spark: SparkSession) -> SparkSession:
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    return drop_shuffles(session)
+    return state_on_disk(drop_shuffles(session))
 
 
 def _candles(session, spark, d, parts=1, per_trigger=None) -> DataFrame:
